@@ -18,7 +18,7 @@ from custodia.plans.review import create_review, newest_review_id, snapshot
 from custodia.plans.support import cluster_version_support, support_counter, support_histogram, support_table
 from custodia.plans.views import register_views
 from custodia.schemas import PRIVILEGE_COLUMNS
-from custodia.sources.catalog import read_table
+from custodia.sources.catalog import METADATA_TABLES, read_table
 from custodia.sources.html_tables import extract_tables, nav_links
 from custodia.sources.landing import read_inventory
 from custodia.sources.reviews import read_reviews_csv
@@ -93,9 +93,8 @@ def view_counts(tb: Testbed) -> DataFrame:
     ensure_namespace(tb.spark, inventory_schema, folder)
     metadata_schema, folder = _schema(tb, "metadata")
     ensure_namespace(tb.spark, metadata_schema, folder)
-    metadata = tb.metadata()
     for name, df in (tb.frames() | {"runtime_versions": tb.runtime_versions()}).items():
-        publish(df, f"{metadata_schema if name in metadata else inventory_schema}.{name}")
+        publish(df, f"{metadata_schema if name in METADATA_TABLES else inventory_schema}.{name}")
     register_views(tb.spark, inventory_schema, metadata_schema, AS_OF)
     return tb.spark.sql(
         """
@@ -201,11 +200,7 @@ def html_tables(tb: Testbed) -> DataFrame:
 
 
 def _branch(kind: str) -> Query:
-    def query(tb: Testbed) -> DataFrame:
-        frames = tb.frames()
-        return branch(kind, frames[KINDS[kind].grants], frames[KINDS[kind].objects])
-
-    return query
+    return lambda tb: branch(kind, tb.frame(KINDS[kind].grants), tb.frame(KINDS[kind].objects))
 
 
 QUERIES: dict[str, Query] = {
@@ -215,10 +210,10 @@ QUERIES: dict[str, Query] = {
     "workspace_privileges": lambda tb: tb.workspace_privileges(),
     "clusters_owner": lambda tb: _clusters(tb.clusters()),
     "warehouses_owner": lambda tb: _warehouses(tb.warehouses()),
-    "cluster_privileges": lambda tb: _plain_sources(tb.object_privileges("clusters")),
-    "warehouse_privileges": lambda tb: _plain_sources(tb.object_privileges("warehouses")),
-    "dashboard_privileges": lambda tb: _plain_sources(tb.object_privileges("dashboards")),
-    "volume_privileges": lambda tb: _plain_sources(tb.object_privileges("volumes")),
+    "cluster_privileges": lambda tb: _plain_sources(tb.cluster_privileges()),
+    "warehouse_privileges": lambda tb: _plain_sources(tb.warehouse_privileges()),
+    "dashboard_privileges": lambda tb: _plain_sources(tb.dashboard_privileges()),
+    "volume_privileges": lambda tb: _plain_sources(tb.volume_acl_privileges()),
     "serverless_warehouses": lambda tb: inventory.serverless_warehouses(tb.warehouses()),
     "runtime_versions": lambda tb: tb.runtime_versions(),
     "union_frames": union_frames,

@@ -6,7 +6,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 # Java's Unicode \s lacks the four separators 1C-1F that count as white space here.
 _SPACE = r"\s\x1c-\x1f"
@@ -29,16 +29,20 @@ def snake_name(name: str) -> str:
 def normalize_map(col) -> Column:
     """Snake-case the keys of a string-keyed map; of colliding keys the last one wins."""
     col = F.col(col) if isinstance(col, str) else col
-    keys = F.transform(F.map_keys(col), snake)
+    # Reversed, so that the first position of a key is that of its last entry.
+    reversed_entries = F.struct(
+        F.reverse(F.transform(F.map_keys(col), snake)).alias("keys"), F.reverse(F.map_values(col)).alias("values")
+    )
 
-    def is_last(entry, i):
-        later = F.slice(keys, i + 2, F.size(keys))
-        return ~F.array_contains(later, snake(entry["key"]))
+    def rebuild(entries):
+        distinct = F.array_distinct(entries["keys"])
+        values = F.transform(
+            distinct, lambda key: F.get(entries["values"], (F.array_position(entries["keys"], key) - 1).cast("int"))
+        )
+        return F.map_from_arrays(distinct, values)
 
-    kept = F.filter(F.map_entries(col), is_last)
-    return F.map_from_entries(
-        F.transform(kept, lambda e: F.struct(snake(e["key"]).alias("key"), e["value"].alias("value")))
-    )
+    # The one-element array binds the normalised keys, which are then computed once per row.
+    return F.get(F.transform(F.array(reversed_entries), rebuild), F.lit(0))
 
 
 def _normal_type(dtype: DataType) -> DataType:
@@ -84,7 +88,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_name(name) for name in df.columns])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _to_ascii(values: pd.Series) -> pd.Series:
     def fold(value):
         if value.isascii():
@@ -94,7 +98,7 @@ def _to_ascii(values: pd.Series) -> pd.Series:
     return values.map(fold, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _to_composed(values: pd.Series) -> pd.Series:
     return values.map(lambda value: unicodedata.normalize("NFKC", value), na_action="ignore")
 

@@ -37,11 +37,14 @@ def append(df: DataFrame, table: str) -> None:
     df.select(*columns).write.insertInto(table)
 
 
-def replace_partitions(df: DataFrame, table: str) -> None:
-    """Write whole partitions, replacing those of an earlier attempt, and leave all others."""
-    columns = df.sparkSession.table(table).columns
-    writer = df.select(*columns).write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table, overwrite=True)
+def replace_partition(df: DataFrame, table: str, column: str, value: int) -> None:
+    """Write one whole partition, replacing what an earlier attempt left in it."""
+    spark = df.sparkSession
+    columns = [name for name in spark.table(table).columns if name != column]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = {int(value)}) SELECT * FROM {{rows}}",
+        rows=df.select(*columns),
+    )
 
 
 def upsert_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:

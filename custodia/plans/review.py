@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions.scalars import stamp
 from custodia.operators.keys import assign_ids, latest_id, latest_review, next_id
-from custodia.operators.sinks import append, ensure_namespace, ensure_table, replace_partitions, upsert_table
+from custodia.operators.sinks import append, ensure_namespace, ensure_table, replace_partition, upsert_table
 from custodia.schemas import OUTCOMES, PRIVILEGE_COLUMNS, REVIEW_DETAIL, REVIEWS
 from custodia.sources.reviews import DEFAULT_OUTCOME, review_outcomes
 
@@ -71,7 +71,7 @@ def create_review(
     # Ids ascend over reviews, so the latest one holds the highest.
     first_row = next_id(latest_review(detail, reviews), "access_review_detail_id")
     rows = assign_ids(snapshot(privileges, review_id), "access_review_detail_id", first_row)
-    replace_partitions(rows, tables.detail)
+    replace_partition(rows, tables.detail, "access_review_id", review_id)
     header = spark.range(1).select(F.lit(review_id).cast("bigint").alias("access_review_id"))
     append(stamp(header, user=by, now=at), tables.reviews)
     return review_id

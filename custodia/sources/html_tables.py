@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
 
 # Elements without content; they never open a level. Fixed by the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -148,7 +149,12 @@ def _distinct(names):
     return result
 
 
-@F.udtf(returnType="row_number int, cells map<string, string>")
+_ROW = StructType(
+    [StructField("row_number", IntegerType()), StructField("cells", MapType(StringType(), StringType()))]
+)
+
+
+@F.udtf(returnType=_ROW)
 class _ReadTable:
     def eval(self, html: str, anchor_id: str):
         if html is not None:

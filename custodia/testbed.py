@@ -6,7 +6,7 @@ whole tables. Access lists, tags and assignments are built nested, as they land,
 so that the flattening is exercised.
 """
 
-from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from custodia.functions.names import normalize_schema
 from custodia.operators import inventory
 from custodia.schemas import RAW
 from custodia.sources import landing
+from custodia.sources.catalog import INVENTORY_TABLES, METADATA_TABLES
 from custodia.storage import stage
 
 AS_OF = "2024-06-01 19:00:00"
@@ -59,16 +60,50 @@ def _acl(df: DataFrame, object_id: Column, workspace: Column, principal: str, gr
     )
 
 
-@dataclass(frozen=True)
+def _places(nation: DataFrame, region: DataFrame) -> DataFrame:
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "n_nationkey",
+        F.col("r_name").alias("catalog"),
+        F.col("n_name").alias("schema"),
+        _named("owner_", "n_nationkey").alias("place_owner"),
+    )
+
+
+def _grants(df: DataFrame, grantee: str, privilege, grantable="NO", inherited="NONE", **keys: Column) -> DataFrame:
+    def column(value):
+        return value if isinstance(value, Column) else F.lit(value)
+
+    return df.select(
+        *[col.alias(name) for name, col in keys.items()],
+        F.col(grantee).alias("grantee"),
+        column(privilege).alias("privilege_type"),
+        column(grantable).alias("is_grantable"),
+        column(inherited).alias("inherited_from"),
+    )
+
+
 class Testbed:
-    """Entities over the parquet tables of one directory."""
+    """Entities over the parquet tables of one directory.
+
+    ``raw_<entity>`` is an entity as landed; a method named like a published
+    table is that table.
+    """
 
-    spark: SparkSession
-    sf_dir: str
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.table = cache(self._table)
 
-    def table(self, name: str) -> DataFrame:
+    def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def frame(self, name: str) -> DataFrame:
+        return getattr(self, name)()
+
+    def frames(self) -> dict[str, DataFrame]:
+        """Every frame that the audit relation joins."""
+        return {name: self.frame(name) for name in INVENTORY_TABLES + METADATA_TABLES}
+
     # Landed entities, with the raw key case.
 
     def raw_workspaces(self) -> DataFrame:
@@ -270,10 +305,23 @@ class Testbed:
     def warehouses(self) -> DataFrame:
         return inventory.owned_warehouses(landing.warehouses(normalize_schema(self.raw_warehouses())))
 
-    def object_privileges(self, kind: str) -> DataFrame:
+    def _object_privileges(self, kind: str) -> DataFrame:
         raw = normalize_schema(self.raw(f"{kind.removesuffix('s')}_acl"))
         return inventory.flatten_acl(landing.object_acls(raw, kind), landing.ACL_KEY[kind])
 
+    def cluster_privileges(self) -> DataFrame:
+        return self._object_privileges("clusters")
+
+    def warehouse_privileges(self) -> DataFrame:
+        return self._object_privileges("warehouses")
+
+    def dashboard_privileges(self) -> DataFrame:
+        return self._object_privileges("dashboards")
+
+    def volume_acl_privileges(self) -> DataFrame:
+        """Access lists of volumes; the catalog's grants on volumes are another table."""
+        return self._object_privileges("volumes")
+
     def runtime_versions(self) -> DataFrame:
         """Listed runtimes, staged: a small dimension out of a large table."""
         size, key = F.col("p_size"), F.col("p_partkey")
@@ -293,116 +341,118 @@ class Testbed:
 
     # Catalog metadata.
 
-    def _metastores(self) -> DataFrame:
+    def _places(self) -> DataFrame:
+        return _places(self.table("nation"), self.table("region"))
+
+    def _customer_places(self) -> DataFrame:
+        customer = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
+        return customer.join(self._places(), F.col("c_nationkey") == F.col("n_nationkey"))
+
+    def _supplier_places(self) -> DataFrame:
+        supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
+        return supplier.join(self._places(), F.col("s_nationkey") == F.col("n_nationkey"))
+
+    def metastores(self) -> DataFrame:
         return self.table("region").select(
             _named("m", "r_regionkey").alias("metastore_id"),
             F.when(F.col("r_regionkey") == 0, "System user").otherwise("platform").alias("metastore_owner"),
         )
 
-    def _grants(self, df: DataFrame, keys: dict[str, Column], grantee, privilege, grantable="NO", inherited="NONE"):
-        def column(value):
-            return value if isinstance(value, Column) else F.lit(value)
+    def metastore_privileges(self) -> DataFrame:
+        return _grants(
+            self.table("nation"), "n_name", "CREATE CATALOG", metastore_id=_named("m", "n_regionkey")
+        )
 
-        return df.select(
-            *[col.alias(name) for name, col in keys.items()],
-            column(grantee).alias("grantee"),
-            column(privilege).alias("privilege_type"),
-            column(grantable).alias("is_grantable"),
-            column(inherited).alias("inherited_from"),
+    def catalogs(self) -> DataFrame:
+        key = F.col("r_regionkey")
+        return self.table("region").select(
+            F.col("r_name").alias("catalog_name"),
+            F.when(key == 1, None).otherwise(_named("owner_", "r_regionkey")).alias("catalog_owner"),
         )
 
-    def _places(self) -> DataFrame:
-        nation, region = self.table("nation"), self.table("region")
-        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-            "n_nationkey", F.col("r_name").alias("catalog"), F.col("n_name").alias("schema")
+    def catalog_privileges(self) -> DataFrame:
+        return _grants(
+            self._customer_places(), "c_name", "USE CATALOG", inherited="METASTORE", catalog_name=F.col("catalog")
         )
 
-    def _customer_places(self) -> DataFrame:
-        customer = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
-        return customer.join(self._places(), F.col("c_nationkey") == F.col("n_nationkey"))
+    def schemata(self) -> DataFrame:
+        owner = F.when(F.col("n_nationkey") % 11 == 0, "System user").otherwise(F.col("place_owner"))
+        return self._places().select(
+            F.col("catalog").alias("catalog_name"), F.col("schema").alias("schema_name"), owner.alias("schema_owner")
+        )
+
+    def schema_privileges(self) -> DataFrame:
+        return _grants(
+            self._customer_places(),
+            "c_name",
+            "USE SCHEMA",
+            inherited="CATALOG",
+            catalog_name=F.col("catalog"),
+            schema_name=F.col("schema"),
+        )
+
+    def tables(self) -> DataFrame:
+        owner = F.when(F.col("c_custkey") % 11 == 0, "System user").otherwise(F.col("place_owner"))
+        return self._customer_places().select(
+            F.col("catalog").alias("table_catalog"),
+            F.col("schema").alias("table_schema"),
+            _named("t", "c_custkey").alias("table_name"),
+            owner.alias("table_owner"),
+        )
+
+    def table_privileges(self) -> DataFrame:
+        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+        return _grants(
+            orders.join(self._customer_places(), F.col("o_custkey") == F.col("c_custkey")),
+            "o_orderpriority",
+            F.when(F.col("o_orderstatus") == "F", "SELECT").otherwise("MODIFY"),
+            grantable=F.when(F.col("o_orderkey") % 2 == 0, "YES").otherwise("NO"),
+            inherited="SCHEMA",
+            table_catalog=F.col("catalog"),
+            table_schema=F.col("schema"),
+            table_name=_named("t", "c_custkey"),
+        )
+
+    def volumes(self) -> DataFrame:
+        return self._supplier_places().select(
+            F.col("catalog").alias("volume_catalog"),
+            F.col("schema").alias("volume_schema"),
+            _named("v", "s_suppkey").alias("volume_name"),
+            F.col("place_owner").alias("volume_owner"),
+        )
 
-    def metadata(self) -> dict[str, DataFrame]:
-        """The seven pairs of grants and objects of the catalog."""
-        c = F.col
-        nation, region = self.table("nation"), self.table("region")
-        supplier, part, customer = self.table("supplier"), self.table("part"), self.table("customer")
-        places, customers = self._places(), self._customer_places()
-        nation_owner = _named("owner_", "n_nationkey")
-        table_key = {"table_catalog": c("catalog"), "table_schema": c("schema"), "table_name": _named("t", "c_custkey")}
-        volume_key = {
-            "volume_catalog": c("catalog"),
-            "volume_schema": c("schema"),
-            "volume_name": _named("v", "s_suppkey"),
-        }
-        supplier_places = supplier.join(places, c("s_nationkey") == c("n_nationkey"))
+    def volume_privileges(self) -> DataFrame:
         first_lines = self.table("lineitem").filter("l_linenumber = 1").select("l_orderkey", "l_suppkey")
-        return {
-            "metastores": self._metastores(),
-            "metastore_privileges": self._grants(
-                nation, {"metastore_id": _named("m", "n_regionkey")}, c("n_name"), "CREATE CATALOG"
-            ),
-            "catalogs": region.select(
-                c("r_name").alias("catalog_name"),
-                F.when(c("r_regionkey") == 1, None).otherwise(_named("owner_", "r_regionkey")).alias("catalog_owner"),
-            ),
-            "catalog_privileges": self._grants(
-                customers, {"catalog_name": c("catalog")}, c("c_name"), "USE CATALOG", inherited="METASTORE"
-            ),
-            "schemata": places.select(
-                c("catalog").alias("catalog_name"),
-                c("schema").alias("schema_name"),
-                F.when(c("n_nationkey") % 11 == 0, "System user").otherwise(nation_owner).alias("schema_owner"),
-            ),
-            "schema_privileges": self._grants(
-                customers,
-                {"catalog_name": c("catalog"), "schema_name": c("schema")},
-                c("c_name"),
-                "USE SCHEMA",
-                inherited="CATALOG",
-            ),
-            "tables": customers.select(
-                *[col.alias(name) for name, col in table_key.items()],
-                F.when(c("c_custkey") % 11 == 0, "System user").otherwise(nation_owner).alias("table_owner"),
-            ),
-            "table_privileges": self._grants(
-                self.table("orders").join(customers, c("o_custkey") == c("c_custkey")),
-                table_key,
-                c("o_orderpriority"),
-                F.when(c("o_orderstatus") == "F", "SELECT").otherwise("MODIFY"),
-                grantable=F.when(c("o_orderkey") % 2 == 0, "YES").otherwise("NO"),
-                inherited="SCHEMA",
-            ),
-            "volumes": supplier_places.select(
-                *[col.alias(name) for name, col in volume_key.items()],
-                _named("owner_", "s_nationkey").alias("volume_owner"),
-            ),
-            "volume_privileges": self._grants(
-                first_lines.join(supplier_places, c("l_suppkey") == c("s_suppkey")),
-                volume_key,
-                _named("user_", "l_orderkey"),
-                "READ VOLUME",
-            ),
-            "connections": stage(part.select("p_brand").distinct(), "connections").select(
-                c("p_brand").alias("connection_name"), F.concat(F.lit("owner_"), c("p_brand")).alias("connection_owner")
-            ),
-            "connection_privileges": self._grants(
-                part, {"connection_name": c("p_brand")}, c("p_name"), "USE CONNECTION"
-            ),
-            "external_locations": stage(customer.select("c_mktsegment").distinct(), "external-locations").select(
-                c("c_mktsegment").alias("external_location_name"), F.lit("platform").alias("external_location_owner")
-            ),
-            "external_location_privileges": self._grants(
-                customer, {"external_location_name": c("c_mktsegment")}, c("c_name"), "READ FILES", grantable="YES"
-            ),
-        }
+        granted = first_lines.join(self._supplier_places(), F.col("l_suppkey") == F.col("s_suppkey"))
+        return _grants(
+            granted.withColumn("user", _named("user_", "l_orderkey")),
+            "user",
+            "READ VOLUME",
+            volume_catalog=F.col("catalog"),
+            volume_schema=F.col("schema"),
+            volume_name=_named("v", "s_suppkey"),
+        )
 
-    def frames(self) -> dict[str, DataFrame]:
-        """Every frame that the audit relation joins."""
-        return self.metadata() | {
-            "warehouses": self.warehouses(),
-            "warehouse_privileges": self.object_privileges("warehouses"),
-            "clusters": self.clusters(),
-            "cluster_privileges": self.object_privileges("clusters"),
-            "workspaces": self.workspaces(),
-            "workspace_privileges": self.workspace_privileges(),
-        }
+    def connections(self) -> DataFrame:
+        brands = stage(self.table("part").select("p_brand").distinct(), "connections")
+        return brands.select(
+            F.col("p_brand").alias("connection_name"), _named("owner_", "p_brand").alias("connection_owner")
+        )
+
+    def connection_privileges(self) -> DataFrame:
+        return _grants(self.table("part"), "p_name", "USE CONNECTION", connection_name=F.col("p_brand"))
+
+    def external_locations(self) -> DataFrame:
+        segments = stage(self.table("customer").select("c_mktsegment").distinct(), "external-locations")
+        return segments.select(
+            F.col("c_mktsegment").alias("external_location_name"), F.lit("platform").alias("external_location_owner")
+        )
+
+    def external_location_privileges(self) -> DataFrame:
+        return _grants(
+            self.table("customer"),
+            "c_name",
+            "READ FILES",
+            grantable="YES",
+            external_location_name=F.col("c_mktsegment"),
+        )

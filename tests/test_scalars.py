@@ -1,0 +1,127 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from custodia.functions import scalars as s
+
+
+def one(spark, column, ddl, *values):
+    return spark.createDataFrame([values], ddl).select(column).first()[0]
+
+
+def test_first_of_empty_and_null(spark):
+    df = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "x array<string>")
+    assert [r[0] for r in df.select(s.first_of("x")).collect()] == ["a", None, None]
+
+
+def test_first_field(spark):
+    df = spark.createDataFrame([([("x", 1), ("y", 2)],), ([],)], "a array<struct<name: string, n: int>>")
+    assert [r[0] for r in df.select(s.first_field("a", "n")).collect()] == [1, None]
+
+
+def test_principal_type_order(spark):
+    df = spark.createDataFrame(
+        [("g", "s", "u"), (None, "s", "u"), (None, None, "u"), (None, None, None), ("", "s", None)],
+        "g string, s string, u string",
+    )
+    got = [r[0] for r in df.select(s.principal_type("g", "s", "u")).collect()]
+    assert got == ["Group", "Service Principal", "User", "UNKNOWN", "Group"]
+
+
+def test_display_names(spark):
+    df = spark.createDataFrame(
+        [(kind, "g", "u", "d") for kind in ("Group", "User", "Service Principal", "UNKNOWN")],
+        "kind string, g string, u string, d string",
+    )
+    assert [r[0] for r in df.select(s.acl_display_name("kind", "g", "u", "d")).collect()] == ["g", "u", "d", "d"]
+    assert [r[0] for r in df.select(s.assignment_display_name("kind", "u", "d")).collect()] == ["d", "u", "d", "d"]
+
+
+def test_flatten_struct(spark):
+    df = spark.createDataFrame([(("g", "f"),), (None,)], "name struct<givenname: string, familyname: string>")
+    assert rows(s.flatten_struct(df, "name", ["familyname"]).select("familyname")) == [(None,), ("f",)]
+
+
+def test_map_value(spark):
+    df = spark.createDataFrame([({"owner": "a"},), ({},), (None,)], "m map<string,string>")
+    assert [r[0] for r in df.select(s.map_value("m", "owner")).collect()] == ["a", None, None]
+
+
+def test_tag_value_is_case_sensitive_and_takes_the_first(spark):
+    def pair(key, value):
+        return {"key": key, "value": value}
+
+    df = spark.createDataFrame(
+        [
+            ([pair("Owner", "no"), pair("owner", "a"), pair("owner", "b")],),
+            ([pair("Owner", "no")],),
+            ([],),
+            (None,),
+        ],
+        "t array<map<string,string>>",
+    )
+    assert [r[0] for r in df.select(s.tag_value("t", "owner")).collect()] == ["a", None, None, None]
+
+
+def test_versions(spark):
+    runtimes = ["15.4.x-scala2.12", "15.4.x-photon-scala2.12", "custom-image", None]
+    df = spark.createDataFrame([(v,) for v in runtimes], "v string")
+    assert [r[0] for r in df.select(s.runtime_number("v")).collect()] == ["15.4", "15.4", "custom-image", None]
+    df = spark.createDataFrame([("15.4 LTS",), ("16.0",)], "v string")
+    assert [r[0] for r in df.select(s.strip_lts("v")).collect()] == ["15.4", "16.0"]
+
+
+def test_default_to(spark):
+    assert one(spark, s.default_to("c", "Not tagged"), "c string", None) == "Not tagged"
+    assert one(spark, s.default_to("c", "Not tagged"), "c string", "") == ""
+
+
+@pytest.mark.parametrize(
+    "start, end, days",
+    [
+        ("2024-06-01 19:00:00", "2024-06-03 00:00:00", 1),
+        ("2024-06-01 19:00:00", "2024-06-02 00:00:00", 0),
+        ("2024-06-01 19:00:00", "2024-06-01 00:00:00", 0),
+        ("2024-06-01 19:00:00", "2024-05-31 19:00:00", -1),
+        ("2024-06-01 19:00:00", "2024-05-31 00:00:00", -1),
+        ("2024-06-01 00:00:00", "2024-07-31 00:00:00", 60),
+        ("2024-06-01 00:00:00", None, None),
+    ],
+)
+def test_days_until_counts_whole_days(spark, start, end, days):
+    end = datetime.fromisoformat(end) if end else None
+    df = spark.createDataFrame([(end,)], "e timestamp").select(s.days_until("e", start).alias("d"))
+    assert df.schema["d"].dataType.simpleString() == "bigint"
+    assert df.first()[0] == days
+
+
+def test_days_until_defaults_to_now(spark):
+    df = spark.range(1).select(s.days_until(F.current_timestamp() + F.expr("INTERVAL 49 HOURS")))
+    assert df.first()[0] == 2
+
+
+def test_support_label_bounds(spark):
+    df = spark.createDataFrame([(d,) for d in (-5, 59, 60, 89, 90, None)], "d bigint")
+    got = [r[0] for r in df.select(s.support_label("d")).collect()]
+    assert got == ["red", "red", "orange", "orange", "default", "default"]
+
+
+def test_month_of(spark):
+    assert one(spark, s.month_of("t"), "t timestamp", datetime(2024, 6, 17, 5)) == datetime(2024, 6, 1)
+
+
+def test_parse_ts_forms(spark):
+    texts = ["Jun 3, 2024", "August 19, 2024", "2024-01-02", "soon", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    expected = [datetime(2024, 6, 3), datetime(2024, 8, 19), datetime(2024, 1, 2), None, None]
+    assert [r[0] for r in df.select(s.parse_ts("t")).collect()] == expected
+
+
+def test_tag_drop_and_stamp(spark):
+    df = s.tag(spark.range(1), kind="x", n=3)
+    assert rows(s.drop_cols(df, "n")) == [(0, "x")]
+    stamped = s.stamp(spark.range(1), user="me", now="2024-01-01 00:00:00").first()
+    assert (stamped.created_by, stamped.created_date) == ("me", datetime(2024, 1, 1))
+    assert s.stamp(spark.range(1)).first().created_by
