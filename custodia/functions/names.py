@@ -80,6 +80,8 @@ def _normalized(col: Column, dtype: DataType) -> Column:
 
 def normalize_schema(df: DataFrame) -> DataFrame:
     """Normalise the names of all columns, all nested fields and all map keys."""
+    if df.schema == _normal_type(df.schema) and not _holds_map(df.schema):
+        return df
     return df.select(*[_normalized(F.col(f"`{f.name}`"), f.dataType).alias(snake_name(f.name)) for f in df.schema])
 
 
@@ -110,8 +112,8 @@ def slug(col, allow_unicode: bool = False) -> Column:
     it distinct values where a column repeats them.
     """
     if allow_unicode:
-        text, word = _to_composed(col), r"\p{L}\p{N}_"
+        text, flag, word = _to_composed(col), "(?U)", r"\p{L}\p{N}_"
     else:
-        text, word = _to_ascii(col), "a-z0-9_"
-    text = F.regexp_replace(F.lower(text), rf"(?U)[^{word}{_SPACE}-]", "")
-    return F.btrim(F.regexp_replace(text, rf"(?U)[-{_SPACE}]+", "-"), F.lit("-_"))
+        text, flag, word = _to_ascii(col), "", "a-z0-9_"
+    text = F.regexp_replace(F.lower(text), rf"{flag}[^{word}{_SPACE}-]+", "")
+    return F.btrim(F.regexp_replace(text, rf"{flag}[-{_SPACE}]+", "-"), F.lit("-_"))

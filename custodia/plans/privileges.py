@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custodia.operators.keys import exclude_owners
@@ -134,14 +134,28 @@ KINDS = {
 }
 
 
-def _on(kind: ObjectKind) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"p.{p}") == F.col(f"o.{o}") for p, o in kind.keys.items()])
+def _on(kind: ObjectKind) -> str:
+    return " AND ".join(f"p.{grant} = o.{key}" for grant, key in kind.keys.items())
 
 
-def canonical(df: DataFrame, object_type: str, **columns: Column) -> DataFrame:
-    """The published columns in order, with the kind as a literal so that a filter on it drops whole branches."""
-    columns["object_type"] = F.lit(object_type)
-    return df.select(*[columns[name].alias(name) for name in PRIVILEGE_COLUMNS])
+def _columns(name: str) -> dict[str, str]:
+    """The published columns of a kind as SQL expressions.
+
+    The kind is a literal, so that a filter on it drops whole branches.
+    """
+    kind = KINDS[name]
+    columns = {
+        "object_type": f"'{name}'",
+        "object_name": kind.name,
+        "object_owner": kind.owner,
+        "grantee": kind.grantee,
+        "catalog_name": kind.catalog,
+        "schema_name": kind.schema,
+        "privilege_type": "p.privilege_type",
+        "is_grantable": kind.grantable,
+        "inherited_from": kind.inherited,
+    }
+    return {column: columns[column] for column in PRIVILEGE_COLUMNS}
 
 
 def branch(name: str, grants: DataFrame, objects: DataFrame) -> DataFrame:
@@ -151,19 +165,8 @@ def branch(name: str, grants: DataFrame, objects: DataFrame) -> DataFrame:
     both sides are shuffled on the key and AQE splits a key that holds much of
     the grants.
     """
-    kind = KINDS[name]
-    return canonical(
-        grants.alias("p").join(objects.alias("o"), _on(kind)),
-        name,
-        object_name=F.expr(kind.name),
-        object_owner=F.expr(kind.owner),
-        grantee=F.expr(kind.grantee),
-        catalog_name=F.expr(kind.catalog),
-        schema_name=F.expr(kind.schema),
-        privilege_type=F.col("p.privilege_type"),
-        is_grantable=F.expr(kind.grantable),
-        inherited_from=F.expr(kind.inherited),
-    )
+    joined = grants.alias("p").join(objects.alias("o"), F.expr(_on(KINDS[name])))
+    return joined.selectExpr(*[f"{expression} AS {column}" for column, expression in _columns(name).items()])
 
 
 def all_privileges(frames: Frames, without: Sequence[str] = SYSTEM_OWNERS) -> DataFrame:
@@ -181,8 +184,19 @@ def privileges_by_owner(frames: Frames, without: Sequence[str] = SYSTEM_OWNERS)
 
     def counted(kind: ObjectKind) -> DataFrame:
         grants = frames[kind.grants].groupBy(*kind.keys).agg(F.count("*").alias("n"))
-        joined = grants.alias("p").join(frames[kind.objects].alias("o"), _on(kind))
+        joined = grants.alias("p").join(frames[kind.objects].alias("o"), F.expr(_on(kind)))
         return joined.select(F.expr(kind.owner).alias("object_owner"), F.col("p.n").alias("n"))
 
     counts = reduce(DataFrame.unionByName, [counted(kind) for kind in KINDS.values()])
     return exclude_owners(counts, without).groupBy("object_owner").agg(F.sum("n").alias("n_privileges"))
+
+
+def privilege_query(tables: Mapping[str, str], without: Sequence[str] = SYSTEM_OWNERS) -> str:
+    """`all_privileges` as SQL over tables, for a view that outlives the session."""
+    branches = [
+        f"SELECT {', '.join(f'{expression} AS {column}' for column, expression in _columns(name).items())} "
+        f"FROM {tables[kind.grants]} p JOIN {tables[kind.objects]} o ON {_on(kind)}"
+        for name, kind in KINDS.items()
+    ]
+    owners = ", ".join(f"'{owner}'" for owner in without)
+    return f"SELECT * FROM ({' UNION ALL '.join(branches)}) WHERE object_owner NOT IN ({owners})"

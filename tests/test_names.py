@@ -82,16 +82,18 @@ def test_slug_examples(spark):
 
 
 def test_normalize_map_keeps_last_of_colliding_keys(spark):
+    # Parsed from JSON, which keeps the order of the keys.
     df = spark.createDataFrame(
         [
-            (1, {"Owner": "first", "Cost-Center": "9", "owner": "last"}),
-            (2, {}),
+            (1, '{"Owner": "first", "Cost-Center": "9", "owner": "last"}'),
+            (2, "{}"),
             (3, None),
-            (4, {"OWNER": None}),
-            (5, {"owner": "x", "Owner": None}),
+            (4, '{"OWNER": null}'),
+            (5, '{"owner": "x", "Owner": null}'),
+            (6, '{"owner": "x", "a b": "1", "OWNER": "y", "Owner": "z", "a-b": "2"}'),
         ],
-        "id int, m map<string,string>",
-    )
+        "id int, text string",
+    ).withColumn("m", F.from_json("text", "map<string,string>"))
     got = {row.id: row.m for row in df.select("id", normalize_map("m").alias("m")).collect()}
     assert got == {
         1: {"owner": "last", "cost_center": "9"},
@@ -99,6 +101,7 @@ def test_normalize_map_keeps_last_of_colliding_keys(spark):
         3: None,
         4: {"owner": None},
         5: {"owner": None},
+        6: {"owner": "z", "a_b": "2"},
     }
 
 
