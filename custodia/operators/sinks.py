@@ -18,11 +18,8 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, partition_b
 
     Partition columns come last. Keys are not declared; see `check_key` and `assign_ids`.
     """
-    if not spark.catalog.tableExists(name):
-        fields = [f for f in schema if f.name not in partition_by]
-        fields += [schema[column] for column in partition_by]
-        empty = spark.createDataFrame([], StructType(fields))
-        empty.write.format("parquet").partitionBy(*partition_by).saveAsTable(name)
+    partitioned = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet{partitioned}")
 
 
 def publish(df: DataFrame, table: str) -> DataFrame:

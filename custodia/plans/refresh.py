@@ -1,6 +1,7 @@
 """Refresh job: landed inventory to published tables."""
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +56,11 @@ def refresh(
     """Create or replace all inventory tables and return them.
 
     ``release_anchor`` is the heading id of the release table in the stored pages.
+    The tables do not depend on each other, so their jobs run side by side and
+    small ones fill the executors that a large one leaves idle at its end.
     """
     ensure_namespace(spark, schema, location)
     frames = inventory_frames(spark, landing_dir, release_anchor, volumes)
-    return {table: publish(df, f"{schema}.{table}") for table, df in frames.items()}
+    with ThreadPoolExecutor(len(frames)) as pool:
+        jobs = {table: pool.submit(publish, df, f"{schema}.{table}") for table, df in frames.items()}
+        return {table: job.result() for table, job in jobs.items()}

@@ -5,12 +5,17 @@ next sibling table. `nav_links` covers markup regular enough for a pattern.
 """
 
 import re
+import sys
 from html.parser import HTMLParser
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
 
+# The parser travels with the function, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements without content; they never open a level. Fixed by the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 

@@ -18,7 +18,9 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "8")
+        # Many small plans, each run once: compile them fast rather than well.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .config("spark.checkpoint.dir", str(folder / "shared"))
