@@ -92,13 +92,9 @@ class Testbed:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.table = cache(self._table)
-
-    def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-    def frame(self, name: str) -> DataFrame:
-        return getattr(self, name)()
+        # Plans, not data: each table and frame is analysed once.
+        self.table = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        self.frame = cache(lambda name: getattr(self, name)())
 
     def frames(self) -> dict[str, DataFrame]:
         """Every frame that the audit relation joins."""

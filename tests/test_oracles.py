@@ -34,8 +34,8 @@ def test_every_query_has_its_sql():
 
 
 @pytest.mark.parametrize("name", list(entry.queries()))
-def test_query_equals_sql(spark, duck, name):
-    got = entry.queries()[name](spark, SMALL).toPandas()
+def test_query_equals_sql(testbed, duck, name):
+    got = entry.QUERIES[name](testbed).toPandas()
     assert canonical(got) == canonical(duck.sql(entry.oracle_sql()[name]).df())
 
 

@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SMALL
 from custodia.operators.keys import latest_review
 from custodia.operators.sinks import ensure_namespace, publish
 from custodia.plans.privileges import KINDS, all_privileges
@@ -32,8 +31,8 @@ PYTHON = {"owner_slug", "text_slug", "unicode_slug", "html_tables"}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
-def test_no_cross_join_no_global_window_and_no_needless_python(spark, name):
-    text = plan(entry.queries()[name](spark, SMALL), "formatted")
+def test_no_cross_join_no_global_window_and_no_needless_python(testbed, name):
+    text = plan(entry.QUERIES[name](testbed), "formatted")
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert "Window" not in text
