@@ -19,7 +19,8 @@ def owner_files(review: DataFrame, rows_per_file: int, allow_unicode: bool = Fal
     Owners whose names have one slug share it, and the number follows from the
     rows of all of them. Slugs are computed once per owner.
     """
-    named = review.select("object_owner", F.concat_ws("_", "access_review_id", F.ifnull("object_owner", F.lit("None"))).alias("name"))
+    owner = F.ifnull("object_owner", F.lit("None"))
+    named = review.select("object_owner", F.concat_ws("_", "access_review_id", owner).alias("name"))
     per_owner = named.groupBy("object_owner", "name").agg(F.count("*").alias("n_rows"))
     slugged = stage(per_owner.withColumn("owner_slug", slug("name", allow_unicode)), "owners")
     per_slug = slugged.groupBy("owner_slug").agg(F.sum("n_rows").alias("slug_rows"))
@@ -38,8 +39,9 @@ def export_rows(review: DataFrame, files: DataFrame, rows_per_file: int) -> Data
     of about that size, so no task gets more, however many rows one owner has.
     """
     spark = review.sparkSession
-    total = files.agg(F.sum("n_rows")).first()[0] or 0
-    tasks = max(spark.sparkContext.defaultParallelism, -(-total // rows_per_file))
+    rows, parts = files.agg(F.sum("n_rows"), F.sum("n_files")).first()
+    full_parts = -(-(rows or 0) // rows_per_file)
+    tasks = max(1, full_parts, min(parts or 0, spark.sparkContext.defaultParallelism))
     part = F.pmod(F.xxhash64("access_review_detail_id"), F.col("n_files")).cast("int")
     spread = (
         review.join(files.drop("n_rows"), review["object_owner"].eqNullSafe(files["object_owner"]))

@@ -182,10 +182,12 @@ def extract_tables(pages: DataFrame, anchor_id: str, columns: dict[str, str]) ->
 
 def nav_links(pages: DataFrame) -> DataFrame:
     """Links of list items: page, position in the page, target and text."""
-    item = F.lit('<li><a href="([^"]*)">([^<]*)</a></li>')
-    targets = F.regexp_extract_all("html", item, F.lit(1))
-    texts = F.regexp_extract_all("html", item, F.lit(2))
-    links = F.arrays_zip(targets.alias("href"), texts.alias("text"))
-    return pages.select("page_id", F.posexplode(links).alias("position", "link")).select(
-        "page_id", "position", "link.href", F.col("link.text").alias("text")
+    item = '<li><a href="([^"]*)">([^<]*)</a></li>'
+    # One pass over the page; the parts are taken from the short matches.
+    found = F.regexp_extract_all("html", F.lit(item), F.lit(0))
+    return pages.select("page_id", F.posexplode(found).alias("position", "item")).select(
+        "page_id",
+        "position",
+        F.regexp_extract("item", item, 1).alias("href"),
+        F.regexp_extract("item", item, 2).alias("text"),
     )

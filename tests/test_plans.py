@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,3 +112,10 @@ def test_the_latest_review_reads_one_partition(spark, schema, published):
 
 def test_the_scratch_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(conf={"spark.master": "yarn"}))
+    assert shared_folder(SimpleNamespace(conf={"spark.master": "yarn", "spark.checkpoint.dir": "/x/"})) == "/x"
+    assert shared_folder(SimpleNamespace(conf={"spark.master": "local[2]"}))

@@ -87,7 +87,17 @@ def test_unicode_names(spark, review):
     assert {r.object_owner: r.owner_slug for r in files.collect()}["中文"] == "1_中文"
 
 
-def test_a_large_owner_is_split_and_small_ones_are_not(spark, tmp_path):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_a_large_owner_is_split_and_small_ones_are_not(spark, tmp_path, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        check_split(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def check_split(spark, tmp_path):
     rows_per_file = 1000
     detail = spark.range(30_000).select(
         F.col("id").alias("access_review_detail_id"),
