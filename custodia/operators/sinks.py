@@ -13,11 +13,22 @@ def ensure_namespace(spark: SparkSession, schema: str, location: str | None = No
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{at}")
 
 
+def _settle(spark: SparkSession, table: str) -> None:
+    """Finish or undo a swap by `upsert_table` that was cut short."""
+    old = f"{table}__old"
+    if spark.catalog.tableExists(old):
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE {old}")
+        else:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+
+
 def ensure_table(spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str] = ()) -> None:
     """Create an empty parquet table unless it exists.
 
     Partition columns come last. Keys are not declared; see `check_key` and `assign_ids`.
     """
+    _settle(spark, name)
     partitioned = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet{partitioned}")
 
@@ -48,9 +59,11 @@ def upsert_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Merge rows into a table.
 
     The merged rows are written beside the table and then swapped in, so the
-    table is never overwritten while it is read.
+    table is never overwritten while it is read, and a run that dies at any point
+    loses no rows: the next one settles what it left.
     """
     spark = source.sparkSession
+    _settle(spark, table)
     merged = upsert(spark.table(table), source, keys)
     new, old = f"{table}__new", f"{table}__old"
     spark.sql(f"DROP TABLE IF EXISTS {new}")

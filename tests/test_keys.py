@@ -85,6 +85,24 @@ def test_upsert_table_twice(spark, schema):
     assert [t.name for t in tables if not t.isTemporary] == ["outcomes"]
 
 
+def test_a_swap_cut_short_is_settled(spark, schema):
+    name, folder = schema
+    ensure_namespace(spark, name, folder)
+    table = f"{name}.outcomes"
+    own = spark.createDataFrame([(9, "own")], OUTCOMES)
+    ensure_table(spark, table, OUTCOMES)
+    append(own, table)
+    # Died between the renames, then before the old table was dropped.
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    ensure_table(spark, table, OUTCOMES)
+    upsert_table(review_outcomes(spark), table, ["outcome_id"])
+    assert spark.table(table).count() == 5
+    publish(own, f"{table}__old")
+    upsert_table(review_outcomes(spark), table, ["outcome_id"])
+    assert spark.table(table).count() == 5
+    assert not spark.catalog.tableExists(f"{table}__old")
+
+
 def test_tables(spark, schema):
     name, folder = schema
     ensure_namespace(spark, name, folder)
