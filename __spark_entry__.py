@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.functions.names import normalize_columns, normalize_map, normalize_schema, slug, snake
+from custodia.functions.names import normalize_columns, normalize_map, slug, snake
 from custodia.functions.scalars import parse_ts
 from custodia.operators import inventory, keys
 from custodia.operators.export import export_review, owner_counts, owner_files

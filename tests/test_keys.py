@@ -110,7 +110,8 @@ def test_tables(spark, schema):
     reviews = f"{name}.reviews"
     for _ in range(2):
         ensure_table(spark, reviews, REVIEWS)
-        append(spark.sql("SELECT 'me' AS created_by, 1L AS access_review_id, timestamp'2024-01-01' AS created_date"), reviews)
+        header = "SELECT 'me' AS created_by, 1L AS access_review_id, timestamp'2024-01-01' AS created_date"
+        append(spark.sql(header), reviews)
     assert spark.table(reviews).count() == 2
     published = publish(spark.range(3), f"{name}.numbers")
     published = publish(spark.range(5), f"{name}.numbers")
