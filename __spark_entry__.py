@@ -280,9 +280,21 @@ def _over_directory(query: Query) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(Testbed(spark, sf_dir))
 
 
+def _text_operators() -> tuple[dict, dict]:
+    """Queries and SQL of the text operators and their pipeline; none if they are not installed."""
+    try:
+        import corpus_pipeline
+        from custodia.llm.oracles import ORACLES as text_oracles
+        from custodia.llm.queries import QUERIES as text_queries
+    except ImportError:
+        return {}, {}
+    sql = text_oracles | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return text_queries | {"pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _over_directory(query) for name, query in QUERIES.items()}
+    return {name: _over_directory(query) for name, query in QUERIES.items()} | _text_operators()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return dict(ORACLES) | _text_operators()[1]
