@@ -28,7 +28,7 @@ from custodia.llm.common import TextArrays, bounds, like, mix, text_chunks
 #: Labelled rows of each kind that the model is fitted and calibrated on, at most.
 SAMPLE_PER_LABEL = 1500
 #: A text stays if it is good with at least this probability.
-KEEP_AT = 0.5
+KEEP_AT = 0.3
 #: Base rules: a text fails below so many words, or above this percentage of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
