@@ -1,0 +1,107 @@
+import random
+
+import pytest
+
+from custodia.llm.common import TextArrays
+from custodia.llm.components import connected_components
+from custodia.llm.near_dedup import _rest, drop_near_copies, near_duplicates, shingle_hashes, shingle_set
+
+
+def brute(rows, words, percent=80):
+    """Components of all pairs, by union-find."""
+    sets = [shingle_set((text or "").encode(), words) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            same_id = rows[i][0] is not None and rows[i][0] == rows[j][0]
+            both = len(sets[i] & sets[j])
+            near = both and 100 * both >= percent * len(sets[i] | sets[j])
+            if same_id or (near and rows[i][0] is not None and rows[j][0] is not None):
+                root[find(i)] = find(j)
+    lowest = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            lowest[find(i)] = min(doc_id, lowest.get(find(i), doc_id))
+    return [(d, len(sets[i]), lowest.get(find(i)), d is None or lowest[find(i)] == d) for i, (d, _) in enumerate(rows)]
+
+
+def check(docs, words):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    found = [tuple(r) for r in near_duplicates(docs, words).collect()]
+    assert sorted(found, key=str) == sorted(brute(rows, words), key=str)
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_documents(small_docs, words):
+    check(small_docs, words)
+
+
+def test_edge_rows(edge_docs, no_docs):
+    check(edge_docs, 2)
+    assert near_duplicates(no_docs, 2).count() == 0
+
+
+def test_large_group_and_chain(spark):
+    """A large group of near copies, and a chain whose ends are far apart."""
+    random.seed(3)
+    base = [f"w{random.randrange(5000)}" for _ in range(60)]
+    rows, text = [], list(base)
+    for i in range(120):
+        copy = list(base)
+        copy[random.randrange(60)] = f"x{i}"
+        rows.append((1000 + i, " ".join(copy)))
+    for i in range(40):
+        text[i % 60] = f"y{i}"
+        rows.append((500 - i, " ".join(text)))
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 2)
+
+
+def test_open_buckets(spark):
+    """A class that is near others of its bucket, but not the centre, is still looked at."""
+    members = [(0, 100, 7, 0), (1, 100, 7, 0), (2, 100, 7, 0), (3, 100, 7, 0), (4, 10, 7, 0)]
+    members = spark.createDataFrame(members, "head long, n long, bucket long, centre long")
+    checked = [(1, 0, 90, 100), (2, 0, 75, 100), (3, 0, 20, 100), (4, 0, 70, 100)]
+    checked = spark.createDataFrame(checked, "a long, b long, both long, either long")
+    components = spark.createDataFrame([(1, 0), (0, 0)], "node long, component long")
+    # 3 is too far from 1 and 2, and 4 is too small.
+    assert [tuple(r) for r in _rest(members, checked, components, 80).collect()] == [(1, 2)]
+
+
+def test_hashes_agree_with_sets():
+    texts = [b"", b"a", b"A b", b"a b a b a b", b"x  y\nz x y z", "É é".encode()]
+    for words in (1, 2, 3, 5):
+        found = shingle_hashes(TextArrays(texts, lower=True), words)
+        assert [len(s) for s in found] == [len(shingle_set(t, words)) for t in texts]
+
+
+def test_drop_near_copies(spark, edge_docs, no_docs):
+    kept = drop_near_copies(edge_docs, 2)
+    assert kept.columns == edge_docs.columns
+    ids = sorted((r.doc_id for r in kept.collect()), key=str)
+    # 6 has two copies, one of them its own row again; the row without an id stays.
+    assert ids == sorted([0, 1, 2, 3, 4, 5, 6, 9, 10, 99, None], key=str)
+    assert drop_near_copies(no_docs, 2).count() == 0
+
+
+def test_components(spark):
+    random.seed(5)
+    edges = [(random.randrange(300), random.randrange(300)) for _ in range(200)]
+    edges += [(i, i + 1) for i in range(400, 460)] + [(900, i) for i in range(500, 560)] + [(7, 7), (1, None)]
+    found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    lowest = {}
+    for _ in range(500):
+        changed = False
+        for u, v in edges:
+            if v is not None and u != v:
+                low = min(lowest.get(u, u), lowest.get(v, v))
+                changed |= lowest.get(u) != low or lowest.get(v) != low
+                lowest[u] = lowest[v] = low
+        if not changed:
+            break
+    assert found == lowest
