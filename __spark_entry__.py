@@ -14,9 +14,9 @@ from custodia.operators.export import export_review, owner_counts, owner_files
 from custodia.operators.sinks import ensure_namespace, publish
 from custodia.plans.privileges import KINDS, all_privileges, branch, privileges_by_owner
 from custodia.plans.refresh import TABLES, VOLUME_TABLE, refresh
-from custodia.plans.review import create_review, newest_review_id, snapshot
+from custodia.plans.review import ReviewTables, create_review, newest_review_id, snapshot
 from custodia.plans.support import cluster_version_support, support_counter, support_histogram, support_table
-from custodia.plans.views import register_views
+from custodia.plans.views import create_views, register_views
 from custodia.schemas import PRIVILEGE_COLUMNS
 from custodia.sources.catalog import METADATA_TABLES, read_table
 from custodia.sources.html_tables import extract_tables, nav_links
@@ -88,6 +88,16 @@ def refresh_tables(tb: Testbed) -> DataFrame:
     return keys.union_frames([df.groupBy("table_name").agg(F.count("*").alias("n_rows")) for df in counts])
 
 
+def published_runtime_versions(tb: Testbed) -> DataFrame:
+    """The release table of the newest stored page, published with all its columns."""
+    schema, folder = _schema(tb, "published")
+    ensure_namespace(tb.spark, schema, folder)
+    landing = new_folder(tb.spark, "landing")
+    tb.land("runtime_pages", landing)
+    pages = read_inventory(tb.spark, f"{landing}/runtime_pages", "runtime_pages")
+    return publish(inventory.runtime_versions(pages, RELEASE_ANCHOR), f"{schema}.runtime_versions")
+
+
 def view_counts(tb: Testbed) -> DataFrame:
     inventory_schema, folder = _schema(tb, "inventory")
     ensure_namespace(tb.spark, inventory_schema, folder)
@@ -120,6 +130,13 @@ def _review_rows(tb: Testbed) -> DataFrame:
     )
 
 
+def _review_detail(tb: Testbed) -> DataFrame:
+    """Review rows with all columns of the detail."""
+    rows = _review_rows(tb)
+    missing = [name for name in REVIEW_COLUMNS if name not in rows.columns]
+    return rows.select("*", *[F.lit("-").alias(name) for name in missing]).select(*REVIEW_COLUMNS)
+
+
 def _exported(tb: Testbed) -> str:
     """Folder with the exported snapshot of all privileges."""
     reviews = _reviews(tb)
@@ -130,11 +147,51 @@ def _exported(tb: Testbed) -> str:
     return folder
 
 
+def published(tb: Testbed, table: str) -> DataFrame:
+    """One published table, by way of landed files."""
+    schema, folder = _schema(tb, "published")
+    ensure_namespace(tb.spark, schema, folder)
+    return publish(_landed(tb, table), f"{schema}.{table}")
+
+
+def _stored_views(tb: Testbed) -> str:
+    """A schema with all tables and both views."""
+    schema, folder = _schema(tb, "views")
+    ensure_namespace(tb.spark, schema, folder)
+    for name, df in (tb.frames() | {"runtime_versions": tb.runtime_versions()}).items():
+        publish(df, f"{schema}.{name}")
+    create_views(tb.spark, schema, schema, schema)
+    return schema
+
+
+def stored_support(tb: Testbed) -> DataFrame:
+    support = tb.spark.table(f"{_stored_views(tb)}.cluster_version_support")
+    # Days count from the time of the query.
+    return support.drop("days_until_end_of_support")
+
+
 def created_review(tb: Testbed) -> DataFrame:
     schema, folder = _schema(tb, "reviews")
-    create_review(all_privileges(tb.frames()), schema, by="tester", at="2024-06-01 19:00:00", location=folder)
-    detail, reviews = (read_table(tb.spark, f"{schema}.access_review{part}") for part in ("_detail", "s"))
-    return keys.latest_review(detail, reviews).select(*REVIEW_COLUMNS)
+    create_review(all_privileges(tb.frames()), schema, by="tester", at=AS_OF, location=folder)
+    tables = ReviewTables(schema)
+    detail, reviews, outcomes = (read_table(tb.spark, t) for t in (tables.detail, tables.reviews, tables.outcomes))
+    rows = keys.latest_review(detail, reviews).join(reviews, "access_review_id").join(outcomes, "outcome_id")
+    return rows.select(*REVIEW_COLUMNS, "outcome_value", "created_by", "created_date")
+
+
+def export_numbers(tb: Testbed) -> DataFrame:
+    """Per file name: how many rows, and whether they are numbered from 0 without a gap; files are small."""
+    reviews = _reviews(tb)
+    detail = keys.assign_ids(_review_detail(tb), "access_review_detail_id")
+    folder = new_folder(tb.spark, "export")
+    export_review(stage(detail, "detail"), reviews, folder, rows_per_file=100)
+    number = F.col("_c0").cast("long")
+    return read_reviews_csv(tb.spark, folder).groupBy("object_owner").agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct(number).alias("n_numbers"),
+        F.min(number).alias("lowest"),
+        F.max(number).alias("highest"),
+    )
 
 
 def exported_review(tb: Testbed) -> DataFrame:
@@ -146,7 +203,11 @@ def csv_import(tb: Testbed) -> DataFrame:
     ensure_namespace(tb.spark, schema, folder)
     checkpoint = new_folder(tb.spark, "checkpoint")
     imported = import_reviews(tb.spark, _exported(tb), f"{schema}.access_review_import", checkpoint)
-    return imported.select(*REVIEW_COLUMNS)
+    return imported.select(
+        *REVIEW_COLUMNS,
+        F.col("import_file_name").endswith(".csv").alias("from_csv"),
+        F.col("import_timestamp").isNotNull().alias("has_time"),
+    )
 
 
 def identity_ids(tb: Testbed) -> DataFrame:
@@ -193,6 +254,7 @@ def html_tables(tb: Testbed) -> DataFrame:
         "Variants": "variants",
         "Release date": "release_date",
         "End-of-support date": "end_of_support_date",
+        "Engine version": "engine_version",
     }
     rows = extract_tables(tb.raw_runtime_pages(), RELEASE_ANCHOR, headers)
     dated = rows.withColumns({name: parse_ts(name) for name in ("release_date", "end_of_support_date")})
@@ -228,6 +290,15 @@ QUERIES: dict[str, Query] = {
     "landed_dashboard_acl": lambda tb: _plain_sources(_landed(tb, "dashboard_privileges")),
     "landed_volume_acl": lambda tb: _plain_sources(_landed(tb, "volume_privileges")),
     "refresh_tables": refresh_tables,
+    "published_users": lambda tb: _users(published(tb, "users")),
+    "published_workspaces": lambda tb: published(tb, "workspaces"),
+    "published_workspace_privileges": lambda tb: published(tb, "workspace_privileges"),
+    "published_clusters": lambda tb: _clusters(published(tb, "clusters")),
+    "published_warehouses": lambda tb: _warehouses(published(tb, "warehouses")),
+    "published_cluster_privileges": lambda tb: _plain_sources(published(tb, "cluster_privileges")),
+    "published_warehouse_privileges": lambda tb: _plain_sources(published(tb, "warehouse_privileges")),
+    "published_dashboard_privileges": lambda tb: _plain_sources(published(tb, "dashboard_privileges")),
+    "published_runtime_versions": published_runtime_versions,
     # Support windows.
     "cluster_version_support": lambda tb: cluster_version_support(tb.clusters(), tb.runtime_versions(), AS_OF),
     "support_table": lambda tb: support_table(
@@ -242,6 +313,8 @@ QUERIES: dict[str, Query] = {
     "owners": lambda tb: keys.owners(all_privileges(tb.frames())),
     "owner_rows": lambda tb: keys.rows_of_owner(all_privileges(tb.frames()), "owner_3"),
     "view_counts": view_counts,
+    "stored_privileges": lambda tb: tb.spark.table(f"{_stored_views(tb)}.all_privileges"),
+    "stored_support": stored_support,
     # Reviews.
     "latest_id": lambda tb: keys.latest_id(_reviews(tb), "access_review_id"),
     "latest_review": lambda tb: keys.latest_review(_review_rows(tb), _reviews(tb)),
@@ -249,6 +322,7 @@ QUERIES: dict[str, Query] = {
     "review_snapshot": lambda tb: snapshot(all_privileges(tb.frames()), newest_review_id(_reviews(tb))),
     "created_review": created_review,
     "exported_review": exported_review,
+    "export_numbers": export_numbers,
     "csv_import": csv_import,
     "identity_ids": identity_ids,
     "outcomes_upsert": outcomes_upsert,

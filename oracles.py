@@ -52,12 +52,12 @@ SKIN = {
         from part)""",
     "runtime_versions": """
     select *, replace(version, ' LTS', '') as spark_version_number from (
-        select distinct concat(cast(p_size as varchar), '.', cast(p_partkey % 4 as varchar),
-                               case when p_size % 3 = 0 then ' LTS' else '' end) as version,
+        select distinct concat(cast(size as varchar), '.', cast(p_partkey % 4 as varchar),
+                               case when size % 3 = 0 then ' LTS' else '' end) as version,
                'Standard' as variants,
-               cast(date '2022-06-01' + p_size * 30 as timestamp) as release_date,
-               cast(date '2023-06-01' + p_size * 30 as timestamp) as end_of_support_date
-        from part where p_size >= 6)""",
+               cast(date '2022-06-01' + size * 30 as timestamp) as release_date,
+               cast(date '2023-06-01' + size * 30 as timestamp) as end_of_support_date
+        from (select p_partkey, p_size + 5 as size from part))""",
     "support": f"""
     select cluster_id, cluster_name, coalesce(owner, 'Not tagged') as object_owner, c.spark_version_number,
            variants, release_date, end_of_support_date,
@@ -188,8 +188,7 @@ SKIN = {
            'N/A' as catalog_name, 'N/A' as schema_name, 'READ VOLUME' as privilege_type,
            'NO' as is_grantable, 'NONE' as inherited_from
     from (select volume_name, catalog_name, schema_name, concat('user_', cast(l_orderkey as varchar)) as grantee
-          from lineitem join volumes on concat('v', cast(l_suppkey as varchar)) = volume_name
-          where l_linenumber = 1) p
+          from lineitem join volumes on concat('v', cast(l_suppkey as varchar)) = volume_name) p
     join volumes v
       on p.catalog_name = v.catalog_name and p.schema_name = v.schema_name and p.volume_name = v.volume_name""",
     "connection_branch": """
@@ -255,7 +254,7 @@ _ASCII_SLUG = _SLUG.format("regexp_replace(strip_accents({0}), '[^\\x00-\\x7F]',
 _UNICODE_SLUG = _SLUG.format("nfc_normalize({0})", "\\p{{L}}\\p{{N}}_")
 
 _TABLE_COUNTS = {
-    "runtime_versions": "pages where html like '%</article>%'",
+    "runtime_versions": "(select max(page_id) as newest from pages where html like '%</article>%') where newest is not null",
     "users": "customer",
     "workspaces": "nation",
     "workspace_privileges": "customer",
@@ -267,6 +266,17 @@ _TABLE_COUNTS = {
     "volume_privileges": "events",
 }
 
+_RELEASES = """
+        select *, replace(version, ' LTS', '') as spark_version_number from (
+            select page_id, url, 0 as row_number,
+                   concat(cast(page_id % 20 as varchar), '.', cast(page_id % 4 as varchar),
+                          case when page_id % 3 = 0 then ' LTS' else '' end) as version,
+                   concat('Std & ML ', cast(page_id as varchar)) as variants,
+                   cast(date '2022-06-01' + cast(page_id % 1000 as integer) as timestamp) as release_date,
+                   cast(date '2024-06-01' + cast(page_id % 1000 as integer) as timestamp) as end_of_support_date,
+                   concat('e', cast(page_id as varchar)) as engine_version
+            from pages where html like '%</article>%')"""
+
 _ITEM = '\'<li><a href="([^"]*)">([^<]*)</a></li>\''
 
 ORACLES = {
@@ -298,6 +308,16 @@ ORACLES = {
     "refresh_tables": " union all ".join(
         f"select '{table}' as table_name, count(*) as n_rows from {source}" for table, source in _TABLE_COUNTS.items()
     ),
+    "published_users": _with("select * from users"),
+    "published_workspaces": _with("select * from workspaces"),
+    "published_workspace_privileges": _with("select * from workspace_privileges"),
+    "published_clusters": _with(_CLUSTERS),
+    "published_warehouses": _with(_WAREHOUSES),
+    "published_cluster_privileges": _published("cluster_privileges", "cluster_id"),
+    "published_warehouse_privileges": _published("warehouse_privileges", "warehouse_id"),
+    "published_dashboard_privileges": _published("dashboard_privileges", "dashboard_id"),
+    "published_runtime_versions": f"select * exclude (page_id, url, row_number) from ({_RELEASES}) "
+    "where page_id = (select max(page_id) from pages where html like '%</article>%')",
     # Support windows.
     "cluster_version_support": _with("select * from support"),
     "support_table": _with(
@@ -324,6 +344,8 @@ ORACLES = {
         "select object_type, privilege_type, count(*) as n_rows from all_privileges group by all "
         "union all select 'supported cluster', variants, count(*) from support group by all"
     ),
+    "stored_privileges": _with("select * from all_privileges"),
+    "stored_support": _with("select * exclude (days_until_end_of_support) from support"),
     # Reviews.
     "latest_id": _with("select max(access_review_id) as access_review_id from review_rows"),
     "latest_review": _with(
@@ -336,9 +358,21 @@ ORACLES = {
     "review_snapshot": _with(
         _SNAPSHOT.format("(select max(year(o_orderdate))::bigint from orders)")
     ),
-    "created_review": _with(_SNAPSHOT.format("cast(1 as bigint)")),
+    "created_review": _with(
+        "select *, 'Not reviewed' as outcome_value, 'tester' as created_by, "
+        f"cast({AS_OF} as timestamp) as created_date from ({_SNAPSHOT.format('cast(1 as bigint)')})"
+    ),
+    "export_numbers": _with(
+        "select object_owner, count(*) as n_rows, count(*) as n_numbers, cast(0 as bigint) as lowest, "
+        "count(*) - 1 as highest from review_rows "
+        "where access_review_id = (select max(access_review_id) from review_rows) group by object_owner"
+    ),
     "exported_review": _with(_SNAPSHOT.format("(select max(year(o_orderdate))::bigint from orders)")),
-    "csv_import": _with(_SNAPSHOT.format("(select max(year(o_orderdate))::bigint from orders)")),
+    "csv_import": _with(
+        "select *, true as from_csv, true as has_time from ("
+        + _SNAPSHOT.format("(select max(year(o_orderdate))::bigint from orders)")
+        + ")"
+    ),
     "identity_ids": "select count(*) as n_rows, count(*) as n_ids, true as from_start from lineitem",
     "outcomes_upsert": """
         with source as (
@@ -373,13 +407,5 @@ ORACLES = {
                unnest(texts) as text
         from (select page_id, regexp_extract_all(html, {_ITEM}, 1) as hrefs,
                      regexp_extract_all(html, {_ITEM}, 2) as texts from pages)""",
-    "html_tables": """
-        select *, replace(version, ' LTS', '') as spark_version_number from (
-            select page_id, url, 0 as row_number,
-                   concat(cast(page_id % 20 as varchar), '.', cast(page_id % 4 as varchar),
-                          case when page_id % 3 = 0 then ' LTS' else '' end) as version,
-                   concat('Std & ML ', cast(page_id as varchar)) as variants,
-                   cast(date '2022-06-01' + cast(page_id % 1000 as integer) as timestamp) as release_date,
-                   cast(date '2024-06-01' + cast(page_id % 1000 as integer) as timestamp) as end_of_support_date
-            from pages where html like '%</article>%')""",
+    "html_tables": _RELEASES,
 }
