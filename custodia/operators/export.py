@@ -8,7 +8,7 @@ from custodia.functions.names import slug
 from custodia.operators.keys import count_by_owner, latest_review
 from custodia.schemas import REVIEW_DETAIL
 from custodia.sources.reviews import CSV_WRITE
-from custodia.storage import stage
+from custodia.storage import Staging, staging
 
 ROWS_PER_FILE = 1_000_000
 
@@ -22,37 +22,51 @@ def owner_files(review: DataFrame, rows_per_file: int, allow_unicode: bool = Fal
     owner = F.ifnull("object_owner", F.lit("None"))
     named = review.select("object_owner", F.concat_ws("_", "access_review_id", owner).alias("name"))
     per_owner = named.groupBy("object_owner", "name").agg(F.count("*").alias("n_rows"))
-    slugged = stage(per_owner.withColumn("owner_slug", slug("name", allow_unicode)), "owners")
-    per_slug = slugged.groupBy("owner_slug").agg(F.sum("n_rows").alias("slug_rows"))
-    return slugged.join(per_slug, "owner_slug").select(
-        "object_owner",
+    slugged = per_owner.select("object_owner", slug("name", allow_unicode).alias("owner_slug"), "n_rows")
+    slug_rows = F.sum("n_rows").over(W.partitionBy("owner_slug"))  # one row per owner
+    return slugged.withColumn("n_files", F.ceil(slug_rows / rows_per_file).cast("int"))
+
+
+def file_tasks(parted: DataFrame, rows_per_file: int) -> DataFrame:
+    """Per file (owner_slug, part): the number of its first row, and the task that writes it.
+
+    A part of a split name has a task of its own. Names of one file share tasks, which
+    are full at half of ``rows_per_file``, so none gets more than 1.5 times that number.
+    """
+    files = parted.groupBy("owner_slug", "part").agg(F.count("*").alias("n"), (F.first("n_files") > 1).alias("split"))
+    # One row per file from here on.
+    earlier = W.partitionBy("owner_slug").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    packed = W.partitionBy("split").orderBy("owner_slug", "part")
+    start = F.coalesce(F.sum("n").over(packed.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    alone = F.row_number().over(packed) - 1
+    n_alone = F.count_if("split").over(W.partitionBy())
+    task = F.when(F.col("split"), alone).otherwise(n_alone + F.floor(2 * start / rows_per_file))
+    return files.select(
         "owner_slug",
-        "n_rows",
-        F.ceil(F.col("slug_rows") / rows_per_file).cast("int").alias("n_files"),
+        "part",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"),
+        task.cast("int").alias("task"),
     )
 
 
-def export_rows(review: DataFrame, files: DataFrame, rows_per_file: int) -> DataFrame:
-    """Review rows with the slug to write them under, spread over tasks of about one file each.
+def export_rows(review: DataFrame, files: DataFrame, rows_per_file: int, staged: Staging) -> DataFrame:
+    """Review rows, numbered from 0 within a slug, with the slug to write them under, in the tasks that do.
 
-    An owner with more than ``rows_per_file`` rows is split by row id into files
-    of about that size, so no task gets more, however many rows one owner has.
+    An owner with more than ``rows_per_file`` rows is split by row id into parts of
+    about that size. Counts per part tell where its numbers start, so they have no
+    gaps, and no row is ordered outside of its part.
     """
-    spark = review.sparkSession
-    rows, parts = files.agg(F.sum("n_rows"), F.sum("n_files")).first()
-    full_parts = -(-(rows or 0) // rows_per_file)
-    tasks = max(1, full_parts, min(parts or 0, spark.sparkContext.defaultParallelism))
     part = F.pmod(F.xxhash64("access_review_detail_id"), F.col("n_files")).cast("int")
-    spread = (
+    parted = (
         review.join(files.drop("n_rows"), review["object_owner"].eqNullSafe(files["object_owner"]))
         .drop(files["object_owner"])
         .withColumn("part", part)
-        .repartition(tasks, "owner_slug", "part")
     )
-    # Rows of a part are already together; parts interleave their numbers, so a
-    # number is unique within an owner's files.
-    in_part = W.partitionBy("owner_slug", "part").orderBy("access_review_detail_id")
-    number = (F.row_number().over(in_part) - 1).cast("bigint") * F.col("n_files") + F.col("part")
+    tasks = staged.stage(file_tasks(parted, rows_per_file), "file-tasks")
+    n_tasks = (tasks.agg(F.max("task")).first()[0] or 0) + 1
+    spread = parted.join(tasks, ["owner_slug", "part"]).repartitionById(n_tasks, "task")
+    in_part = W.partitionBy("task", "owner_slug", "part").orderBy("access_review_detail_id")
+    number = (F.col("first") + F.row_number().over(in_part) - 1).cast("bigint")
     return spread.select(number.alias("_c0"), *REVIEW_DETAIL.names, "owner_slug")
 
 
@@ -67,13 +81,18 @@ def export_review(
 
     An owner of at most ``rows_per_file`` rows gets one file. The owner stays a
     column, so owners that share a slug stay apart. Files of earlier reviews are
-    kept, files of this one are replaced. Returns the owners and their files.
+    kept, files of this one are replaced. Returns the owners and their files, which
+    are written to ``<out_dir>/_owners``; readers of the directory pass over it.
     """
+    spark = detail.sparkSession
     review = latest_review(detail, reviews)
-    files = stage(owner_files(review, rows_per_file, allow_unicode), "owner-files")
-    rows = export_rows(review, files, rows_per_file)
-    writer = rows.withColumnRenamed("_c0", "").write.options(**CSV_WRITE).partitionBy("owner_slug")
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").csv(out_dir)
+    listed = f"{out_dir}/_owners"
+    owner_files(review, rows_per_file, allow_unicode).write.mode("overwrite").parquet(listed)
+    files = spark.read.parquet(listed)
+    with staging(spark) as staged:
+        rows = export_rows(review, files, rows_per_file, staged)
+        writer = rows.withColumnRenamed("_c0", "").write.options(**CSV_WRITE).partitionBy("owner_slug")
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").csv(out_dir)
     return files
 
 
