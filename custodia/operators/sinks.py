@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from custodia.operators.keys import upsert
+from custodia.storage import remove_folder
 
 
 def ensure_namespace(spark: SparkSession, schema: str, location: str | None = None) -> None:
@@ -14,7 +15,7 @@ def ensure_namespace(spark: SparkSession, schema: str, location: str | None = No
 
 
 def _settle(spark: SparkSession, table: str) -> None:
-    """Finish or undo a swap by `upsert_table` that was cut short."""
+    """Finish or undo a swap that was cut short."""
     old = f"{table}__old"
     if spark.catalog.tableExists(old):
         if spark.catalog.tableExists(table):
@@ -33,10 +34,37 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, partition_b
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet{partitioned}")
 
 
+def write_beside(df: DataFrame, table: str) -> None:
+    """Write the full result as ``<table>__new``; the table itself stays as it is."""
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {table}__new")
+    # A write that failed leaves a folder, but no table.
+    schema, _, name = table.rpartition(".")
+    home = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
+    remove_folder(spark, f"{home}/{name.lower()}__new")
+    df.write.format("parquet").saveAsTable(f"{table}__new")
+
+
+def swap_in(spark: SparkSession, table: str) -> None:
+    """Put what `write_beside` wrote in the table's place.
+
+    A run that dies in between loses no rows: the next one settles what it left.
+    """
+    new, old = f"{table}__new", f"{table}__old"
+    _settle(spark, table)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
 def publish(df: DataFrame, table: str) -> DataFrame:
-    """Create or replace a table with the full result."""
-    df.write.format("parquet").mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Create or replace a table with the full result; until that is written, the old one stays."""
+    spark = df.sparkSession
+    _settle(spark, table)
+    write_beside(df, table)
+    swap_in(spark, table)
+    return spark.table(table)
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -64,10 +92,5 @@ def upsert_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:
     """
     spark = source.sparkSession
     _settle(spark, table)
-    merged = upsert(spark.table(table), source, keys)
-    new, old = f"{table}__new", f"{table}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {new}")
-    merged.write.format("parquet").saveAsTable(new)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    write_beside(upsert(spark.table(table), source, keys), table)
+    swap_in(spark, table)

@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from custodia.operators import inventory
-from custodia.operators.sinks import ensure_namespace, publish
+from custodia.operators.sinks import ensure_namespace, swap_in, write_beside
 from custodia.sources import landing
 from custodia.sources.landing import ACL_KEY, read_inventory
 
@@ -55,6 +55,9 @@ def refresh(
 ) -> dict[str, DataFrame]:
     """Create or replace all inventory tables and return them.
 
+    All tables are written beside the old ones before any is replaced, so a run
+    that fails leaves the old ones.
+
     ``release_anchor`` is the heading id of the release table in the stored pages.
     The tables do not depend on each other, so their jobs run side by side and
     small ones fill the executors that a large one leaves idle at its end.
@@ -62,5 +65,9 @@ def refresh(
     ensure_namespace(spark, schema, location)
     frames = inventory_frames(spark, landing_dir, release_anchor, volumes)
     with ThreadPoolExecutor(len(frames)) as pool:
-        jobs = {table: pool.submit(publish, df, f"{schema}.{table}") for table, df in frames.items()}
-        return {table: job.result() for table, job in jobs.items()}
+        jobs = [pool.submit(write_beside, df, f"{schema}.{table}") for table, df in frames.items()]
+        for job in jobs:
+            job.result()
+    for table in frames:
+        swap_in(spark, f"{schema}.{table}")
+    return {table: spark.table(f"{schema}.{table}") for table in frames}
