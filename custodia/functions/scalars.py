@@ -72,15 +72,6 @@ def runtime_number(spark_version) -> Column:
     return F.substring_index(_col(spark_version), ".x", 1)
 
 
-def default_to(c, value: str) -> Column:
-    return F.coalesce(_col(c), F.lit(value))
-
-
-def tag(df: DataFrame, **constants) -> DataFrame:
-    """Add constant columns."""
-    return df.withColumns({name: F.lit(value) for name, value in constants.items()})
-
-
 def drop_cols(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
@@ -100,8 +91,10 @@ def support_label(days, red: int = RED_BELOW, orange: int = ORANGE_BELOW) -> Col
 
 
 def parse_ts(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that fits; null if none does."""
-    return F.coalesce(*[F.try_to_timestamp(_col(c), F.lit(fmt)) for fmt in formats])
+    """First format that fits; a text that none fits fails the query."""
+    read = F.coalesce(*[F.try_to_timestamp(_col(c), F.lit(fmt)) for fmt in formats])
+    unread = F.raise_error(F.concat(F.lit("not a date: "), _col(c))).cast("timestamp")
+    return F.when(_col(c).isNull() | read.isNotNull(), read).otherwise(unread)
 
 
 def stamp(df: DataFrame, by: str = "created_by", at: str = "created_date", user=None, now=None) -> DataFrame:
@@ -112,7 +105,3 @@ def stamp(df: DataFrame, by: str = "created_by", at: str = "created_date", user=
             by: F.current_user() if user is None else F.lit(user),
         }
     )
-
-
-def with_file_name(df: DataFrame, name: str = "import_file_name") -> DataFrame:
-    return df.withColumn(name, F.col("_metadata.file_name"))

@@ -18,7 +18,8 @@ from custodia.functions.scalars import (
     strip_lts,
     tag_value,
 )
-from custodia.sources.html_tables import extract_tables
+from custodia.operators.keys import DuplicateKeyError, check_key
+from custodia.sources.html_tables import cell, table_cells
 
 # Headers of the release table that downstream reports use. Fixed values.
 RELEASE_HEADERS = ("Version", "Variants", "Release date", "End-of-support date")
@@ -76,10 +77,27 @@ def numbered_runtimes(runtimes: DataFrame) -> DataFrame:
     return runtimes.withColumn("spark_version_number", strip_lts("version"))
 
 
+def release_rows(pages: DataFrame, anchor_id: str) -> DataFrame:
+    """Rows of the release table of the newest stored page that has one, the one with the highest id."""
+    rows = table_cells(pages.select("page_id", "html"), anchor_id)
+    newest = rows.agg(F.max("page_id").alias("page_id")).scalar()
+    return rows.filter(F.col("page_id") == newest)
+
+
 def runtime_versions(pages: DataFrame, anchor_id: str, headers=RELEASE_HEADERS) -> DataFrame:
-    """Runtimes listed in the release table of stored pages."""
-    names = {header: snake_name(header) for header in headers}
-    # One name for the end-of-support column, whatever dashes its header holds.
-    rows = extract_tables(pages.select("html"), anchor_id, names).drop("row_number")
-    dates = [name for name in names.values() if name.endswith("_date")]
-    return numbered_runtimes(rows.withColumns({name: parse_ts(name) for name in dates}))
+    """Runtimes listed in the release table of stored pages, with all its columns.
+
+    ``headers`` must be in the table; others follow in its order. The driver reads
+    the names from one row. Fails if a runtime number is missing or listed twice.
+    """
+    rows = release_rows(pages, anchor_id)
+    needed = [snake_name(header) for header in headers]
+    first = rows.select(F.map_keys("cells").alias("names")).first()
+    names = needed + [name for name in (first.names if first else []) if name not in needed]
+    runtimes = rows.select(*[cell(name).alias(name) for name in names])
+    dates = [name for name in needed if name.endswith("_date")]
+    numbered = numbered_runtimes(runtimes.withColumns({name: parse_ts(name) for name in dates}))
+    wrong = check_key(numbered, ["spark_version_number"]).first()
+    if wrong:
+        raise DuplicateKeyError(f"runtime {wrong.spark_version_number} is listed {wrong.n_rows} times")
+    return numbered

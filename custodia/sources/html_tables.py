@@ -1,7 +1,7 @@
 """Tables in stored HTML pages.
 
-`extract_tables` finds, in each page, the heading with a given id and reads the
-next sibling table. `nav_links` covers markup regular enough for a pattern.
+`table_cells` finds, in each page, the heading with a given id and reads the
+next sibling table; `extract_tables` picks columns from it. `nav_links` covers markup regular enough for a pattern.
 """
 
 import re
@@ -9,10 +9,12 @@ import sys
 from html.parser import HTMLParser
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
 
+from custodia.functions.names import normalize_map, snake_name
+
 # The parser travels with the function, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -159,25 +161,40 @@ _ROW = StructType(
 )
 
 
-@F.udtf(returnType=_ROW)
+@F.udtf(returnType=_ROW, useArrow=True)
 class _ReadTable:
     def eval(self, html: str, anchor_id: str):
         if html is not None:
             yield from _records(html, anchor_id)
 
 
-def extract_tables(pages: DataFrame, anchor_id: str, columns: dict[str, str]) -> DataFrame:
-    """Rows of the table after the heading ``anchor_id`` in every page.
+def table_cells(pages: DataFrame, anchor_id: str) -> DataFrame:
+    """Rows of the table after the heading ``anchor_id`` in every page, as text by normalised header.
 
-    ``columns`` maps table headers to output names; other headers are dropped.
     The result has the page's columns other than ``html``, ``row_number`` and the
-    outputs as text. Pages without the anchor give no rows and are skipped before
-    their text leaves the JVM, so the id must be written plainly in the page.
+    map ``cells``, whose keys are the headers in order, in snake case. Pages without
+    the table give no rows.
     """
     kept = [F.col(name) for name in pages.columns if name != "html"]
-    found = pages.filter(F.contains("html", F.lit(anchor_id)))
-    rows = found.lateralJoin(_ReadTable(F.col("html").outer(), F.lit(anchor_id)))
-    return rows.select(*kept, "row_number", *[F.col("cells")[head].alias(name) for head, name in columns.items()])
+    rows = pages.lateralJoin(_ReadTable(F.col("html").outer(), F.lit(anchor_id)))
+    return rows.select(*kept, "row_number", normalize_map("cells").alias("cells"))
+
+
+def cell(name: str) -> Column:
+    """A cell by its normalised header; a table without the header fails the query."""
+    missing = F.raise_error(F.concat(F.lit(f"no column {name} in the table; it has "), F.to_json(F.map_keys("cells"))))
+    return F.when(F.map_contains_key("cells", name), F.col("cells")[name]).otherwise(missing.cast("string"))
+
+
+def extract_tables(pages: DataFrame, anchor_id: str, columns: dict[str, str]) -> DataFrame:
+    """`table_cells` with a column for each of some headers.
+
+    ``columns`` maps table headers to output names. Headers are matched in snake
+    case; one that a table lacks fails the query.
+    """
+    rows = table_cells(pages, anchor_id)
+    kept = [name for name in rows.columns if name != "cells"]
+    return rows.select(*kept, *[cell(snake_name(head)).alias(name) for head, name in columns.items()])
 
 
 def nav_links(pages: DataFrame) -> DataFrame:

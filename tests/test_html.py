@@ -2,6 +2,8 @@ import pytest
 
 from conftest import rows
 from custodia.operators.inventory import runtime_versions
+from custodia.operators.keys import DuplicateKeyError
+from custodia.plans.support import cluster_version_support
 from custodia.sources.html_tables import extract_tables, nav_links
 
 HEAD = "<tr><th>A</th><th>B</th></tr>"
@@ -50,36 +52,87 @@ def test_no_sibling_table(spark, page):
     assert extract(spark, page) == []
 
 
-def test_spans_missing_cells_and_unknown_headers(spark):
+def test_spans_and_missing_cells(spark):
     page = (
         '<h2 id="anchor">x</h2><table><tr><th>A</th><th>B</th><th>C</th></tr>'
-        '<tr><td rowspan="2">1</td><td colspan="2">2</td></tr><tr><td>3</td><td>4</td></tr><tr><td>5</td></tr></table>'
+        '<tr><td rowspan="2">1</td><td colspan="2">2</td></tr><tr><td>3</td><td>4</td></tr><tr><td>5</td><td></td><td></td></tr></table>'
     )
-    assert extract(spark, page, columns={"A": "a", "B": "b", "C": "c", "D": "d"}) == [
-        (0, "u0", 0, "1", "2", "2", None),
-        (0, "u0", 1, "1", "3", "4", None),
-        (0, "u0", 2, "5", None, None, None),
+    assert extract(spark, page, columns={"A": "a", "B": "b", "c": "c"}) == [
+        (0, "u0", 0, "1", "2", "2"),
+        (0, "u0", 1, "1", "3", "4"),
+        (0, "u0", 2, "5", None, None),
     ]
 
 
+def test_a_missing_header_fails(spark):
+    with pytest.raises(Exception, match="no column d in the table"):
+        extract(spark, f'<h2 id="anchor">x</h2>{table("1", "2")}', columns={"A": "a", "D": "d"})
+
+
+def test_an_anchor_written_with_an_entity_is_found(spark):
+    assert extract(spark, f'<h2 id="anch&#111;r">x</h2>{table("1", "2")}') == [(0, "u0", 0, "1", "2")]
+
+
 def test_every_page_of_a_corpus(spark):
     pages = [f'<h2 id="anchor">x</h2>{table(i, i + 1)}' for i in range(50)] + ["<p>none</p>"] * 50
     expected = [(i, f"u{i}", 0, str(i), str(i + 1)) for i in range(50)]
     assert sorted(extract(spark, *pages)) == expected
 
 
-def test_runtime_versions(spark):
-    page = (
+def release_page(*cells, head="End-of-support date"):
+    rows_ = "".join(f"<tr>{''.join(f'<td>{c}</td>' for c in row)}</tr>" for row in cells)
+    return (
         '<h2 id="rel">x</h2><table><tr><th>Version</th><th>Variants</th><th>Apache Spark version</th>'
-        "<th>Release date</th><th>End-of-support date</th></tr>"
-        "<tr><td>15.4 LTS</td><td>all</td><td>3.5.0</td><td>Aug 19, 2024</td><td>August 19, 2027</td></tr>"
-        "<tr><td>16.0</td><td>all</td><td>3.5.0</td><td>soon</td><td></td></tr></table>"
+        f"<th>Release date</th><th>{head}</th></tr>{rows_}</table>"
     )
-    df = runtime_versions(spark.createDataFrame([(1, "u", page)], "page_id bigint, url string, html string"), "rel")
-    assert df.columns == ["version", "variants", "release_date", "end_of_support_date", "spark_version_number"]
+
+
+LISTED = [
+    ("15.4 LTS", "all", "3.5.0", "Aug 19, 2024", "August 19, 2027"),
+    ("16.0", "all", "3.5.0", "Aug 19, 2024", ""),
+]
+
+
+def runtimes(spark, *pages):
+    df = spark.createDataFrame([(i, "u", page) for i, page in enumerate(pages)], "page_id bigint, url string, html string")
+    return runtime_versions(df, "rel")
+
+
+def test_runtime_versions(spark):
+    df = runtimes(spark, release_page(*LISTED))
+    needed = ["version", "variants", "release_date", "end_of_support_date"]
+    assert df.columns == [*needed, "apache_spark_version", "spark_version_number"]
     first, second = sorted(df.collect())
     assert (first.version, first.spark_version_number, first.end_of_support_date.year) == ("15.4 LTS", "15.4", 2027)
-    assert (second.release_date, second.end_of_support_date) == (None, None)
+    assert (second.end_of_support_date, second.apache_spark_version) == (None, "3.5.0")
+
+
+def test_the_newest_page_counts(spark):
+    """Stored copies do not multiply runtimes; a page without the table is no release page."""
+    pages = [release_page(("1.0", "old", "1", "", "")), release_page(*LISTED), release_page(*LISTED), "<p>none</p>"]
+    df = runtimes(spark, *pages)
+    assert rows(df.select("version")) == [("15.4 LTS",), ("16.0",)]
+    clusters = spark.createDataFrame([("c", "n", "o", "15.4")], "cluster_id string, cluster_name string, owner string, spark_version_number string")
+    assert cluster_version_support(clusters, df).count() == 1
+
+
+def test_headers_are_matched_in_snake_case(spark):
+    assert runtimes(spark, release_page(*LISTED, head="End of support date")).count() == 2
+
+
+def test_a_renamed_header_fails(spark):
+    with pytest.raises(Exception, match="no column end_of_support_date"):
+        runtimes(spark, release_page(*LISTED, head="Supported until")).collect()
+
+
+def test_a_runtime_listed_twice_fails(spark):
+    with pytest.raises(DuplicateKeyError, match="15.4"):
+        runtimes(spark, release_page(*LISTED, ("15.4", "ml", "3", "", "")))
+
+
+def test_an_unreadable_release_date_fails(spark):
+    with pytest.raises(Exception, match="not a date: soon"):
+        runtimes(spark, release_page(("1.0", "a", "b", "soon", ""))).collect()
 
 
 def test_nav_links(spark):
