@@ -1,24 +1,32 @@
-"""Import of reviewed files as a stream: each file is read once."""
+"""Import of reviewed files as streams: each file is imported once."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from custodia.functions.scalars import with_file_name
-from custodia.schemas import REVIEW_CSV
-from custodia.sources.reviews import CSV_READ
+from custodia.sources.reviews import FILE_NAME, REJECTED, review_rows
 
 
 def read_review_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """New CSV files under a directory; a backlog is worked off in batches of bounded size."""
-    reader = spark.readStream.schema(REVIEW_CSV).options(**CSV_READ)
-    return reader.option("maxFilesPerTrigger", files_per_batch).csv(path)
+    """Rows of new CSV files under a directory; a backlog is worked off in batches of bounded size."""
+    reader = spark.readStream.option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", files_per_batch)
+    return review_rows(reader, path)
 
 
 def enrich_import(df: DataFrame) -> DataFrame:
-    """Drop the row number, add the time of import and the file name."""
-    named = with_file_name(df.withColumn("import_timestamp", F.current_timestamp()))
-    return named.drop("_c0")
+    """Readable rows without the row number, with the time of import and the file name."""
+    kept = [name for name in df.columns if name not in ("_c0", FILE_NAME, REJECTED)]
+    return df.filter(F.col(REJECTED).isNull()).select(
+        *kept, F.current_timestamp().alias("import_timestamp"), FILE_NAME
+    )
+
+
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """Rows that cannot be read: what could be, their text, the time of import and the file name."""
+    kept = [name for name in df.columns if name not in ("_c0", FILE_NAME)]
+    return df.filter(F.col(REJECTED).isNotNull()).select(
+        *kept, F.current_timestamp().alias("import_timestamp"), FILE_NAME
+    )
 
 
 def start_import(df: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
@@ -28,6 +36,20 @@ def start_import(df: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
 
 
 def import_reviews(spark: SparkSession, path: str, table: str, checkpoint: str) -> DataFrame:
-    """Import new review files and return the table of all imported rows."""
-    start_import(enrich_import(read_review_stream(spark, path)), table, checkpoint).awaitTermination()
+    """Import new review files and return the table of all imported rows.
+
+    Rows that cannot be read go to ``<table>_rejects``. Both tables have a stream and a
+    checkpoint of their own, so each takes every row exactly once. A file with other
+    columns stops the import.
+    """
+    streams = [
+        start_import(enrich_import(read_review_stream(spark, path)), table, checkpoint),
+        start_import(rejected_rows(read_review_stream(spark, path)), f"{table}_rejects", f"{checkpoint}-rejects"),
+    ]
+    try:
+        for stream in streams:
+            stream.awaitTermination()
+    finally:
+        for stream in streams:
+            stream.stop()
     return spark.table(table)
