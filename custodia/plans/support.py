@@ -3,33 +3,29 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.functions.scalars import days_until, default_to, month_of, support_label
+from custodia.functions.scalars import days_until, month_of, support_label
 from custodia.plans.privileges import NOT_TAGGED
 
 
+def support_query(clusters: str, runtimes: str, now: str = "current_timestamp()") -> str:
+    """Clusters on a listed runtime with its dates; clusters on any other runtime are left out."""
+    return f"""
+        SELECT c.cluster_id, c.cluster_name, ifnull(c.owner, '{NOT_TAGGED}') AS object_owner,
+               c.spark_version_number, r.variants, r.release_date, r.end_of_support_date,
+               timestampdiff(DAY, {now}, r.end_of_support_date) AS days_until_end_of_support
+        FROM {clusters} c JOIN {runtimes} r ON r.spark_version_number = c.spark_version_number
+    """
+
+
 def cluster_version_support(clusters: DataFrame, runtimes: DataFrame, as_of=None) -> DataFrame:
-    """Clusters on a listed runtime with its dates; clusters on any other runtime are left out.
+    """`support_query` over frames.
 
     The list of runtimes is broadcast if its files are small, which they are
     unless the list is wrong; Spark checks that.
     """
-    listed = runtimes.select(
-        "spark_version_number",
-        "variants",
-        "release_date",
-        "end_of_support_date",
-        days_until("end_of_support_date", as_of).alias("days_until_end_of_support"),
-    )
-    return clusters.join(listed, "spark_version_number").select(
-        "cluster_id",
-        "cluster_name",
-        default_to("owner", NOT_TAGGED).alias("object_owner"),
-        "spark_version_number",
-        "variants",
-        "release_date",
-        "end_of_support_date",
-        "days_until_end_of_support",
-    )
+    now = "current_timestamp()" if as_of is None else f"timestamp '{as_of}'"
+    query = support_query("{clusters}", "{runtimes}", now)
+    return clusters.sparkSession.sql(query, clusters=clusters, runtimes=runtimes)
 
 
 def support_table(support: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custodia.plans.privileges import NOT_TAGGED, all_privileges, privilege_query
-from custodia.plans.support import cluster_version_support
+from custodia.plans.privileges import all_privileges, privilege_query
+from custodia.plans.support import cluster_version_support, support_query
 from custodia.sources.catalog import INVENTORY_TABLES, METADATA_TABLES, privilege_frames
 
 
@@ -28,13 +28,5 @@ def create_views(spark: SparkSession, schema: str, inventory_schema: str, metada
     tables = {name: f"{inventory_schema}.{name}" for name in INVENTORY_TABLES}
     tables |= {name: f"{metadata_schema}.{name}" for name in METADATA_TABLES}
     spark.sql(f"CREATE OR REPLACE VIEW {schema}.all_privileges AS {privilege_query(tables)}")
-    spark.sql(
-        f"""
-        CREATE OR REPLACE VIEW {schema}.cluster_version_support AS
-        SELECT c.cluster_id, c.cluster_name, ifnull(c.owner, '{NOT_TAGGED}') AS object_owner,
-               c.spark_version_number, r.variants, r.release_date, r.end_of_support_date,
-               timestampdiff(DAY, current_timestamp(), r.end_of_support_date) AS days_until_end_of_support
-        FROM {tables["clusters"]} c
-        JOIN {inventory_schema}.runtime_versions r ON r.spark_version_number = c.spark_version_number
-        """
-    )
+    support = support_query(tables["clusters"], f"{inventory_schema}.runtime_versions")
+    spark.sql(f"CREATE OR REPLACE VIEW {schema}.cluster_version_support AS {support}")
