@@ -154,7 +154,7 @@ def published(tb: Testbed, table: str) -> DataFrame:
     return publish(_landed(tb, table), f"{schema}.{table}")
 
 
-def _stored_views(tb: Testbed) -> str:
+def stored_schema(tb: Testbed) -> str:
     """A schema with all tables and both views."""
     schema, folder = _schema(tb, "views")
     ensure_namespace(tb.spark, schema, folder)
@@ -165,7 +165,7 @@ def _stored_views(tb: Testbed) -> str:
 
 
 def stored_support(tb: Testbed) -> DataFrame:
-    support = tb.spark.table(f"{_stored_views(tb)}.cluster_version_support")
+    support = tb.spark.table(f"{stored_schema(tb)}.cluster_version_support")
     # Days count from the time of the query.
     return support.drop("days_until_end_of_support")
 
@@ -313,7 +313,7 @@ QUERIES: dict[str, Query] = {
     "owners": lambda tb: keys.owners(all_privileges(tb.frames())),
     "owner_rows": lambda tb: keys.rows_of_owner(all_privileges(tb.frames()), "owner_3"),
     "view_counts": view_counts,
-    "stored_privileges": lambda tb: tb.spark.table(f"{_stored_views(tb)}.all_privileges"),
+    "stored_privileges": lambda tb: tb.spark.table(f"{stored_schema(tb)}.all_privileges"),
     "stored_support": stored_support,
     # Reviews.
     "latest_id": lambda tb: keys.latest_id(_reviews(tb), "access_review_id"),
