@@ -134,3 +134,8 @@ def test_names_without_dashes_stay(spark):
     df = spark.createDataFrame([({"a": "1"},)], schema)
     assert rows(normalize_schema(df)) == [({"a": "1"},)]
     assert re.fullmatch(r"[a-z]+", snake_name("ABC"))
+
+
+def test_unicode_slugs_replace_compatibility_forms(spark):
+    df = spark.createDataFrame([("ﬁle ①",)], "t string")
+    assert rows(df.select(slug("t", True), slug("t"))) == [("file-1", "file-1")]
