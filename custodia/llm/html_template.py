@@ -168,8 +168,11 @@ def _choose(elements: pd.DataFrame) -> int:
         marked = inside[(inside["flags"].astype(int) & flag) != 0]
         # The outermost: its parent does not carry the mark.
         outer = marked[~marked["up"].isin(set(marked["key"]))]
-        if len(outer) == 1:
-            return int(outer["key"].iloc[0])
+        if len(outer):
+            # Of several, the one that is most of their text; else each page's own are read.
+            best = outer.sort_values(["mass", "key"]).iloc[-1]
+            alone = len(outer) == 1 or best["mass"] >= MASS * outer["mass"].sum() > 0
+            return int(best["key"]) if alone else 0
     at, mass, heading = 0, inside["mass"].max() if len(inside) else 0, 0
     while mass:
         below = inside[(inside["up"] == at) & (inside["mass"] >= MASS * mass) & (2 * inside["heading"] >= heading)]

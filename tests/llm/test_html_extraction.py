@@ -104,6 +104,13 @@ def test_edge_rows(spark):
     assert extract(df.filter("page_id > 9")).count() == 0
 
 
+def test_teasers_beside_the_article(spark):
+    """Of several articles in a template, the one with most of the text is the page's."""
+    page = "<body><article class='post'><p>{}</p></article><article class='teaser'>{}</article></body>"
+    rows = [(i, "http://e.example/", page.format(words(i, 50), words(i + 50, 5)), "", "") for i in range(5)]
+    assert texts(spark.createDataFrame(rows, SCHEMA)) == {i: words(i, 50) for i in range(5)}
+
+
 def test_copies_of_one_page(spark):
     """Text that all pages of a host share is no template inside an article."""
     rows = [(i, "http://d.example/", "<body><article><h1>t</h1><p>same text</article></body>", "", "") for i in range(30)]
