@@ -3,13 +3,17 @@
 A document is its set of distinct shingles of lower-cased words. Universal hash
 minima are cut into bands, and documents that agree in a band share a bucket.
 Equal sets are one class, which only its lowest document stands for. In every
-bucket the lowest class is the centre; every other one is checked against it on
-the full sets, so a bucket costs as many checks as it has classes. Links make
-components. Only buckets whose classes are then still in several components are
-looked at again: a class that is not linked with the centre is checked against
-the classes of other components, unless their distances from the centre already
-tell them apart (the Jaccard distance obeys the triangle inequality). So no two
-classes of a bucket that are similar enough end in two components.
+bucket the lowest class is the centre. Classes are checked on the full sets
+against the centres of their buckets, first against the lowest one, then against
+those whose component they have not joined, so a group of near copies costs about
+one check for each of its classes.
+
+Links make components. Only buckets whose classes are then still in several
+components are looked at again: a class that is not in its centre's component is
+checked against every class of another one, unless their sizes, or how many of
+their shingles any other class in question has at all, rule a link out. So no two
+classes of a bucket that are similar enough end in two components, and no component
+is paired with itself.
 
 Two documents at the threshold share no bucket with a probability of
 (1 - similarity^rows)^bands, below 1 in a million for the defaults.
@@ -35,7 +39,7 @@ from custodia.llm.components import connected_components
 from custodia.storage import stage
 
 #: Minima per band, and bands.
-ROWS, BANDS = 6, 50
+ROWS, BANDS = 7, 64
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
 SEED = 20_240_601
@@ -121,6 +125,24 @@ def sign(docs: DataFrame, words: int, rows: int = ROWS, bands: int = BANDS) -> D
     return read.mapInArrow(run, "doc_id long, text_key long, n_shingles long, digest binary, bands array<long>")
 
 
+def shared_shingles(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """Per document, how many of its shingles other documents of ``ids`` have too, at most: head, shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_chunks(batches):
+            sets = [s.view(np.int64) for s in shingle_hashes(TextArrays(texts, lower=True), words)]
+            column = pa.array(sets, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), column], ["head", "hashes"])
+
+    sets = stage(_texts(docs, ids).mapInArrow(run, "head long, hashes array<long>"), "near-sets")
+    every = sets.select("head", F.explode("hashes").alias("hash"))
+    owners = every.groupBy("hash").agg(F.min("head").alias("head"), F.max("head").alias("last"))
+    alone = owners.filter("head = last").groupBy("head").agg(F.count("*").alias("alone"))
+    sizes = sets.groupBy("head").agg(F.sum(F.size("hashes")).alias("n"))
+    joined = sizes.join(alone, "head", "left")
+    return joined.select("head", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
 def shingle_set(text: bytes, words: int) -> set:
     """The shingles of a text, as tuples of words."""
     found = text.lower().split()
@@ -155,8 +177,8 @@ def check_pairs(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Texts of the documents in some pairs, written once."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    """Texts of the documents in some columns of ids, written once."""
+    ids = pairs.select(F.explode(F.array(*pairs.columns)).alias("id")).distinct()
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return stage(named.join(stage(ids, "near-ids"), F.col("doc_id") == F.col("id"), "left_semi"), "near-texts")
 
@@ -177,61 +199,71 @@ def link(docs: DataFrame, words: int, percent: int = PERCENT, rows: int = ROWS,
     centres = keyed.groupBy("bucket").agg(F.min("head").alias("centre"), F.count("*").alias("n_classes"))
     centres = stage(centres.filter("n_classes > 1").drop("n_classes"), "near-centres")
     members = stage(keyed.join(centres, "bucket"), "near-members")
-    stars = members.filter("head <> centre").select(F.col("head").alias("a"), F.col("centre").alias("b")).distinct()
-    stars = stage(stars, "near-stars")
-    checked = stage(check_pairs(stars, _texts(docs, stars), words), "near-checked")
+    pairs = members.filter("head <> centre").select(F.col("head").alias("a"), F.col("centre").alias("b")).distinct()
+    pairs = stage(pairs, "near-pairs")
 
-    linked = (F.col("both") * 100 >= F.col("either") * percent) & (F.col("either") > 0)
-    links = copies.unionByName(checked.filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    # First everything against its lowest centre, then what is still apart.
+    todo = stage(pairs.groupBy("a").agg(F.min("b").alias("b")), "near-todo")
+    checked = stage(check_pairs(todo, _texts(docs, todo), words), "near-checked")
+    links = copies.unionByName(_links(checked, percent))
     components = stage(connected_components(links), "near-components")
-
-    rest = stage(_rest(members, checked, components, percent), "near-rest")
-    if not rest.isEmpty():
-        more = stage(check_pairs(rest, _texts(docs, rest), words), "near-checked")
-        links = links.unionByName(more.filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    todo = stage(_apart(pairs, components).join(checked, ["a", "b"], "left_anti"), "near-todo")
+    if not todo.isEmpty():
+        second = stage(check_pairs(todo, _texts(docs, todo), words), "near-checked")
+        checked = checked.unionByName(second)
+        links = links.unionByName(_links(second, percent))
         components = stage(connected_components(links), "near-components")
-    found = components.select(F.col("node").alias("id"), "component")
-    return signed.join(found, F.col("doc_id") == F.col("id"), "left").select(
+    rest = _rest(docs, members, checked, components, words, percent)
+    if not rest.isEmpty():
+        third = stage(check_pairs(rest, _texts(docs, rest), words), "near-checked")
+        components = stage(connected_components(links.unionByName(_links(third, percent))), "near-components")
+    label = components.select(F.col("node").alias("id"), "component")
+    return signed.join(label, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
 
 
-def _rest(members: DataFrame, checked: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that are in different components and may yet be similar: a, b."""
-    of = components.select(F.col("node").alias("head"), "component")
-    placed = members.join(of, "head", "left").withColumn("component", F.coalesce("component", "head"))
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("lowest"), F.max("component").alias("highest"))
-    open_ = stage(open_.filter("lowest <> highest").select("bucket"), "near-open")
-    distance = checked.select(
-        F.col("a").alias("head"), F.col("b").alias("centre"), (1 - F.col("both") / F.col("either")).alias("far")
-    )
-    inside = placed.join(open_, "bucket", "left_semi").join(distance, ["head", "centre"], "left")
-    centre_of = components.select(F.col("node").alias("centre"), F.col("component").alias("centre_component"))
-    inside = inside.join(centre_of, "centre", "left").select(
-        "bucket",
-        "head",
-        "n",
-        "component",
-        F.coalesce("far", F.lit(0.0)).alias("far"),
-        (F.col("component") != F.coalesce("centre_component", "centre")).alias("outside"),
-        (F.col("head") != F.col("centre")).alias("open"),
-    )
-    inside = stage(inside.filter("open").drop("open"), "near-inside")
-    # Linked sets are no further apart than `near`, so neither are their distances from the centre.
-    near = 1 - percent / 100 + 1e-9
-    cell = F.floor(F.col("far") / near)
-    left = inside.filter("outside").select(
-        "bucket",
-        F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"),
-        F.struct("head", "n", "component", "far").alias("x"),
-    )
-    right = inside.select("bucket", cell.alias("cell"), F.struct("head", "n", "component", "far").alias("y"))
-    met = left.join(right, ["bucket", "cell"]).filter(
-        (F.col("x.component") != F.col("y.component"))
-        & (F.abs(F.col("x.far") - F.col("y.far")) <= near)
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+def _links(checked: DataFrame, percent: int) -> DataFrame:
+    """Edges (u, v) of pairs that are similar enough."""
+    near = checked.filter(f"either > 0 AND both * 100 >= either * {percent}")
+    return near.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _component_of(rows: DataFrame, node: str, components: DataFrame, name: str) -> DataFrame:
+    """Adds the component of a column of nodes; a node without links is its own."""
+    of = components.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+    joined = rows.join(of, F.col(node) == F.col("_node"), "left")
+    return joined.withColumn(name, F.coalesce("_component", node)).drop("_node", "_component")
+
+
+def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components."""
+    placed = _component_of(_component_of(pairs, "a", components, "x"), "b", components, "y")
+    return placed.filter("x <> y").select("a", "b")
+
+
+def _rest(
+    docs: DataFrame, members: DataFrame, checked: DataFrame, components: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components that may yet be similar, and are unchecked."""
+    placed = _component_of(members, "head", components, "component")
+    open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = stage(open_.filter("low <> high").select("bucket"), "near-open")
+    inside = _component_of(placed.join(open_, "bucket", "left_semi"), "centre", components, "central")
+    inside = inside.select("bucket", "head", "n", "component", F.expr("component <> central").alias("outside"))
+    inside = stage(inside, "near-inside")
+    heads = inside.select("head").distinct()
+    inside = inside.join(stage(shared_shingles(docs, heads, words), "near-shared"), "head")
+    one = inside.filter("outside").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("head", "n", "component", "shared")])
+    # An intersection has no more than what either set shares with others at all.
+    most = "least(x_shared, shared)"
+    # Of two classes that are both outside, one meets the other.
+    met = one.join(inside, "bucket").filter(
+        f"component <> x_component AND (NOT outside OR x_head < head) "
+        f"AND {most} * 100 >= (x_n + n - {most}) * {percent}"
     )
-    return met.select(F.least("x.head", "y.head").alias("a"), F.greatest("x.head", "y.head").alias("b")).distinct()
+    found = met.select(F.greatest("x_head", "head").alias("a"), F.least("x_head", "head").alias("b")).distinct()
+    return stage(found.join(checked, ["a", "b"], "left_anti"), "near-rest")
 
 
 def near_duplicates(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 
 from custodia.llm.common import TextArrays
 from custodia.llm.components import connected_components
-from custodia.llm.near_dedup import _rest, drop_near_copies, near_duplicates, shingle_hashes, shingle_set
+from custodia.llm.near_dedup import drop_near_copies, link, near_duplicates, shingle_hashes, shingle_set
 
 
 def brute(rows, words, percent=80):
@@ -37,7 +37,7 @@ def check(docs, words):
     assert sorted(found, key=str) == sorted(brute(rows, words), key=str)
 
 
-@pytest.mark.parametrize("words", [2, 5])
+@pytest.mark.parametrize("words", [2])
 def test_documents(small_docs, words):
     check(small_docs, words)
 
@@ -62,15 +62,23 @@ def test_large_group_and_chain(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 2)
 
 
-def test_open_buckets(spark):
-    """A class that is near others of its bucket, but not the centre, is still looked at."""
-    members = [(0, 100, 7, 0), (1, 100, 7, 0), (2, 100, 7, 0), (3, 100, 7, 0), (4, 10, 7, 0)]
-    members = spark.createDataFrame(members, "head long, n long, bucket long, centre long")
-    checked = [(1, 0, 90, 100), (2, 0, 75, 100), (3, 0, 20, 100), (4, 0, 70, 100)]
-    checked = spark.createDataFrame(checked, "a long, b long, both long, either long")
-    components = spark.createDataFrame([(1, 0), (0, 0)], "node long, component long")
-    # 3 is too far from 1 and 2, and 4 is too small.
-    assert [tuple(r) for r in _rest(members, checked, components, 80).collect()] == [(1, 2)]
+def ladder(n, step):
+    """Texts of 100 words, of which more and more are replaced."""
+    return [" ".join(f"new{i}_{k}" if k < i * step else f"old{k}" for k in range(100)) for i in range(n)]
+
+
+@pytest.mark.parametrize("rows", [1])
+def test_few_minima(spark, rows):
+    """Bands of one or two minima put much into one bucket; what isn't linked with a centre is still found."""
+    texts = [*ladder(12, 6), *[f"{t} more words here" for t in ladder(5, 17)], *ladder(6, 40)]
+    random.seed(9)
+    order = random.sample(range(1000), len(texts))
+    docs = spark.createDataFrame(list(zip(order, texts, strict=True)), "doc_id long, text string").repartition(3)
+    rows_ = [(r.doc_id, r.text) for r in docs.collect()]
+    linked = link(docs, 1, rows=rows, bands=20).collect()
+    want = {doc_id: component for doc_id, _, component, _ in brute(rows_, 1)}
+    assert {r.doc_id: r.component_id for r in linked} == want
+    assert 1 < len(set(want.values())) < len(want)
 
 
 def test_hashes_agree_with_sets():
