@@ -39,7 +39,7 @@ HIDDEN = frozenset(
     "nav aside footer form script style noscript template iframe svg button select textarea object canvas audio "
     "video dialog menu head".split()
 )
-#: Words of class, id or role that name what is not the article.
+#: Words of class, id or role that may name what is not the article.
 NOT_ARTICLE = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored promo promotion banner "
     "sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer cookie cookies consent notice "
@@ -47,7 +47,16 @@ NOT_ARTICLE = frozenset(
     "complementary contentinfo newsletter subscribe search login signup masthead".split()
 )
 
-ARTICLE, MAIN, OUTSIDE, HEADER, HEADING, LINK = 1, 2, 4, 8, 16, 32
+#: Of these, words that no part of an article has as its topic.
+CLUTTER_WORDS = NOT_ARTICLE - frozenset(
+    "alert alerts complementary consent discussion login notice notices promotion related search share sharing "
+    "signup social subscribe".split()
+)
+#: Elements whose id names them; in others it is the anchor of a part of the text.
+NAMED_BY_ID = frozenset("div ul ol article".split())
+
+#: NAMED and CLUTTER are proposals, which `html_template.settle` decides on; POST is an article element itself.
+ARTICLE, MAIN, OUTSIDE, HEADER, HEADING, LINK, NAMED, CLUTTER, POST = 1, 2, 4, 8, 16, 32, 64, 128, 256
 #: What an element hands down to those in it.
 HANDED = ARTICLE | MAIN | OUTSIDE | HEADER | HEADING | LINK
 
@@ -74,23 +83,26 @@ class Page(NamedTuple):
     texts: list[Text]
 
 
-def _names(rest: str) -> tuple[str, frozenset[str], bool]:
-    """An element's class and id without digits, their words and the role's, and whether it is hidden."""
-    key, words, hidden = [], set(), False
+def _names(tag: str, rest: str) -> tuple[str, frozenset[str], frozenset[str], bool]:
+    """An element's class and id without digits, their words and the role's, those that name it, and whether it is hidden."""
+    key, words, naming, hidden = [], set(), set(), False
     for name, a, b, c in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
             key.append(f"{name}={re.sub(r'[0-9]+', '#', value)}")
-            words.update(_WORDS.findall(value))
+            found = _WORDS.findall(value)
+            words.update(found)
+            naming.update(found if name == "class" or tag in NAMED_BY_ID else ())
         elif name == "role":
             words.update(_WORDS.findall(value))
+            naming.update(_WORDS.findall(value))
             if value == "main":
                 key.append("role=main")
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             hidden = True
         elif name == "style" and re.search(r"display\s*:\s*none", value):
             hidden = True
-    return ";".join(key), frozenset(words), hidden
+    return ";".join(key), frozenset(words), frozenset(naming), hidden
 
 
 class _Tag(NamedTuple):
@@ -107,15 +119,19 @@ class _Tag(NamedTuple):
 
 def _tag(name: str, rest: str) -> _Tag:
     tag = name.lower()
-    key, words, hidden = _names(rest) if "=" in rest or "hidden" in rest else ("", frozenset(), False)
+    key, words, naming, hidden = "", frozenset(), frozenset(), False
+    if "=" in rest or "hidden" in rest:
+        key, words, naming, hidden = _names(tag, rest)
     flags = 0
-    if tag in HIDDEN or hidden or (words & NOT_ARTICLE and tag not in ("html", "body", "main")):
+    if tag in HIDDEN or hidden:
         flags |= OUTSIDE
+    if naming & NOT_ARTICLE and tag not in ("html", "body", "main"):
+        flags |= NAMED | (CLUTTER if naming & CLUTTER_WORDS else 0)
     if tag == "header" or words == {"header"} or {"site", "header"} <= words or {"page", "header"} <= words:
         flags |= HEADER
     if tag == "main" or "role=main" in key:
         flags |= MAIN
-    flags |= {"article": ARTICLE, "h1": HEADING, "a": LINK}.get(tag, 0)
+    flags |= {"article": ARTICLE | POST, "h1": HEADING, "a": LINK}.get(tag, 0)
     ordered = not key and tag in ("div", "section", "table", "tr", "td")
     void, inline = tag in VOID, tag in INLINE
     ends = () if inline or void else ENDS.get(tag, ("p",))

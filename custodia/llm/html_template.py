@@ -8,7 +8,10 @@ class of tokens that every page has once. Valid classes make the template. What
 lies between its tokens are slots, and the element of the template that holds the
 article's slots is the host's container: an article, else a main element, else the
 innermost one with most of the text that is in slots. The text of a page is what
-its container holds, without elements that their name or kind tells to be other matter.
+its container holds, without elements that their kind tells to be other matter. A class,
+id or role only proposes that: an element goes if its text is mostly links, if it is a
+named article in an article, or if its name can't be a topic and it is in the template
+and holds little of the slots' text; never if it holds the page's article or most text.
 
 Vectors are never gathered: two sums of hashes over (page, count) stand for one, so
 that a host with any number of pages is summed up where its pages are read.
@@ -21,7 +24,7 @@ table; only page_id, url and html are read. Pages are read whole.
 """
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import pandas as pd
@@ -29,13 +32,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.html_page import ARTICLE, HEADER, HEADING, LINK, MAIN, OUTSIDE, Page, join_blocks, parse
+from custodia.llm.html_page import (
+    ARTICLE,
+    CLUTTER,
+    HANDED,
+    HEADER,
+    HEADING,
+    LINK,
+    MAIN,
+    NAMED,
+    OUTSIDE,
+    POST,
+    Page,
+    join_blocks,
+    parse,
+)
 from custodia.storage import stage
 
 #: Tokens of a class count if at least this share of the host's pages has them.
 SUPPORT = 0.5
 #: A child takes over as container if it holds this share of the slots' text.
 MASS = 0.6
+#: What a name proposes goes if it holds at most this share of the slots' text.
+LITTLE = 0.3
 #: Text runs count as template, outside of article and main elements, from this many pages on.
 TEXT_PAGES = 3
 
@@ -52,7 +71,7 @@ def text_token(parent: int, text: str) -> int:
 
 
 def tokens_of(page: Page) -> list[tuple[int, int, int, int, int]]:
-    """Token, parent's position, text length outside of links, flags, and 1 for texts, in page order."""
+    """Token, parent's position, text length, flags, and 1 for texts, in page order."""
     elements, texts = page.elements, page.texts
     rows, where = [], {0: -1}
     k, last = 0, len(texts)
@@ -63,8 +82,8 @@ def tokens_of(page: Page) -> list[tuple[int, int, int, int, int]]:
             k += 1
             if text.text.strip():
                 up = elements[text.parent]
-                length = 0 if up.flags & LINK else len(text.text)
-                rows.append((text_token(up.token, text.text), where[text.parent], length, up.flags, 1))
+                token = text_token(up.token, text.text)
+                rows.append((token, where[text.parent], len(text.text), up.flags & HANDED, 1))
         if i < len(elements):
             e = elements[i]
             where[i] = len(rows)
@@ -72,6 +91,55 @@ def tokens_of(page: Page) -> list[tuple[int, int, int, int, int]]:
     return rows
 
 
+def settle(
+    parents: list[int],
+    flags: list[int],
+    lengths: list[int],
+    links: list[int],
+    slots: list[int],
+    clutter: Callable[[int, int, int], bool],
+) -> list[bool]:
+    """Which elements are other matter, by kind or by a name that is confirmed.
+
+    Parents come before their children. Lengths are of an element's own text, of it in
+    links, and of it in slots outside of links. ``clutter`` confirms an element, by its
+    text and all text in slots, whose name can't be a topic.
+    """
+    out = [bool(f & OUTSIDE) for f in flags]
+    named = [i for i, f in enumerate(flags) if f & NAMED and not out[i]]
+    if not named:
+        return out
+    sums = [[0 if gone else n for n, gone in zip(own, out, strict=True)] for own in (lengths, links, slots)]
+    whole, linked, slot = sums
+    total, in_slots = sum(whole), sum(slot)
+    for i in range(len(parents) - 1, -1, -1):
+        if parents[i] >= 0:
+            for one in sums:
+                one[parents[i]] += one[i]
+    under = [bool(f & NAMED) for f in flags]
+    for i, up in enumerate(parents):
+        under[i] |= up >= 0 and under[up]
+    # The page's article is the largest, of those without a name around them if there are any.
+    held: set[int] = set()
+    for flag in (ARTICLE, MAIN):
+        marked = [i for i, f in enumerate(flags) if f & flag and not out[i]]
+        marked = [i for i in marked if parents[i] < 0 or not flags[parents[i]] & flag]
+        if marked:
+            at = max([i for i in marked if not under[i]] or marked, key=lambda i: (whole[i], -i))
+            while at >= 0:
+                held.add(at)
+                at = parents[at]
+            break
+    for i in named:
+        if i in held or 2 * whole[i] > total or not whole[i]:
+            continue
+        nested = flags[i] & POST and parents[i] >= 0 and flags[parents[i]] & ARTICLE
+        out[i] = bool(2 * linked[i] >= whole[i] or nested or (flags[i] & CLUTTER and clutter(i, slot[i], in_slots)))
+    for i, up in enumerate(parents):
+        out[i] |= up >= 0 and out[up]
+    return out
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
     """Token sequences of all pages, with the distinct tokens and their counts."""
     schema = pa.schema(
@@ -122,9 +190,24 @@ def equivalence_classes(sequences: DataFrame, support: float = SUPPORT) -> DataF
     return shared.groupBy("host").agg(F.first("n_host").alias("n_host"), F.sort_array(F.collect_list(token)).alias("known"))
 
 
-def _observe(known: dict[int, tuple[int, bool]], row: dict) -> tuple[dict, dict]:
-    """Of one page: per class its order and gap, and per template element its parent, text and heading."""
-    tokens, parents, texts = row["tokens"], row["parents"], row["texts"]
+def _observe(known: dict[int, tuple[int, bool]], row: dict) -> tuple[dict, dict, dict]:
+    """Of one page: per class its order and gap, per template element its parent, text and heading, and the text
+    in slots of elements that may go by their name, with the page's."""
+    tokens, parents, texts, flags = row["tokens"], row["parents"], row["texts"], row["flags"]
+    links = [n if f & LINK else 0 for n, f in zip(row["lengths"], flags, strict=True)]
+    lengths = [n - linked for n, linked in zip(row["lengths"], links, strict=True)]
+    slots = [0 if token in known else n for token, n in zip(tokens, lengths, strict=True)]
+    names: dict[int, list[int]] = {}
+
+    def clutter(i: int, mine: int, total: int) -> bool:
+        if tokens[i] not in known:
+            return False
+        sums = names.setdefault(tokens[i], [0, 0])
+        sums[0] += mine
+        sums[1] += total
+        return mine <= LITTLE * total
+
+    out = settle(parents, flags, row["lengths"], links, slots, clutter)
     runs: dict[int, list[int]] = {}
     gaps: dict[int, set[int]] = {}
     seen_roots = 0
@@ -149,16 +232,16 @@ def _observe(known: dict[int, tuple[int, bool]], row: dict) -> tuple[dict, dict]
             up = parent
             while up >= 0 and not (tokens[up] in known and known[tokens[up]][1]):
                 up = parents[up]
-            elements[token] = [tokens[up] if up >= 0 else 0, row["flags"][i], 0, 0]
-        if text and token not in known and not row["flags"][i] & (OUTSIDE | HEADER):
-            heading = row["lengths"][i] if row["flags"][i] & HEADING else 0
+            elements[token] = [tokens[up] if up >= 0 else 0, flags[i] | (OUTSIDE if out[i] else 0), 0, 0]
+        if text and token not in known and not out[i] and not flags[i] & HEADER:
+            heading = lengths[i] if flags[i] & HEADING else 0
             up = parent
             while up >= 0:
                 if tokens[up] in elements:
-                    elements[tokens[up]][2] += row["lengths"][i]
+                    elements[tokens[up]][2] += lengths[i]
                     elements[tokens[up]][3] += heading
                 up = parents[up]
-    return classes, elements
+    return classes, elements, names
 
 
 def _choose(elements: pd.DataFrame) -> int:
@@ -184,16 +267,16 @@ def _choose(elements: pd.DataFrame) -> int:
 
 
 def deduce_templates(sequences: DataFrame, classes: DataFrame) -> DataFrame:
-    """Per host: the container's token, and the text tokens of valid classes."""
+    """Per host: the container's token, the tokens of valid classes, and those of elements that go by their name."""
 
     def observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["host", "key", "is_class", "low", "high", "gap_low", "gap_high", "up", "flags", "mass", "heading"]
+        names = ["host", "key", "kind", "low", "high", "gap_low", "gap_high", "up", "flags", "mass", "heading"]
         schema = pa.schema([(n, pa.string() if n == "host" else pa.int64()) for n in names])
         for batch in batches:
             out: dict[tuple, list] = {}
             for row in batch.to_pylist():
                 known = {x["token"]: (x["class"], x["root"]) for x in row["known"]}
-                found, elements = _observe(known, row)
+                found, elements, named = _observe(known, row)
                 for number, (order, gap) in found.items():
                     old = out.setdefault((row["host"], number, 1), [order, order, gap, gap, 0, 0, 0, 0])
                     old[:4] = [min(old[0], order), max(old[1], order), min(old[2], gap), max(old[3], gap)]
@@ -202,6 +285,10 @@ def deduce_templates(sequences: DataFrame, classes: DataFrame) -> DataFrame:
                     old[5] &= flags
                     old[6] += mass
                     old[7] += heading
+                for token, (mine, total) in named.items():
+                    old = out.setdefault((row["host"], token, 2), [0] * 8)
+                    old[6] += mine
+                    old[7] += total
             rows = [[*key, *values] for key, values in out.items()]
             columns = zip(*rows, strict=True) if rows else ([] for _ in names)
             yield pa.RecordBatch.from_arrays(
@@ -211,10 +298,10 @@ def deduce_templates(sequences: DataFrame, classes: DataFrame) -> DataFrame:
     columns = ["host", "tokens", "parents", "lengths", "flags", "texts", "known"]
     seen = sequences.join(classes, "host").select(*columns).mapInArrow(
         observe,
-        "host string, key long, is_class long, low long, high long, gap_low long, gap_high long, up long, flags long, "
+        "host string, key long, kind long, low long, high long, gap_low long, gap_high long, up long, flags long, "
         "mass long, heading long",
     )
-    summed = seen.groupBy("host", "key", "is_class").agg(
+    summed = seen.groupBy("host", "key", "kind").agg(
         F.min("low").alias("low"),
         F.max("high").alias("high"),
         F.min("gap_low").alias("gap_low"),
@@ -226,29 +313,62 @@ def deduce_templates(sequences: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        found = rows[rows["is_class"] == 1]
+        found = rows[rows["kind"] == 1]
         valid = (found["low"] == found["high"]) & (found["low"] >= 0)
         valid &= (found["gap_low"] == found["gap_high"]) & (found["gap_low"] >= 0)
-        at = _choose(rows[rows["is_class"] == 0])
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "container": [at], "valid": [found["key"][valid].tolist()]})
-
-    chosen = summed.groupBy("host").applyInPandas(choose, "host string, container long, valid array<long>")
+        at = _choose(rows[rows["kind"] == 0])
+        named = rows[rows["kind"] == 2]
+        named = named["key"][named["mass"] <= LITTLE * named["heading"]].tolist()
+        valid = found["key"][valid].tolist()
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "container": [at], "valid": [valid], "named": [named]})
+
+    chosen = summed.groupBy("host").applyInPandas(
+        choose, "host string, container long, valid array<long>, named array<long>"
+    )
     held = F.filter("known", lambda x: F.array_contains("valid", x["class"]))
     texts = F.transform(held, lambda x: x["token"])
     enough = F.col("n_host") >= TEXT_PAGES
     return chosen.join(classes, "host").select(
-        "host", "container", F.when(enough, texts).otherwise(F.array().cast("array<long>")).alias("template")
+        "host",
+        "container",
+        F.when(enough, texts).otherwise(F.array().cast("array<long>")).alias("template"),
+        F.when(enough, F.col("named")).alias("named"),
     )
 
 
-def main_text(page: Page, container: int, template: set[int]) -> str:
-    """The text in the page's container, without what is not the article's."""
+def _outside(page: Page, template: set[int], named: set[int] | None) -> list[bool]:
+    """Which elements of a page are other matter; without a template, the page alone tells what is little text."""
+    elements = page.elements
+    if not any(e.flags & NAMED for e in elements):
+        return [bool(e.flags & OUTSIDE) for e in elements]
+    lengths, links, slots = ([0] * len(elements) for _ in range(3))
+    for text in page.texts:
+        n = len(text.text) if text.text.strip() else 0
+        up = elements[text.parent]
+        lengths[text.parent] += n
+        if up.flags & LINK:
+            links[text.parent] += n
+        elif text_token(up.token, text.text) not in template:
+            slots[text.parent] += n
+
+    def clutter(i: int, mine: int, total: int) -> bool:
+        return mine <= LITTLE * total if named is None else elements[i].token in named
+
+    return settle([e.parent for e in elements], [e.flags for e in elements], lengths, links, slots, clutter)
+
+
+def main_text(page: Page, container: int, template: set[int], other: set[int] | None = None) -> str:
+    """The text in the page's container, without what is not the article's.
+
+    ``other`` are the elements that go by their name, as far as there is a template to tell.
+    """
     elements = page.elements
+    out = _outside(page, template, other)
     roots = {i for i, e in enumerate(elements) if container and e.token == container}
     named = bool(roots) and all(elements[i].flags & (ARTICLE | MAIN) for i in roots)
     if not roots:
         for flag in (ARTICLE, MAIN):
-            marked = [i for i, e in enumerate(elements) if e.flags & flag and not e.flags & OUTSIDE]
+            marked = [i for i, e in enumerate(elements) if e.flags & flag and not out[i]]
             roots = {i for i in marked if not elements[elements[i].parent].flags & flag}
             if roots:
                 named = True
@@ -265,8 +385,8 @@ def main_text(page: Page, container: int, template: set[int]) -> str:
         else:
             # Flags are inherited: what the container itself carries says nothing about its parts.
             new = e.flags & ~elements[e.parent].flags
-            other = new & OUTSIDE or (new & HEADER and not named)
-            state.append(2 if other else 1)
+            gone = (out[i] and not out[e.parent]) or (new & HEADER and not named)
+            state.append(2 if gone else 1)
     kept = [t for t in page.texts if state[t.parent] == 1]
     if not named and template:
         kept = [t for t in kept if text_token(elements[t.parent].token, t.text) not in template]
@@ -281,19 +401,20 @@ def extract(pages: DataFrame) -> DataFrame:
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[str, set[int]] = {}
+        sets: dict[str, tuple] = {}
         for batch in batches:
             names = batch.schema.names
-            page_id, url, html, name, at, template = (batch.column(names.index(n)) for n in COLUMNS)
+            page_id, url, html, name, at, template, named = (batch.column(names.index(n)) for n in COLUMNS)
             texts = []
             for i in range(batch.num_rows):
                 key = name[i].as_py()
                 if key not in sets:
                     if len(sets) >= 1000:
                         sets.clear()
-                    sets[key] = set(template[i].as_py() or ())
+                    other = named[i].as_py()
+                    sets[key] = set(template[i].as_py() or ()), None if other is None else set(other)
                 source = html[i].as_py()
-                texts.append(main_text(parse(source), at[i].as_py() or 0, sets[key]) if source else "")
+                texts.append(main_text(parse(source), at[i].as_py() or 0, *sets[key]) if source else "")
             yield pa.RecordBatch.from_arrays(
                 [page_id, url.cast(pa.string()), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 schema=schema,
@@ -305,4 +426,4 @@ def extract(pages: DataFrame) -> DataFrame:
     )
 
 
-COLUMNS = ["page_id", "url", "html", "host", "container", "template"]
+COLUMNS = ["page_id", "url", "html", "host", "container", "template", "named"]

@@ -115,3 +115,38 @@ def test_copies_of_one_page(spark):
     """Text that all pages of a host share is no template inside an article."""
     rows = [(i, "http://d.example/", "<body><article><h1>t</h1><p>same text</article></body>", "", "") for i in range(30)]
     assert set(texts(spark.createDataFrame(rows, SCHEMA)).values()) == {"t same text"}
+
+
+@pytest.mark.parametrize("n", [1, 6])
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<div class='layout with-sidebar'><article>{}</article></div>",
+        "<div id='page' class='no-sidebar'><div><article>{}</article></div></div>",
+        "<article class='post comments-open'>{}</article>",
+        "<div class='search-layout'><div>{}</div></div>",
+    ],
+)
+def test_names_around_the_article(spark, n, wrapper):
+    """A name never takes the page's article or most of its text away."""
+    page = "<body><nav>Menu</nav>" + wrapper.format("<p>{}</p>") + "<div class='sidebar'><a>One</a> <a>Two</a></div></body>"
+    rows = [(i, "http://f.example/", page.format(words(i, 60)), "", "") for i in range(n)]
+    assert texts(spark.createDataFrame(rows, SCHEMA)) == {i: words(i, 60) for i in range(n)}
+
+
+@pytest.mark.parametrize("n", [1, 6])
+def test_names_within_the_article(spark, n):
+    """Anchors and names that may be a topic stay; rotating clutter, links and comments go."""
+    page = (
+        "<body><article><p>{}</p><h2 id='related-work'>Related {}</h2><p>{}</p><p id='notice-3'>{}</p>"
+        "<section id='discussion'>{}</section><div class='search-results'>{}</div><div class='ad'>Buy {}</div>"
+        "<div class='related'><a>Read {}</a></div><section id='comments'><article class='comment'>nice {}</article></section>"
+        "</article></body>"
+    )
+    parts = [[words(100 * k + i, 8 * k) for k in range(1, 7)] for i in range(n)]
+    rows = [
+        (i, "http://g.example/", page.format(p[0], i, p[1], p[2], p[3], p[4], i, i, words(i, 3)), "", "")
+        for i, p in enumerate(parts)
+    ]
+    want = {i: f"{p[0]} Related {i} {p[1]} {p[2]} {p[3]} {p[4]}" for i, p in enumerate(parts)}
+    assert texts(spark.createDataFrame(rows, SCHEMA)) == want
