@@ -60,6 +60,10 @@ ARTICLE, MAIN, OUTSIDE, HEADER, HEADING, LINK, NAMED, CLUTTER, POST = 1, 2, 4, 8
 #: What an element hands down to those in it.
 HANDED = ARTICLE | MAIN | OUTSIDE | HEADER | HEADING | LINK
 
+#: Elements that make a page's skeleton, and how deep it goes: below the body, and a level further.
+STRUCTURE = frozenset("html body div section article main header footer nav aside form center table tbody tr td".split())
+COARSE, FINE = 3, 4
+
 _MASK = (1 << 63) - 1
 
 
@@ -69,6 +73,7 @@ class Element(NamedTuple):
     token: int  # of the path from the root, the same on all pages of one layout
     flags: int
     start: int  # position among elements and texts
+    key: int  # of the tag with its class and id, without its order
 
 
 class Text(NamedTuple):
@@ -153,7 +158,7 @@ def _known_tag(name: str, rest: str) -> _Tag:
 
 def parse(source: str) -> Page:
     """Elements and texts in page order; markup that isn't closed ends with its parent or the page."""
-    elements = [Element(-1, "", 1, 0, 0)]
+    elements = [Element(-1, "", 1, 0, 0, 0)]
     texts: list[Text] = []
     stack = [0]
     siblings: dict[tuple[int, int], int] = {}
@@ -192,12 +197,13 @@ def parse(source: str) -> Page:
         if void:
             continue
         up = elements[stack[-1]]
+        kind = key
         if ordered:
             n = siblings[stack[-1], key] = siblings.get((stack[-1], key), 0) + 1
             key += n << 32
         place += 1
         token = (up.token * 0x9E3779B97F4A7C15 + key) & _MASK
-        elements.append(Element(stack[-1], tag, token, up.flags & HANDED | flags, place))
+        elements.append(Element(stack[-1], tag, token, up.flags & HANDED | flags, place, kind))
         stack.append(len(elements) - 1)
         if raw and raw_text and tag in ("title", "textarea"):
             place += 1
@@ -205,6 +211,24 @@ def parse(source: str) -> Page:
     return Page(elements, texts)
 
 
+def skeleton(page: Page) -> tuple[int, int]:
+    """Signatures of the page's upper elements outside of articles: a fine one, and one without order and the last level."""
+    paths: dict[int, tuple[int, int]] = {0: (0, 1)}  # depth and path without order
+    fine, coarse = set(), set()
+    for i, e in enumerate(page.elements):
+        if e.parent not in paths or e.tag not in STRUCTURE:
+            continue
+        depth, path = paths[e.parent]
+        depth, path = depth + 1, (path * 0x9E3779B97F4A7C15 + e.key) & _MASK
+        if depth <= COARSE:
+            coarse.add(path)
+        fine.add(e.token if depth <= COARSE else path)
+        if depth < FINE and e.tag != "article":
+            paths[i] = depth, path
+    low = crc32(repr(sorted(coarse)).encode())
+    return crc32(repr(sorted(fine)).encode()) << 31 ^ low, low
+
+
 def join_blocks(texts: list[Text]) -> str:
     """White space inside a block becomes one space; blocks are joined by one."""
     blocks: list[list[str]] = []

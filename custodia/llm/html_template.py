@@ -1,12 +1,16 @@
-"""Main text of pages by deducing each host's template from equivalence classes.
+"""Main text of pages by deducing the templates of each host's layouts from equivalence classes.
+
+Pages of a host with one skeleton, the upper elements, are a layout. Where too few pages
+have a skeleton, all pages with the same elements below the body are taken for it, or else
+all of the host; the template found there then only holds for the pages with few of a kind.
 
 A token is an element with its path, or a text run with its. Its occurrence vector
-holds how often it occurs in each page of the host; tokens with one vector form an
-equivalence class. A class counts if half of the host's pages have it, and is
+holds how often it occurs in each page of the layout; tokens with one vector form an
+equivalence class. A class counts if half of the layout's pages have it, and is
 valid if its tokens keep one order on every page and it nests in one gap of the
 class of tokens that every page has once. Valid classes make the template. What
 lies between its tokens are slots, and the element of the template that holds the
-article's slots is the host's container: an article, else a main element, else the
+article's slots is the layout's container: an article, else a main element, else the
 innermost one with most of the text that is in slots. The text of a page is what
 its container holds, without elements that their kind tells to be other matter. A class,
 id or role only proposes that: an element goes if its text is mostly links, if it is a
@@ -14,11 +18,11 @@ named article in an article, or if its name can't be a topic and it is in the te
 and holds little of the slots' text; never if it holds the page's article or most text.
 
 Vectors are never gathered: two sums of hashes over (page, count) stand for one, so
-that a host with any number of pages is summed up where its pages are read.
+that a layout with any number of pages is summed up where its pages are read.
 
-Defined results: a null or empty page has an empty text; a page without a url
+Defined results: a null or empty page has an empty text and is of no layout; a page without a url
 belongs to the host of no name; repeated rows count one by one; a page that lacks
-its host's container is read by its own article or main element, or else its body;
+its layout's container is read by its own article or main element, or else its body;
 a host with one page has a template like any other; an empty table gives an empty
 table; only page_id, url and html are read. Pages are read whole.
 """
@@ -46,10 +50,13 @@ from custodia.llm.html_page import (
     Page,
     join_blocks,
     parse,
+    skeleton,
 )
 from custodia.storage import stage
 
-#: Tokens of a class count if at least this share of the host's pages has them.
+#: Pages of one skeleton are a layout from this many on.
+LAYOUT_PAGES = 3
+#: Tokens of a class count if at least this share of the layout's pages has them.
 SUPPORT = 0.5
 #: A child takes over as container if it holds this share of the slots' text.
 MASS = 0.6
@@ -140,54 +147,86 @@ def settle(
     return out
 
 
-def page_tokens(pages: DataFrame) -> DataFrame:
-    """Token sequences of all pages, with the distinct tokens and their counts."""
+def read_pages(pages: DataFrame) -> DataFrame:
+    """Skeletons and token sequences of all pages that hold any, with the distinct tokens and their counts."""
     schema = pa.schema(
-        [("host", pa.string()), ("page_id", pa.int64())]
+        [("host", pa.string()), *((name, pa.int64()) for name in ("page_id", "digest", "fine", "coarse"))]
         + [(name, pa.list_(pa.int64())) for name in ("tokens", "parents", "lengths", "flags", "texts", "kinds", "counts")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for name, page_id, html in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                rows = tokens_of(parse(html or ""))
-                tokens, parents, lengths, flags, texts = map(list, zip(*rows, strict=True)) if rows else ([],) * 5
-                counts = Counter(tokens)
-                out.append([name, page_id, tokens, parents, lengths, flags, texts, list(counts), list(counts.values())])
+            for name, page_id, digest, html in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                page = parse(html)
+                rows = tokens_of(page)
+                if rows:
+                    counts = Counter(row[0] for row in rows)
+                    head = [name, page_id, digest, *skeleton(page)]
+                    out.append([*head, *map(list, zip(*rows, strict=True)), list(counts), list(counts.values())])
             columns = zip(*out, strict=True) if out else ([] for _ in schema)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, f.type) for column, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    rows = pages.select(host().alias("host"), F.col("page_id").cast("long").alias("page_id"), "html")
+    rows = pages.filter("html <> ''").select(
+        host().alias("host"), F.col("page_id").cast("long").alias("page_id"), F.xxhash64("html").alias("digest"), "html"
+    )
     return rows.mapInArrow(
         run,
-        "host string, page_id long, tokens array<long>, parents array<long>, lengths array<long>, flags array<long>, "
-        "texts array<long>, kinds array<long>, counts array<long>",
+        "host string, page_id long, digest long, fine long, coarse long, tokens array<long>, parents array<long>, "
+        "lengths array<long>, flags array<long>, texts array<long>, kinds array<long>, counts array<long>",
+    )
+
+
+def layouts(found: DataFrame) -> DataFrame:
+    """Per host and fine skeleton, the layouts that its pages count for, and which one of them is its own."""
+    kinds = stage(found.groupBy("host", "fine", "coarse").agg(F.count("*").alias("n")), "page-kinds")
+    alike = kinds.groupBy("host", "coarse").agg(F.sum("n").alias("n_alike"), F.min("n").alias("least"))
+    level = F.when(F.col("n") >= LAYOUT_PAGES, 0).when(F.col("n_alike") >= LAYOUT_PAGES, 1).otherwise(2)
+    placed = kinds.join(alike, ["host", "coarse"]).withColumn("level", level)
+    # Skeletons of few pages take the pages around them along.
+    wide = placed.groupBy("host").agg(F.max("level").alias("widest"))
+    held = F.array(
+        F.when(F.col("level") == 0, F.struct(F.lit(0).alias("of"), F.xxhash64(F.lit(0), "fine").alias("layout"))),
+        F.when(
+            (F.col("least") < LAYOUT_PAGES) & (F.col("n_alike") >= LAYOUT_PAGES),
+            F.struct(F.lit(1).alias("of"), F.xxhash64(F.lit(1), "coarse").alias("layout")),
+        ),
+        F.when(F.col("widest") == 2, F.struct(F.lit(2).alias("of"), F.lit(0).cast("long").alias("layout"))),
     )
+    every = placed.join(wide, "host").select("host", "fine", "level", F.explode(F.array_compact(held)).alias("one"))
+    return every.select("host", "fine", "one.layout", (F.col("one.of") == F.col("level")).alias("own"))
+
+
+def page_tokens(pages: DataFrame) -> DataFrame:
+    """Token sequences of pages, one row for each layout that the page counts for."""
+    found = stage(read_pages(pages), "page-tokens")
+    return found.join(stage(layouts(found), "page-layouts"), ["host", "fine"])
 
 
 def equivalence_classes(sequences: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """One row per host: its pages, and the tokens of classes with enough support.
+    """One row per layout of a host: its pages, and the tokens of classes with enough support.
 
-    A page has few tokens, so a host has few that half of its pages share.
+    A page has few tokens, so a layout has few that half of its pages share.
     """
-    pages = sequences.groupBy("host").agg(F.count("*").alias("n_host"))
+    pages = sequences.groupBy("host", "layout").agg(F.count("*").alias("n_host"))
     pair = F.explode(F.arrays_zip("kinds", "counts")).alias("one")
-    counted = sequences.select("host", "page_id", pair).select("host", "page_id", "one.*")
+    counted = sequences.select("host", "layout", "page_id", pair).select("host", "layout", "page_id", "one.*")
     # Two sums of 31-bit hashes of (page, count) stand for the vector.
     spread = [F.shiftrightunsigned(F.xxhash64("page_id", "counts", F.lit(k)), 33) for k in (1, 2)]
-    vectors = counted.groupBy("host", F.col("kinds").alias("token")).agg(
+    vectors = counted.groupBy("host", "layout", F.col("kinds").alias("token")).agg(
         F.count("*").alias("n_pages"),
         F.sum("counts").alias("total"),
         *(F.sum(one).alias(f"sum{k}") for k, one in enumerate(spread)),
     )
-    shared = vectors.join(stage(pages, "hosts"), "host").filter(F.col("n_pages") >= support * F.col("n_host"))
+    shared = vectors.join(stage(pages, "hosts"), ["host", "layout"])
+    shared = shared.filter(F.col("n_pages") >= support * F.col("n_host"))
     root = (F.col("n_pages") == F.col("n_host")) & (F.col("total") == F.col("n_host"))
     number = F.xxhash64("n_pages", "total", "sum0", "sum1")
     token = F.struct("token", number.alias("class"), root.alias("root"))
-    return shared.groupBy("host").agg(F.first("n_host").alias("n_host"), F.sort_array(F.collect_list(token)).alias("known"))
+    known = F.sort_array(F.collect_list(token)).alias("known")
+    return shared.groupBy("host", "layout").agg(F.first("n_host").alias("n_host"), known)
 
 
 def _observe(known: dict[int, tuple[int, bool]], row: dict) -> tuple[dict, dict, dict]:
@@ -245,7 +284,7 @@ def _observe(known: dict[int, tuple[int, bool]], row: dict) -> tuple[dict, dict,
 
 
 def _choose(elements: pd.DataFrame) -> int:
-    """The container among a host's template elements; 0 if there is none."""
+    """The container among a layout's template elements; 0 if there is none."""
     inside = elements[(elements["flags"].astype(int) & OUTSIDE) == 0]
     for flag in (ARTICLE, MAIN):
         marked = inside[(inside["flags"].astype(int) & flag) != 0]
@@ -267,26 +306,27 @@ def _choose(elements: pd.DataFrame) -> int:
 
 
 def deduce_templates(sequences: DataFrame, classes: DataFrame) -> DataFrame:
-    """Per host: the container's token, the tokens of valid classes, and those of elements that go by their name."""
+    """Per layout: the container's token, the tokens of valid classes, and those of elements that go by their name."""
 
     def observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["host", "key", "kind", "low", "high", "gap_low", "gap_high", "up", "flags", "mass", "heading"]
+        names = ["host", "layout", "key", "kind", "low", "high", "gap_low", "gap_high", "up", "flags", "mass", "heading"]
         schema = pa.schema([(n, pa.string() if n == "host" else pa.int64()) for n in names])
         for batch in batches:
             out: dict[tuple, list] = {}
             for row in batch.to_pylist():
                 known = {x["token"]: (x["class"], x["root"]) for x in row["known"]}
+                at = row["host"], row["layout"]
                 found, elements, named = _observe(known, row)
                 for number, (order, gap) in found.items():
-                    old = out.setdefault((row["host"], number, 1), [order, order, gap, gap, 0, 0, 0, 0])
+                    old = out.setdefault((*at, number, 1), [order, order, gap, gap, 0, 0, 0, 0])
                     old[:4] = [min(old[0], order), max(old[1], order), min(old[2], gap), max(old[3], gap)]
                 for token, (up, flags, mass, heading) in elements.items():
-                    old = out.setdefault((row["host"], token, 0), [0, 0, 0, 0, up, flags, 0, 0])
+                    old = out.setdefault((*at, token, 0), [0, 0, 0, 0, up, flags, 0, 0])
                     old[5] &= flags
                     old[6] += mass
                     old[7] += heading
                 for token, (mine, total) in named.items():
-                    old = out.setdefault((row["host"], token, 2), [0] * 8)
+                    old = out.setdefault((*at, token, 2), [0] * 8)
                     old[6] += mine
                     old[7] += total
             rows = [[*key, *values] for key, values in out.items()]
@@ -295,13 +335,13 @@ def deduce_templates(sequences: DataFrame, classes: DataFrame) -> DataFrame:
                 [pa.array(column, f.type) for column, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    columns = ["host", "tokens", "parents", "lengths", "flags", "texts", "known"]
-    seen = sequences.join(classes, "host").select(*columns).mapInArrow(
+    columns = ["host", "layout", "tokens", "parents", "lengths", "flags", "texts", "known"]
+    seen = sequences.join(classes, ["host", "layout"]).select(*columns).mapInArrow(
         observe,
-        "host string, key long, kind long, low long, high long, gap_low long, gap_high long, up long, flags long, "
-        "mass long, heading long",
+        "host string, layout long, key long, kind long, low long, high long, gap_low long, gap_high long, up long, "
+        "flags long, mass long, heading long",
     )
-    summed = seen.groupBy("host", "key", "kind").agg(
+    summed = seen.groupBy("host", "layout", "key", "kind").agg(
         F.min("low").alias("low"),
         F.max("high").alias("high"),
         F.min("gap_low").alias("gap_low"),
@@ -320,16 +360,18 @@ def deduce_templates(sequences: DataFrame, classes: DataFrame) -> DataFrame:
         named = rows[rows["kind"] == 2]
         named = named["key"][named["mass"] <= LITTLE * named["heading"]].tolist()
         valid = found["key"][valid].tolist()
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "container": [at], "valid": [valid], "named": [named]})
+        key = {name: [rows[name].iloc[0]] for name in ("host", "layout")}
+        return pd.DataFrame(key | {"container": [at], "valid": [valid], "named": [named]})
 
-    chosen = summed.groupBy("host").applyInPandas(
-        choose, "host string, container long, valid array<long>, named array<long>"
+    chosen = summed.groupBy("host", "layout").applyInPandas(
+        choose, "host string, layout long, container long, valid array<long>, named array<long>"
     )
     held = F.filter("known", lambda x: F.array_contains("valid", x["class"]))
     texts = F.transform(held, lambda x: x["token"])
     enough = F.col("n_host") >= TEXT_PAGES
-    return chosen.join(classes, "host").select(
+    return chosen.join(classes, ["host", "layout"]).select(
         "host",
+        "layout",
         "container",
         F.when(enough, texts).otherwise(F.array().cast("array<long>")).alias("template"),
         F.when(enough, F.col("named")).alias("named"),
@@ -395,19 +437,20 @@ def main_text(page: Page, container: int, template: set[int], other: set[int] |
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    sequences = stage(page_tokens(pages), "page-tokens")
+    sequences = page_tokens(pages)
     classes = stage(equivalence_classes(sequences), "page-classes")
     templates = stage(deduce_templates(sequences, classes), "page-templates")
+    own = stage(sequences.filter("own").groupBy("host", "digest").agg(F.min("layout").alias("layout")), "page-own")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[str, tuple] = {}
+        sets: dict[tuple, tuple] = {}
         for batch in batches:
             names = batch.schema.names
-            page_id, url, html, name, at, template, named = (batch.column(names.index(n)) for n in COLUMNS)
+            page_id, url, html, name, layout, at, template, named = (batch.column(names.index(n)) for n in COLUMNS)
             texts = []
             for i in range(batch.num_rows):
-                key = name[i].as_py()
+                key = name[i].as_py(), layout[i].as_py()
                 if key not in sets:
                     if len(sets) >= 1000:
                         sets.clear()
@@ -420,10 +463,13 @@ def extract(pages: DataFrame) -> DataFrame:
                 schema=schema,
             )
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host().alias("host"))
-    return rows.join(templates, "host", "left").select(*COLUMNS).mapInArrow(
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), "url", "html", host().alias("host"), F.xxhash64("html").alias("digest")
+    )
+    placed = rows.join(own, ["host", "digest"], "left").join(templates, ["host", "layout"], "left")
+    return placed.select(*COLUMNS).mapInArrow(
         run, "page_id long, url string, text string, n_chars long"
     )
 
 
-COLUMNS = ["page_id", "url", "html", "host", "container", "template", "named"]
+COLUMNS = ["page_id", "url", "html", "host", "layout", "container", "template", "named"]

@@ -150,3 +150,31 @@ def test_names_within_the_article(spark, n):
     ]
     want = {i: f"{p[0]} Related {i} {p[1]} {p[2]} {p[3]} {p[4]}" for i, p in enumerate(parts)}
     assert texts(spark.createDataFrame(rows, SCHEMA)) == want
+
+
+def section_page(i):
+    """Another layout without names."""
+    return (
+        f"<html><body><section><div>Start</div><div>Teaser {words(i + 900, 3)}</div></section>"
+        f"<section><div><h1>Head {i}</h1><div>{words(i + 500, 70)}</div></div><div>Share it</div></section>"
+        "<section><div>Imprint</div></section></body></html>"
+    )
+
+
+def test_layouts_of_one_host(spark):
+    """Empty and error pages, and a layout of fewer than half of the pages, leave the others as they are."""
+    rows = [(i, f"http://h.example/{i}", div_page(i), "t", "h") for i in range(12)]
+    rows += [(i, f"http://h.example/{i}", section_page(i), "t", "h") for i in range(20, 25)]
+    odd = [None, "", " ", "<html><body><h1>Not found</h1></body></html>"]
+    rows += [(90 + k, "http://h.example/", source, "t", "h") for k, source in enumerate(odd)]
+    want = {i: f"Title {i} {words(i, 60)} {words(i + 100, 40)}" for i in range(12)}
+    want |= {i: f"Head {i} {words(i + 500, 70)}" for i in range(20, 25)}
+    found = texts(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert found == want | {90: "", 91: "", 92: "", 93: "Not found"}
+
+
+def test_layout_of_few_pages(spark):
+    """What few pages have of their own leaves them the text runs of the host."""
+    rows = [(i, "http://i.example/", div_page(i), "t", "h") for i in range(8)]
+    rows += [(9, "http://i.example/", div_page(9).replace("</body>", "<section>Once</section></body>"), "t", "h")]
+    assert texts(spark.createDataFrame(rows, SCHEMA))[9] == f"Title 9 {words(9, 60)} {words(109, 40)}"
