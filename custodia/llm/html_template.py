@@ -17,11 +17,14 @@ id or role only proposes that: an element goes if its text is mostly links, if i
 named article in an article, or if its name can't be a topic and it is in the template
 and holds little of the slots' text; never if it holds the page's article or most text.
 
+Vectors are counted over different pages: those with one sequence of tokens are one page,
+and what only one page has is never template, so copies keep their text.
+
 Vectors are never gathered: two sums of hashes over (page, count) stand for one, so
 that a layout with any number of pages is summed up where its pages are read.
 
 Defined results: a null or empty page has an empty text and is of no layout; a page without a url
-belongs to the host of no name; repeated rows count one by one; a page that lacks
+belongs to the host of no name; repeated rows count once; a page that lacks
 its layout's container is read by its own article or main element, or else its body;
 a host with one page has a template like any other; an empty table gives an empty
 table; only page_id, url and html are read. Pages are read whole.
@@ -62,8 +65,8 @@ SUPPORT = 0.5
 MASS = 0.6
 #: What a name proposes goes if it holds at most this share of the slots' text.
 LITTLE = 0.3
-#: Text runs count as template, outside of article and main elements, from this many pages on.
-TEXT_PAGES = 3
+#: Text runs count as template, outside of article and main elements, from this many different pages on.
+TEXT_PAGES = 2
 
 _MASK = (1 << 63) - 1
 
@@ -150,38 +153,37 @@ def settle(
 def read_pages(pages: DataFrame) -> DataFrame:
     """Skeletons and token sequences of all pages that hold any, with the distinct tokens and their counts."""
     schema = pa.schema(
-        [("host", pa.string()), *((name, pa.int64()) for name in ("page_id", "digest", "fine", "coarse"))]
+        [("host", pa.string()), *((name, pa.int64()) for name in ("digest", "fine", "coarse"))]
         + [(name, pa.list_(pa.int64())) for name in ("tokens", "parents", "lengths", "flags", "texts", "kinds", "counts")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for name, page_id, digest, html in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for name, digest, html in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 page = parse(html)
                 rows = tokens_of(page)
                 if rows:
                     counts = Counter(row[0] for row in rows)
-                    head = [name, page_id, digest, *skeleton(page)]
+                    head = [name, digest, *skeleton(page)]
                     out.append([*head, *map(list, zip(*rows, strict=True)), list(counts), list(counts.values())])
             columns = zip(*out, strict=True) if out else ([] for _ in schema)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, f.type) for column, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    rows = pages.filter("html <> ''").select(
-        host().alias("host"), F.col("page_id").cast("long").alias("page_id"), F.xxhash64("html").alias("digest"), "html"
-    )
+    rows = pages.filter("html <> ''").select(host().alias("host"), F.xxhash64("html").alias("digest"), "html")
     return rows.mapInArrow(
         run,
-        "host string, page_id long, digest long, fine long, coarse long, tokens array<long>, parents array<long>, "
-        "lengths array<long>, flags array<long>, texts array<long>, kinds array<long>, counts array<long>",
+        "host string, digest long, fine long, coarse long, tokens array<long>, parents array<long>, lengths array<long>, "
+        "flags array<long>, texts array<long>, kinds array<long>, counts array<long>",
     )
 
 
 def layouts(found: DataFrame) -> DataFrame:
     """Per host and fine skeleton, the layouts that its pages count for, and which one of them is its own."""
-    kinds = stage(found.groupBy("host", "fine", "coarse").agg(F.count("*").alias("n")), "page-kinds")
+    different = found.select("host", "fine", "coarse", "same").distinct()
+    kinds = stage(different.groupBy("host", "fine", "coarse").agg(F.count("*").alias("n")), "page-kinds")
     alike = kinds.groupBy("host", "coarse").agg(F.sum("n").alias("n_alike"), F.min("n").alias("least"))
     level = F.when(F.col("n") >= LAYOUT_PAGES, 0).when(F.col("n_alike") >= LAYOUT_PAGES, 1).otherwise(2)
     placed = kinds.join(alike, ["host", "coarse"]).withColumn("level", level)
@@ -199,29 +201,42 @@ def layouts(found: DataFrame) -> DataFrame:
     return every.select("host", "fine", "one.layout", (F.col("one.of") == F.col("level")).alias("own"))
 
 
+def number_pages(pages: DataFrame) -> DataFrame:
+    """Pages as read, written, with a number and a digest of the sequence that copies share."""
+    numbered = read_pages(pages).withColumn("same", F.xxhash64("tokens")).withColumn("row", F.monotonically_increasing_id())
+    return stage(numbered, "page-tokens")
+
+
+def sequences_in(found: DataFrame, placed: DataFrame) -> DataFrame:
+    """Token sequences of different pages, one row for each layout that the page counts for."""
+    first = stage(found.groupBy("host", "same").agg(F.min("row").alias("row")).select("row"), "page-different")
+    return found.join(first, "row", "left_semi").join(placed, ["host", "fine"])
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """Token sequences of pages, one row for each layout that the page counts for."""
-    found = stage(read_pages(pages), "page-tokens")
-    return found.join(stage(layouts(found), "page-layouts"), ["host", "fine"])
+    """Token sequences of different pages in their layouts."""
+    found = number_pages(pages)
+    return sequences_in(found, stage(layouts(found), "page-layouts"))
 
 
 def equivalence_classes(sequences: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """One row per layout of a host: its pages, and the tokens of classes with enough support.
+    """One row per layout of a host: its different pages, and the tokens of classes with enough support.
 
     A page has few tokens, so a layout has few that half of its pages share.
     """
     pages = sequences.groupBy("host", "layout").agg(F.count("*").alias("n_host"))
     pair = F.explode(F.arrays_zip("kinds", "counts")).alias("one")
-    counted = sequences.select("host", "layout", "page_id", pair).select("host", "layout", "page_id", "one.*")
+    counted = sequences.select("host", "layout", "row", pair).select("host", "layout", "row", "one.*")
     # Two sums of 31-bit hashes of (page, count) stand for the vector.
-    spread = [F.shiftrightunsigned(F.xxhash64("page_id", "counts", F.lit(k)), 33) for k in (1, 2)]
+    spread = [F.shiftrightunsigned(F.xxhash64("row", "counts", F.lit(k)), 33) for k in (1, 2)]
     vectors = counted.groupBy("host", "layout", F.col("kinds").alias("token")).agg(
         F.count("*").alias("n_pages"),
         F.sum("counts").alias("total"),
         *(F.sum(one).alias(f"sum{k}") for k, one in enumerate(spread)),
     )
     shared = vectors.join(stage(pages, "hosts"), ["host", "layout"])
-    shared = shared.filter(F.col("n_pages") >= support * F.col("n_host"))
+    # What only one of several pages has is its own.
+    shared = shared.filter(f"n_pages >= {support} * n_host AND n_pages >= least(n_host, {TEXT_PAGES})")
     root = (F.col("n_pages") == F.col("n_host")) & (F.col("total") == F.col("n_host"))
     number = F.xxhash64("n_pages", "total", "sum0", "sum1")
     token = F.struct("token", number.alias("class"), root.alias("root"))
@@ -437,10 +452,13 @@ def main_text(page: Page, container: int, template: set[int], other: set[int] |
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    sequences = page_tokens(pages)
+    found = number_pages(pages)
+    placed = stage(layouts(found), "page-layouts")
+    sequences = sequences_in(found, placed)
     classes = stage(equivalence_classes(sequences), "page-classes")
     templates = stage(deduce_templates(sequences, classes), "page-templates")
-    own = stage(sequences.filter("own").groupBy("host", "digest").agg(F.min("layout").alias("layout")), "page-own")
+    sources = found.groupBy("host", "digest").agg(F.min("fine").alias("fine"))
+    own = stage(sources.join(placed.filter("own"), ["host", "fine"]).select("host", "digest", "layout"), "page-own")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,8 +484,8 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", "html", host().alias("host"), F.xxhash64("html").alias("digest")
     )
-    placed = rows.join(own, ["host", "digest"], "left").join(templates, ["host", "layout"], "left")
-    return placed.select(*COLUMNS).mapInArrow(
+    joined = rows.join(own, ["host", "digest"], "left").join(templates, ["host", "layout"], "left")
+    return joined.select(*COLUMNS).mapInArrow(
         run, "page_id long, url string, text string, n_chars long"
     )
 

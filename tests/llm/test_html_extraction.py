@@ -178,3 +178,13 @@ def test_layout_of_few_pages(spark):
     rows = [(i, "http://i.example/", div_page(i), "t", "h") for i in range(8)]
     rows += [(9, "http://i.example/", div_page(9).replace("</body>", "<section>Once</section></body>"), "t", "h")]
     assert texts(spark.createDataFrame(rows, SCHEMA))[9] == f"Title 9 {words(9, 60)} {words(109, 40)}"
+
+
+def test_copies_without_an_article(spark):
+    """Copies count once, so their own text is no template, whether they are all pages of a host or half of them."""
+    rows = [(i, "http://j.example/", div_page(1), "", "") for i in range(10)]
+    rows += [(100 + i, "http://k.example/", div_page(max(i, 9)), "", "") for i in range(15)]
+    found = texts(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    own = {i: f"Title {i} {words(i, 60)} {words(i + 100, 40)}" for i in range(20)}
+    assert {found[i] for i in range(10)} == {f"Home News 1 {own[1]} Read on All rights kept"}
+    assert [found[100 + i] for i in range(15)] == [own[max(i, 9)] for i in range(15)]
