@@ -11,7 +11,8 @@ valid if its tokens keep one order on every page and it nests in one gap of the
 class of tokens that every page has once. Valid classes make the template. What
 lies between its tokens are slots, and the element of the template that holds the
 article's slots is the layout's container: an article, else a main element, else the
-innermost one with most of the text that is in slots. The text of a page is what
+innermost one with most of the text that is in slots. Blocks of the container that are
+all template go as well, unless they are nearly all of the page's text there, as in near copies. The text of a page is what
 its container holds, without elements that their kind tells to be other matter. A class,
 id or role only proposes that: an element goes if its text is mostly links, if it is a
 named article in an article, or if its name can't be a topic and it is in the template
@@ -65,7 +66,9 @@ SUPPORT = 0.5
 MASS = 0.6
 #: What a name proposes goes if it holds at most this share of the slots' text.
 LITTLE = 0.3
-#: Text runs count as template, outside of article and main elements, from this many different pages on.
+#: A container's blocks of template go if they hold at most this share of its text on the page.
+REPEATED = 0.8
+#: Text runs count as template from this many different pages on.
 TEXT_PAGES = 2
 
 _MASK = (1 << 63) - 1
@@ -430,6 +433,7 @@ def main_text(page: Page, container: int, template: set[int], other: set[int] |
             if roots:
                 named = True
                 break
+    found = bool(roots)
     if not roots:
         roots = {i for i, e in enumerate(elements) if e.tag == "body"} or {0}
     state: list[int] = []  # per element: 0 outside of the container, 1 article, 2 other matter
@@ -445,8 +449,13 @@ def main_text(page: Page, container: int, template: set[int], other: set[int] |
             gone = (out[i] and not out[e.parent]) or (new & HEADER and not named)
             state.append(2 if gone else 1)
     kept = [t for t in page.texts if state[t.parent] == 1]
-    if not named and template:
-        kept = [t for t in kept if text_token(elements[t.parent].token, t.text) not in template]
+    if template:
+        # A sentence stays whole if any of its runs is the page's own.
+        own = {t.block for t in kept if t.text.strip() and text_token(elements[t.parent].token, t.text) not in template}
+        left = [t for t in kept if t.block in own]
+        n_left, n_kept = (sum(len(t.text.strip()) for t in some) for some in (left, kept))
+        if not found or n_kept - n_left <= REPEATED * n_kept:
+            kept = left
     return join_blocks(kept)
 
 

@@ -188,3 +188,13 @@ def test_copies_without_an_article(spark):
     own = {i: f"Title {i} {words(i, 60)} {words(i + 100, 40)}" for i in range(20)}
     assert {found[i] for i in range(10)} == {f"Home News 1 {own[1]} Read on All rights kept"}
     assert [found[100 + i] for i in range(15)] == [own[max(i, 9)] for i in range(15)]
+
+
+def test_template_within_articles(spark):
+    """Blocks that a layout repeats go from articles too; sentences stay whole, and near copies keep their text."""
+    page = "<body><article><h1>T{}</h1><p>Sign up here</p><p>{} <b>and</b> {}</p><p>Rights kept</p></article></body>"
+    rows = [(i, "http://l.example/", page.format(i, words(i, 30), words(i + 50, 9)), "", "") for i in range(8)]
+    near = "<body><article><h1>T{}</h1><p>" + words(7, 200) + "</p></article></body>"
+    rows += [(20 + i, "http://m.example/", near.format(i), "", "") for i in range(5)]
+    want = {i: f"T{i} {words(i, 30)} and {words(i + 50, 9)}" for i in range(8)}
+    assert texts(spark.createDataFrame(rows, SCHEMA)) == want | {20 + i: f"T{i} {words(7, 200)}" for i in range(5)}
