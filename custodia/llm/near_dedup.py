@@ -62,7 +62,8 @@ def shingle_hashes(text: TextArrays, words: int) -> list[np.ndarray]:
     h, first = text.word_hash, text.first_word.tolist()
     rolled = h.copy()
     for k in range(1, words):
-        rolled[: len(h) - k] = mix(rolled[: len(h) - k] * np.uint64(2 * k + 1) + h[k:])
+        left = max(0, len(h) - k)
+        rolled[:left] = mix(rolled[:left] * np.uint64(2 * k + 1) + h[k:])
     out = []
     for start, end in zip(first[:-1], first[1:], strict=True):
         if end - start >= words:

@@ -88,6 +88,18 @@ def test_hashes_agree_with_sets():
         assert [len(s) for s in found] == [len(shingle_set(t, words)) for t in texts]
 
 
+@pytest.mark.parametrize("words", range(1, 8))
+def test_chunks_of_few_words(words):
+    """Chunks with fewer words in all than a shingle has."""
+    for texts in ([b""], [b"a"], [b"a b"], [b"a b c"], [b"a", b"b c"], [b"", b"a b c d", b""]):
+        found = shingle_hashes(TextArrays(texts, lower=True), words)
+        assert [len(s) for s in found] == [len(shingle_set(t, words)) for t in texts]
+
+
+def test_single_row_partitions(spark, edge_docs):
+    check(edge_docs.repartition(edge_docs.count()), 5)
+
+
 def test_drop_near_copies(spark, edge_docs, no_docs):
     kept = drop_near_copies(edge_docs, 2)
     assert kept.columns == edge_docs.columns
