@@ -156,29 +156,29 @@ def settle(
 def read_pages(pages: DataFrame) -> DataFrame:
     """Skeletons and token sequences of all pages that hold any, with the distinct tokens and their counts."""
     schema = pa.schema(
-        [("host", pa.string()), *((name, pa.int64()) for name in ("digest", "fine", "coarse"))]
+        [("host", pa.string()), *((name, pa.int64()) for name in ("fine", "coarse"))]
         + [(name, pa.list_(pa.int64())) for name in ("tokens", "parents", "lengths", "flags", "texts", "kinds", "counts")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for name, digest, html in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for name, html in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
                 page = parse(html)
                 rows = tokens_of(page)
                 if rows:
                     counts = Counter(row[0] for row in rows)
-                    head = [name, digest, *skeleton(page)]
+                    head = [name, *skeleton(page)]
                     out.append([*head, *map(list, zip(*rows, strict=True)), list(counts), list(counts.values())])
             columns = zip(*out, strict=True) if out else ([] for _ in schema)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, f.type) for column, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    rows = pages.filter("html <> ''").select(host().alias("host"), F.xxhash64("html").alias("digest"), "html")
+    rows = pages.filter("html <> ''").select(host().alias("host"), "html")
     return rows.mapInArrow(
         run,
-        "host string, digest long, fine long, coarse long, tokens array<long>, parents array<long>, lengths array<long>, "
+        "host string, fine long, coarse long, tokens array<long>, parents array<long>, lengths array<long>, "
         "flags array<long>, texts array<long>, kinds array<long>, counts array<long>",
     )
 
@@ -466,8 +466,6 @@ def extract(pages: DataFrame) -> DataFrame:
     sequences = sequences_in(found, placed)
     classes = stage(equivalence_classes(sequences), "page-classes")
     templates = stage(deduce_templates(sequences, classes), "page-templates")
-    sources = found.groupBy("host", "digest").agg(F.min("fine").alias("fine"))
-    own = stage(sources.join(placed.filter("own"), ["host", "fine"]).select("host", "digest", "layout"), "page-own")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -490,10 +488,18 @@ def extract(pages: DataFrame) -> DataFrame:
                 schema=schema,
             )
 
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            html = batch.column(2).to_pylist()
+            fine = pa.array([skeleton(parse(source))[0] if source else 0 for source in html], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, fine], [*batch.schema.names, "fine"])
+
+    # Pages are parsed again instead of joined with what was read of them, so that none is shuffled.
     rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), "url", "html", host().alias("host"), F.xxhash64("html").alias("digest")
-    )
-    joined = rows.join(own, ["host", "digest"], "left").join(templates, ["host", "layout"], "left")
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html", host().alias("host")
+    ).mapInArrow(look, "page_id long, url string, html string, host string, fine long")
+    own = placed.filter("own").select("host", "fine", "layout")
+    joined = rows.join(own, ["host", "fine"], "left").join(templates, ["host", "layout"], "left")
     return joined.select(*COLUMNS).mapInArrow(
         run, "page_id long, url string, text string, n_chars long"
     )
