@@ -4,9 +4,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).resolve().parent)]
 
-SMALL = "/root/testdata/sf0.001"
+from core_helpers import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -44,8 +44,3 @@ def testbed(spark):
     from custodia.testbed import Testbed
 
     return Testbed(spark, SMALL)
-
-
-def rows(df):
-    """Rows as sorted tuples."""
-    return sorted((tuple(row) for row in df.collect()), key=lambda row: [(v is not None, str(v)) for v in row])

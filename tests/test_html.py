@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from core_helpers import rows
 from custodia.operators.inventory import runtime_versions
 from custodia.operators.keys import DuplicateKeyError
 from custodia.plans.support import cluster_version_support

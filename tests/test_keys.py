@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from custodia.operators import keys
 from custodia.operators.sinks import append, ensure_namespace, ensure_table, publish, replace_partition, upsert_table
 from custodia.schemas import OUTCOMES, REVIEW_DETAIL, REVIEWS

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from conftest import rows
+from core_helpers import rows
 from custodia.operators import inventory
 from custodia.plans.refresh import TABLES, inventory_frames, refresh
 from custodia.schemas import RAW

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from conftest import rows
+from core_helpers import rows
 from custodia.functions.names import normalize_columns, normalize_map, normalize_schema, slug, snake, snake_name
 
 PIECES = list("aZ09_-.#()'\"éÉßüñÇœΣİıﬁ½²Ⅷ①中文한글日本語") + [

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from core_helpers import SMALL
 from oracles import ORACLES
 
 TABLES = (

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from custodia.operators.keys import count_by_owner
 from custodia.plans.privileges import KINDS, all_privileges, branch, privileges_by_owner
 from custodia.schemas import PRIVILEGE_COLUMNS

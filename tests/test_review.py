@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from custodia.operators.export import export_review, owner_files
 from custodia.operators.sinks import publish, replace_partition
 from custodia.plans.privileges import all_privileges

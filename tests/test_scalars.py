@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from custodia.functions import scalars as s
 
 
@@ -73,6 +73,18 @@ def test_versions(spark):
     assert [r[0] for r in df.select(s.strip_lts("v")).collect()] == ["15.4", "16.0"]
 
 
+@pytest.mark.parametrize(
+    "start, end, days",
+    [
+        ("2024-06-01 19:00:00", "2024-06-03 00:00:00", 1),
+        ("2024-06-01 19:00:00", "2024-06-02 00:00:00", 0),
+        ("2024-06-01 19:00:00", "2024-06-01 00:00:00", 0),
+        ("2024-06-01 19:00:00", "2024-05-31 19:00:00", -1),
+        ("2024-06-01 19:00:00", "2024-05-31 00:00:00", -1),
+        ("2024-06-01 00:00:00", "2024-07-31 00:00:00", 60),
+        ("2024-06-01 00:00:00", None, None),
+    ],
+)
 def test_days_until_counts_whole_days(spark, start, end, days):
     end = datetime.fromisoformat(end) if end else None
     df = spark.createDataFrame([(end,)], "e timestamp").select(s.days_until("e", start).alias("d"))

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from conftest import rows
+from core_helpers import rows
 from custodia.plans.support import cluster_version_support, support_counter, support_histogram, support_table
 
 AS_OF = "2024-06-01 19:00:00"
