@@ -86,4 +86,101 @@ WITH bare AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS text_sha256 FROM ranked
 """
 
-ORACLES = {"op2_near_dedup": OP2, "op5_mixing": OP5, "op6_exact_dedup": OP6}
+# Squared distances are whole numbers far below 2^53, so doubles hold them.
+_OP11_ROUND = """
+, near{k} AS MATERIALIZED (
+    SELECT row, p, min({{'d': list_inner_product(x.part, x.part) - 2 * list_inner_product(x.part, b.part)
+        + list_inner_product(b.part, b.part), 'e': entry}}) AS best
+    FROM parts x JOIN book{k} b USING (p) GROUP BY row, p
+), sums{k} AS (
+    SELECT p, entry, i, CAST(sum(c) AS BIGINT) AS s, count(*) AS n
+    FROM (SELECT p, best.e AS entry, generate_subscripts(part, 1) AS i, CAST(unnest(part) AS BIGINT) AS c
+        FROM parts JOIN near{k} USING (row, p))
+    GROUP BY ALL
+), book{next} AS MATERIALIZED (
+    SELECT p, entry, coalesce(moved, b.part) AS part
+    FROM book{k} b LEFT JOIN (
+        SELECT p, entry, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY i) AS moved FROM sums{k} GROUP BY ALL
+    ) USING (p, entry)
+)"""
+
+OP11 = (
+    """
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), numbered AS (
+    SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS row FROM kept
+), parts AS MATERIALIZED (
+    SELECT row, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS part
+    FROM (SELECT *, unnest([0, 1, 2, 3]) AS p FROM numbered)
+), book0 AS MATERIALIZED (
+    SELECT p, row AS entry, part FROM parts WHERE row < 256
+)"""
+    + "".join(_OP11_ROUND.format(k=k, next=k + 1) for k in range(4))
+    + """
+, final AS (
+    SELECT row, p, min({'d': list_inner_product(x.part, x.part) - 2 * list_inner_product(x.part, b.part)
+        + list_inner_product(b.part, b.part), 'e': entry}) AS best
+    FROM parts x JOIN book4 b USING (p) GROUP BY row, p
+), coded AS (
+    SELECT row, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+    FROM final GROUP BY row
+), books AS (
+    SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, entry, i)) AS codebooks_sha256
+    FROM (SELECT p, entry, generate_subscripts(part, 1) AS i, unnest(part) AS c FROM book4)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN numbered USING (row) CROSS JOIN books
+"""
+)
+
+# The checksum works on the bits of one character after another; 3988292384 is its polynomial.
+_CRC32 = """
+xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split({0}, ''),
+    lambda c: list_concat([CAST(1000 + ord(c) AS BIGINT)], list_transform(generate_series(1, 8), lambda i: CAST(0 AS BIGINT)))))),
+    lambda crc, x: CASE WHEN x > 0 THEN xor(crc, x - 1000) WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END))
+"""
+
+OP12 = f"""
+WITH turns AS (
+    SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), text) AS own
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), taken AS (
+    SELECT *, CAST({_CRC32.format("CAST(conv_id AS VARCHAR)")} AS BIGINT) % 4 AS h FROM turns
+), rebuilt AS MATERIALIZED (
+    SELECT c.conv_id, list_concat(CASE WHEN b.own IS NULL THEN [] ELSE b.own[1 : c.h] END, c.own[c.h + 1 :]) AS seq
+    FROM taken c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 20
+), members AS MATERIALIZED (
+    SELECT conv_id, depth, seq[1 : depth] AS node, seq[1 : depth - 1] AS above, len(seq) = depth AS ends
+    FROM (SELECT *, unnest(generate_series(0, len(seq))) AS depth FROM rebuilt)
+), nodes AS MATERIALIZED (
+    SELECT depth, node, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * CASE WHEN depth = 0 THEN 0
+            ELSE len(regexp_extract_all(node[depth].t, '[^\\x20\\x09-\\x0D]+')) END AS saved,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY depth, node
+), children AS (
+    SELECT depth - 1 AS depth, above AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS MATERIALIZED (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (depth, node)
+), subtrees AS (
+    SELECT a.depth, a.node, sum(b.saved) AS saved_tokens, count(*) FILTER (b.n_children = 0) AS n_leaves
+    FROM counted a JOIN (SELECT *, unnest(generate_series(0, depth)) AS d FROM counted) b
+        ON a.depth = b.d AND a.node = b.node[1 : b.d]
+    GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN subtrees USING (depth, node) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.above
+"""
+
+ORACLES = {
+    "op2_near_dedup": OP2,
+    "op5_mixing": OP5,
+    "op6_exact_dedup": OP6,
+    "op11_vector_codes": OP11,
+    "op12_prefix_trie": OP12,
+}

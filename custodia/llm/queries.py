@@ -13,17 +13,24 @@ from custodia.llm import (
     html_template,
     mixing,
     near_dedup,
+    packing,
+    prefix_trie,
     quality_filter,
     rule_ensemble,
     sharding,
     token_counts,
+    vector_codes,
 )
 from custodia.llm.common import read_table
 from custodia.storage import new_folder, stage
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: The same vocabulary with its merges.
+MERGES = public_tokenizers.path("byte_bpe_50k.json")
 #: The id that the vocabulary leaves free.
 END_OF_DOCUMENT = 50_256
+#: The id that ends a document in packed sequences.
+PACKED_END = 2
 #: Words of a shingle in the query over documents.
 SHINGLE_WORDS = 2
 
@@ -93,6 +100,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.hint("merge").join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.pack(docs, MERGES, public_tokenizers.PATTERN, PACKED_END)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -106,5 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_quality_rules,
         op10_token_counts,
+        op11_vector_codes,
+        op12_prefix_trie,
+        op13_packing,
     )
 }
