@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from custodia.operators.keys import upsert
+from custodia.operators.versions import publish_version, read_version
 from custodia.storage import remove_folder
 
 
@@ -59,12 +60,12 @@ def swap_in(spark: SparkSession, table: str) -> None:
 
 
 def publish(df: DataFrame, table: str) -> DataFrame:
-    """Create or replace a table with the full result; until that is written, the old one stays."""
+    """Create or replace a published table with the full result; until that is written, the old one stays."""
     spark = df.sparkSession
-    _settle(spark, table)
-    write_beside(df, table)
-    swap_in(spark, table)
-    return spark.table(table)
+    schema, _, name = table.rpartition(".")
+    schema = schema or spark.catalog.currentDatabase()
+    publish_version(spark, schema, {name: df})
+    return read_version(spark, schema, [name])[name]
 
 
 def append(df: DataFrame, table: str) -> None:

@@ -1,12 +1,12 @@
 """Refresh job: landed inventory to published tables."""
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from custodia.operators import inventory
-from custodia.operators.sinks import ensure_namespace, swap_in, write_beside
+from custodia.operators.sinks import ensure_namespace
+from custodia.operators.versions import publish_version, read_version
 from custodia.sources import landing
 from custodia.sources.landing import ACL_KEY, read_inventory
 
@@ -53,10 +53,10 @@ def refresh(
     volumes: bool = False,
     location: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Create or replace all inventory tables and return them.
+    """Publish all inventory tables as one version and return them.
 
-    All tables are written beside the old ones before any is replaced, so a run
-    that fails leaves the old ones.
+    Readers see the old tables until all new ones are written, then all new ones; a run
+    that fails changes nothing.
 
     ``release_anchor`` is the heading id of the release table in the stored pages.
     The tables do not depend on each other, so their jobs run side by side and
@@ -64,10 +64,5 @@ def refresh(
     """
     ensure_namespace(spark, schema, location)
     frames = inventory_frames(spark, landing_dir, release_anchor, volumes)
-    with ThreadPoolExecutor(len(frames)) as pool:
-        jobs = [pool.submit(write_beside, df, f"{schema}.{table}") for table, df in frames.items()]
-        for job in jobs:
-            job.result()
-    for table in frames:
-        swap_in(spark, f"{schema}.{table}")
-    return {table: spark.table(f"{schema}.{table}") for table in frames}
+    publish_version(spark, schema, frames)
+    return read_version(spark, schema, frames)

@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from custodia.operators.versions import read_version
+
 # The metadata relations that the audit relation joins, as pairs of grants and objects.
 METADATA_TABLES = (
     "metastore_privileges",
@@ -35,7 +37,8 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_tables(spark: SparkSession, schema: str, names) -> dict[str, DataFrame]:
-    return {name: spark.table(f"{schema}.{name}") for name in names}
+    """Tables of a schema; those that are published by version are all of one moment."""
+    return read_version(spark, schema, names)
 
 
 def privilege_frames(spark: SparkSession, inventory_schema: str, metadata_schema: str) -> dict[str, DataFrame]:

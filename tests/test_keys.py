@@ -97,7 +97,7 @@ def test_a_swap_cut_short_is_settled(spark, schema):
     ensure_table(spark, table, OUTCOMES)
     upsert_table(review_outcomes(spark), table, ["outcome_id"])
     assert spark.table(table).count() == 5
-    publish(own, f"{table}__old")
+    own.write.saveAsTable(f"{table}__old")
     upsert_table(review_outcomes(spark), table, ["outcome_id"])
     assert spark.table(table).count() == 5
     assert not spark.catalog.tableExists(f"{table}__old")

@@ -232,10 +232,6 @@ def test_a_failed_publish_keeps_the_table(spark, schema):
         publish(broken, table)
     assert spark.table(table).count() == 5
     assert publish(spark.range(6), table).count() == 6
-    # A swap cut short after the first rename.
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
-    assert publish(spark.range(7), table).count() == 7
-    assert not spark.catalog.tableExists(f"{table}__old")
 
 
 def test_review_of_the_test_tables(spark, testbed, schema):

@@ -1,0 +1,188 @@
+"""Tables that are published together."""
+
+import json
+import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from core_helpers import rows
+from custodia.operators.sinks import ensure_namespace, publish
+from custodia.operators.versions import claim, published, publish_version, read_version
+from custodia.plans.privileges import all_privileges
+from custodia.plans.refresh import TABLES, refresh
+from custodia.schemas import RAW
+from custodia.sources.catalog import INVENTORY_TABLES, METADATA_TABLES, privilege_frames
+
+NINE = ["runtime_versions", *TABLES]
+
+
+@pytest.fixture
+def home(spark, schema):
+    ensure_namespace(spark, *schema)
+    return schema[0]
+
+
+def land_inventory(folder, marker):
+    """One row for each of the nine tables, all with one marker."""
+    page = (
+        '<h2 id="rel">x</h2><table><tr><th>Version</th><th>Variants</th><th>Release date</th>'
+        f"<th>End-of-support date</th></tr><tr><td>15.4 LTS</td><td>{marker}</td><td>Aug 19, 2024</td>"
+        "<td>Aug 19, 2027</td></tr></table>"
+    )
+    permission = [{"permission_level": marker, "inherited": False}]
+    entry = {"object_id": "o", "user_name": marker, "display_name": marker, "all_permissions": permission}
+    landed = {
+        "runtime_pages": {"page_id": 1, "url": "u", "html": page},
+        "workspaces": {"workspace_id": 1, "workspace_name": marker},
+        "users": {"id": "1", "userName": marker, "name": {"givenName": "g", "familyName": "f"}},
+    }
+    per_workspace = {
+        "clusters": {"cluster_id": "c", "cluster_name": marker, "spark_version": "15.4.x"},
+        "warehouses": {"id": "w", "name": marker},
+        "workspace_assignments": {"permissions": ["USER"], "principal": {"principal_id": 1, "user_name": marker, "display_name": marker}},
+        **{f"{kind}_acl": entry for kind in ("cluster", "warehouse", "dashboard", "volume")},
+    }
+    for entity in RAW:
+        target = folder / entity
+        if entity in per_workspace:
+            target = target / "workspace_id=1"
+        target.mkdir(parents=True, exist_ok=True)
+        if entity in landed or entity in per_workspace:
+            (target / "a.json").write_text(json.dumps(landed.get(entity) or per_workspace[entity]) + "\n")
+
+
+def marker_of(frames):
+    """The markers of all nine tables."""
+    column = {
+        "runtime_versions": "variants",
+        "users": "username",
+        "workspaces": "workspace_name",
+        "workspace_privileges": "display_name",
+        "clusters": "cluster_name",
+        "warehouses": "name",
+    }
+    found = set()
+    for table in NINE:
+        names = {name.lower().replace("_", ""): name for name in frames[table].columns}
+        wanted = column.get(table, "display_name").replace("_", "")
+        found.update(row[0] for row in frames[table].select(names[wanted]).collect())
+    return found
+
+
+def test_readers_of_nine_tables_never_see_two_versions(spark, schema, tmp_path):
+    name, folder = schema
+    land_inventory(tmp_path / "in0", "m0")
+    refresh(spark, str(tmp_path / "in0"), name, "rel", location=folder)
+    done, seen, failed = threading.Event(), [], []
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.append(frozenset(marker_of(read_version(spark, name, NINE))))
+                # Tables by name, in one statement.
+                markers = " UNION ALL ".join(
+                    f"SELECT {column} AS m FROM {name}.{table}"
+                    for table, column in (("clusters", "cluster_name"), ("warehouses", "name"), ("workspaces", "workspace_name"))
+                )
+                seen.append(frozenset(row.m for row in spark.sql(markers).collect()))
+            except Exception as error:  # noqa: BLE001
+                failed.append(str(error)[:500])
+
+    with ThreadPoolExecutor(2) as pool:
+        readers = [pool.submit(read) for _ in range(2)]
+        for k in range(1, 4):
+            land_inventory(tmp_path / f"in{k}", f"m{k}")
+            refresh(spark, str(tmp_path / f"in{k}"), name, "rel", location=folder)
+            time.sleep(1)
+        done.set()
+        for reader in readers:
+            reader.result()
+    assert failed == []
+    assert all(len(markers) == 1 for markers in seen)
+    assert len(set(seen)) > 1
+    assert marker_of(read_version(spark, name)) == {"m3"}
+
+
+def test_a_failed_run_changes_nothing(spark, home):
+    publish_version(spark, home, {"a": spark.range(2), "b": spark.range(3)})
+    broken = spark.range(5).select(F.raise_error(F.lit("broken")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        publish_version(spark, home, {"a": spark.range(7), "b": broken})
+    assert (spark.table(f"{home}.a").count(), spark.table(f"{home}.b").count()) == (2, 3)
+    assert {name: df.count() for name, df in read_version(spark, home).items()} == {"a": 2, "b": 3}
+    publish_version(spark, home, {"a": spark.range(8), "b": spark.range(9)})
+    assert (spark.table(f"{home}.a").count(), spark.table(f"{home}.b").count()) == (8, 9)
+
+
+def test_a_version_is_not_shown_before_the_pointer(spark, home, monkeypatch):
+    """Dies after all rows are written."""
+    publish_version(spark, home, {"a": spark.range(2)})
+    from custodia.operators import versions
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(versions.json, "dumps", die)
+    with pytest.raises(RuntimeError, match="killed"):
+        publish_version(spark, home, {"a": spark.range(5)})
+    monkeypatch.undo()
+    assert spark.table(f"{home}.a").count() == read_version(spark, home)["a"].count() == 2
+    publish(spark.range(6), f"{home}.a")
+    assert spark.table(f"{home}.a").count() == 6
+
+
+def test_a_reader_keeps_its_version_during_a_refresh(spark, home):
+    publish_version(spark, home, {"a": spark.range(2)})
+    held = read_version(spark, home)["a"]
+    publish_version(spark, home, {"a": spark.range(5)})
+    assert (held.count(), spark.table(f"{home}.a").count()) == (2, 5)
+
+
+def test_old_versions_go(spark, home, schema):
+    for n in range(1, 6):
+        publish_version(spark, home, {"a": spark.range(n), "b": spark.range(n)} if n < 3 else {"a": spark.range(n)})
+    assert sorted(published(spark, home)) == [1, 2, 4, 5]
+    assert {p.name for p in Path(schema[1]).glob("a__versions/*=*")} == {"published_version=4", "published_version=5"}
+    # A table that later versions lack stays as it was.
+    assert spark.table(f"{home}.b").count() == 2
+
+
+def test_columns_may_come_and_go(spark, home):
+    publish(spark.range(1), f"{home}.a")
+    publish(spark.range(2).selectExpr("id", "'x' AS more"), f"{home}.a")
+    assert rows(spark.table(f"{home}.a")) == [(0, "x"), (1, "x")]
+    published_ = publish(spark.range(1).selectExpr("'y' AS more", "1 AS version"), f"{home}.a")
+    assert spark.table(f"{home}.a").columns == published_.columns == ["more", "version"]
+    assert rows(spark.table(f"{home}.a")) == [("y", 1)]
+    with pytest.raises(TypeError, match="published as"):
+        publish(spark.range(1).selectExpr("1 AS more"), f"{home}.a")
+    assert rows(spark.table(f"{home}.a")) == [("y", 1)]
+
+
+def test_numbers_are_claimed_once(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda _: claim(spark, str(tmp_path / "claims"), 3), range(24)))
+    assert sorted(numbers) == list(range(3, 27))
+
+
+def test_runs_side_by_side_publish_whole_versions(spark, home):
+    def run(n):
+        return publish_version(spark, home, {"a": spark.range(n), "b": spark.range(n)}, kept=9)
+
+    with ThreadPoolExecutor(3) as pool:
+        by_version = dict(zip(pool.map(run, (3, 4, 5)), (3, 4, 5), strict=True))
+    frames = read_version(spark, home)
+    assert {df.count() for df in frames.values()} == {by_version[max(by_version)]}
+
+
+def test_the_audit_reads_published_tables_of_one_moment(spark, home, testbed):
+    frames = testbed.frames()
+    publish_version(spark, home, {name: frames[name] for name in (*INVENTORY_TABLES, *METADATA_TABLES)})
+    before = privilege_frames(spark, home, home)
+    publish_version(spark, home, {name: frames[name].limit(0) for name in INVENTORY_TABLES})
+    assert all_privileges(before).count() == all_privileges(frames).count()
+    assert privilege_frames(spark, home, home)["clusters"].count() == 0
