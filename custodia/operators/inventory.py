@@ -19,7 +19,8 @@ from custodia.functions.scalars import (
     tag_value,
 )
 from custodia.operators.keys import DuplicateKeyError, check_key
-from custodia.sources.html_tables import cell, table_cells
+from custodia.sources.html_tables import cell, may_have_anchor, table_cells
+from custodia.storage import stage
 
 # Headers of the release table that downstream reports use. Fixed values.
 RELEASE_HEADERS = ("Version", "Variants", "Release date", "End-of-support date")
@@ -77,11 +78,31 @@ def numbered_runtimes(runtimes: DataFrame) -> DataFrame:
     return runtimes.withColumn("spark_version_number", strip_lts("version"))
 
 
+#: Pages that are parsed in the first step of the search for the newest release table, and by how much steps grow.
+FIRST_PAGES, GROWTH = 64, 8
+
+
 def release_rows(pages: DataFrame, anchor_id: str) -> DataFrame:
-    """Rows of the release table of the newest stored page that has one, the one with the highest id."""
-    rows = table_cells(pages.select("page_id", "html"), anchor_id)
-    newest = rows.agg(F.max("page_id").alias("page_id")).scalar()
-    return rows.filter(F.col("page_id") == newest)
+    """Rows of the release table of the newest stored page that has one, the one with the highest id.
+
+    Pages that cannot have the table are left out without parsing them. Of the others,
+    the newest are parsed first, then ever more older ones until one has the table, so
+    no page is parsed twice and most are not parsed at all. Rows are returned from the
+    stored result of the parsing. The driver reads two ids for each step. Pages without
+    an id are never the newest.
+    """
+    possible = pages.filter(may_have_anchor("html", anchor_id) & F.col("page_id").isNotNull())
+    ids = stage(possible.select("page_id").distinct(), "release-pages")
+    below, n_pages = F.lit(True), FIRST_PAGES
+    while True:
+        batch = ids.filter(below).orderBy(F.col("page_id").desc()).limit(n_pages)
+        lowest, n_found = batch.agg(F.min("page_id"), F.count("*")).first()
+        within = below & (F.col("page_id") >= F.lit(lowest)) if n_found else F.lit(False)
+        rows = stage(table_cells(possible.filter(within).select("page_id", "html"), anchor_id), "release-rows")
+        newest = rows.agg(F.max("page_id")).first()[0]
+        if newest is not None or n_found < n_pages:
+            return rows.filter(F.col("page_id") == F.lit(newest))
+        below, n_pages = F.col("page_id") < F.lit(lowest), n_pages * GROWTH
 
 
 def runtime_versions(pages: DataFrame, anchor_id: str, headers=RELEASE_HEADERS) -> DataFrame:

@@ -168,6 +168,15 @@ class _ReadTable:
             yield from _records(html, anchor_id)
 
 
+def may_have_anchor(html: str, anchor_id: str) -> Column:
+    """Whether a page may hold an element with the id; false only where none can.
+
+    The id stands in the page as it is, unless a character reference in an attribute spells it.
+    """
+    spelled = F.col(html).rlike(r"""(?i)\bid\s*=\s*(?:"[^"]*&|'[^']*&|[^\s"'>]*&)""")
+    return F.col(html).contains(anchor_id) | spelled
+
+
 def table_cells(pages: DataFrame, anchor_id: str) -> DataFrame:
     """Rows of the table after the heading ``anchor_id`` in every page, as text by normalised header.
 

@@ -1,6 +1,7 @@
 import pytest
 
 from core_helpers import rows
+from custodia.operators import inventory
 from custodia.operators.inventory import runtime_versions
 from custodia.operators.keys import DuplicateKeyError
 from custodia.plans.support import cluster_version_support
@@ -116,6 +117,53 @@ def test_the_newest_page_counts(spark):
     assert cluster_version_support(clusters, df).count() == 1
 
 
+def parsed_batches(monkeypatch):
+    """Ids of the pages that each step of the search parses."""
+    batches, parse = [], inventory.table_cells
+
+    def record(pages, anchor_id):
+        batches.append(sorted(row.page_id for row in pages.select("page_id").collect()))
+        return parse(pages, anchor_id)
+
+    monkeypatch.setattr(inventory, "table_cells", record)
+    return batches
+
+
+def test_the_search_parses_no_page_twice_and_few_at_all(spark, monkeypatch):
+    batches = parsed_batches(monkeypatch)
+    monkeypatch.setattr(inventory, "FIRST_PAGES", 3)
+    monkeypatch.setattr(inventory, "GROWTH", 2)
+    # Pages that name the anchor only in text, newer than the release page, and ones that never do.
+    in_text = "<p>see rel below</p>" + table("x", "y")
+    pages = [release_page(("1.0", "old", "1", "", ""))] * 20 + [release_page(*LISTED)] + [in_text] * 5 + ["<p>none</p>"] * 30
+    df = runtimes(spark, *pages)
+    assert rows(df.select("version")) == [("15.4 LTS",), ("16.0",)]
+    assert batches == [[23, 24, 25], [17, 18, 19, 20, 21, 22]]
+
+
+def test_the_search_reads_stored_rows_afterwards(spark, monkeypatch):
+    batches = parsed_batches(monkeypatch)
+    df = runtimes(spark, release_page(*LISTED))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    assert (df.count(), df.count(), len(batches)) == (2, 2, 1)
+
+
+@pytest.mark.parametrize("pages", [[], ["<p>none</p>", None], ["<p>rel</p>"], [release_page()]])
+def test_no_release_table_at_all(spark, pages):
+    assert runtimes(spark, *pages).count() == 0
+
+
+def test_repeated_and_missing_ids_of_pages(spark):
+    rows_ = [(None, release_page(("9.9", "a", "b", "", ""))), (4, release_page(LISTED[0])), (4, release_page(LISTED[1])), (3, "rel")]
+    df = spark.createDataFrame(rows_, "page_id bigint, html string")
+    assert rows(runtime_versions(df, "rel").select("version")) == [("15.4 LTS",), ("16.0",)]
+
+
+def test_an_anchor_spelled_by_references_counts(spark):
+    page = release_page(*LISTED).replace('id="rel"', "ID = 'r&#101;l'")
+    assert runtimes(spark, release_page(("1.0", "old", "1", "", "")), page).count() == 2
+
+
 def test_headers_are_matched_in_snake_case(spark):
     assert runtimes(spark, release_page(*LISTED, head="End of support date")).count() == 2
 
