@@ -1,13 +1,16 @@
 import csv
 import glob
+import json
 import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from core_helpers import rows
-from custodia.operators.export import export_review, owner_files
+from custodia.operators.export import export_review, file_tasks, owner_files
 from custodia.operators.sinks import publish, replace_partition
 from custodia.plans.privileges import all_privileges
 from custodia.plans.review import ReviewTables, create_review, snapshot
@@ -184,7 +187,9 @@ def test_batch_read_takes_a_glob(spark, review, tmp_path):
     assert row.import_file_name == "a.csv"
     stream = read_review_stream(spark, str(tmp_path))
     assert stream.isStreaming
-    assert enrich_import(stream).columns == [*REVIEW_DETAIL.names, "import_timestamp", "import_file_name"]
+    assert enrich_import(stream).columns == [
+        *REVIEW_DETAIL.names, "import_timestamp", "import_file_name", "rejected", "readable"
+    ]
 
 
 def test_swapped_columns_are_refused(spark, schema, tmp_path):
@@ -213,6 +218,76 @@ def test_unreadable_rows_are_kept_apart(spark, schema, tmp_path):
     assert [(r.rejected, r.import_file_name) for r in rejects] == [(bad, "a.csv")]
 
 
+GOOD, BAD = "0,{},1,3,t,n,o,g,c,s,p,NO,NONE", "1,{},1,two,t,n,o,g,c,s,p,NO,NONE"
+
+
+def review_file(path, number):
+    lines = [f",{','.join(REVIEW_DETAIL.names)}", GOOD.format(number), BAD.format(number)]
+    path.write_text("\n".join(lines) + "\n")
+
+
+def records_read(events):
+    """Records that the tasks of an event log have read."""
+    records = 0
+    for log in Path(events).rglob("*"):
+        if log.is_file() and log.name.startswith("events"):
+            for line in log.read_text().splitlines():
+                event = json.loads(line)
+                if event["Event"] == "SparkListenerTaskEnd":
+                    records += event["Task Metrics"]["Input Metrics"]["Records Read"]
+    return records
+
+
+def test_each_file_is_read_once(tmp_path):
+    """In a session of its own, which writes an event log."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (tmp_path / "events").mkdir()
+    for n in range(20):
+        review_file(inbox / f"{n}.csv", n)
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parent.parent)!r})
+from pyspark.sql import SparkSession
+builder = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", {str(tmp_path / "events")!r})
+builder = builder.config("spark.eventLog.compress", "false").config("spark.sql.shuffle.partitions", "2")
+spark = builder.config("spark.sql.warehouse.dir", {str(tmp_path / "warehouse")!r}).getOrCreate()
+from custodia.streaming.review_import import import_reviews
+spark.sql("CREATE SCHEMA s")
+import_reviews(spark, {str(inbox)!r}, "s.imported", {str(tmp_path / "checkpoint")!r})
+spark.stop()
+"""
+    )
+    subprocess.run([sys.executable, str(script)], check=True, timeout=300)
+    # Two rows a file and no header; two passes would read twice as many.
+    assert 40 <= records_read(tmp_path / "events") <= 60
+
+
+def test_a_killed_batch_is_taken_up_again(spark, schema, tmp_path):
+    """The run dies when some of the batch's files are written and its commit is not."""
+    name, folder = schema
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{folder}'")
+    inbox, checkpoint, table = tmp_path / "in", str(tmp_path / "checkpoint"), f"{name}.imported"
+    inbox.mkdir()
+    review_file(inbox / "a.csv", 1)
+    import_reviews(spark, str(inbox), table, checkpoint)
+    review_file(inbox / "b.csv", 2)
+    (inbox / "c.csv").write_text("other,columns\n1,2\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        import_reviews(spark, str(inbox), table, checkpoint)
+    ids = "access_review_detail_id"
+    assert rows(spark.table(table).select(ids)) == rows(spark.table(f"{table}_rejects").select(ids)) == [(1,)]
+    # The batch is planned already; now its files can be read.
+    review_file(inbox / "c.csv", 3)
+    for _ in range(2):
+        import_reviews(spark, str(inbox), table, checkpoint)
+        assert rows(spark.table(table).select(ids)) == [(1,), (2,), (3,)]
+        assert rows(spark.table(f"{table}_rejects").select(ids)) == [(1,), (2,), (3,)]
+
+
 def test_an_export_leaves_no_scratch_tables(spark, review, tmp_path):
     def scratch():
         return {p.name for p in Path(shared_folder(spark)).glob("*")}
@@ -239,3 +314,46 @@ def test_review_of_the_test_tables(spark, testbed, schema):
     data = all_privileges(testbed.frames())
     create_review(data, name, location=folder)
     assert spark.table(ReviewTables(name).detail).count() == data.count()
+
+
+def many_files(spark, n):
+    """One file for each of n names, and every thousandth name split into three."""
+    name = F.format_string("o%07d", "id")
+    split = F.col("id") % 1000 == 0
+    parts = F.when(split, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
+    files = spark.range(n).select(name.alias("owner_slug"), split.alias("split"), F.explode(parts).alias("part"))
+    return files.withColumn("n", (F.pmod(F.xxhash64("owner_slug", "part"), F.lit(90)) + 1).cast("long"))
+
+
+def test_a_million_owners_are_packed_without_a_window_over_all(spark):
+    files = many_files(spark, 1_000_000)
+    tasks, n_tasks = file_tasks(files, 1000)
+    plan = tasks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") and "windowspecdefinition(owner_slug" in plan and "windowspecdefinition(bucket" in plan
+    assert "SinglePartition" not in tasks._jdf.queryExecution().executedPlan().toString()
+    joined = tasks.join(files, ["owner_slug", "part"])
+    per_task = joined.groupBy("task").agg(F.sum("n").alias("n"), F.count("*").alias("files"), F.max("split").alias("split"))
+    worst = per_task.agg(
+        F.max("task").alias("last"),
+        F.count("*").alias("tasks"),
+        F.max(F.when(F.col("split"), F.col("files"))).alias("alone"),
+        F.max(F.when(~F.col("split"), F.col("n"))).alias("most"),
+    ).first()
+    assert worst.last < n_tasks
+    assert worst.alone == 1
+    assert worst.most <= 500 + 90
+    assert joined.count() == files.count()
+    # Few tasks are left without a file.
+    assert worst.tasks >= 0.9 * n_tasks
+
+
+def test_numbers_of_split_names_follow_from_their_parts(spark):
+    files = spark.createDataFrame([("a", 0, 5, True), ("a", 1, 7, True), ("a", 2, 2, True), ("b", 0, 4, False)], "owner_slug string, part int, n long, split boolean")
+    tasks, _ = file_tasks(files, 10)
+    assert rows(tasks.select("owner_slug", "part", "first")) == [("a", 0, 0), ("a", 1, 5), ("a", 2, 12), ("b", 0, 0)]
+
+
+def test_nothing_to_pack(spark):
+    files = many_files(spark, 0)
+    tasks, n_tasks = file_tasks(files, 10)
+    assert (tasks.count(), n_tasks) == (0, 1)
