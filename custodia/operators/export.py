@@ -1,6 +1,6 @@
 """Review export: CSV files per owner."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,6 +11,8 @@ from custodia.sources.reviews import CSV_WRITE
 from custodia.storage import Staging, staging
 
 ROWS_PER_FILE = 1_000_000
+#: Buckets of names, over which the driver adds up.
+BUCKETS = 4096
 
 
 def owner_files(review: DataFrame, rows_per_file: int, allow_unicode: bool = False) -> DataFrame:
@@ -27,26 +29,60 @@ def owner_files(review: DataFrame, rows_per_file: int, allow_unicode: bool = Fal
     return slugged.withColumn("n_files", F.ceil(slug_rows / rows_per_file).cast("int"))
 
 
-def file_tasks(parted: DataFrame, rows_per_file: int) -> DataFrame:
-    """Per file (owner_slug, part): the number of its first row, and the task that writes it.
+def part_of(n_files) -> Column:
+    """The part that a row of a name with several files belongs to; 0 for a name with one."""
+    return F.pmod(F.xxhash64("access_review_detail_id"), n_files).cast("int")
+
+
+def part_counts(review: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows per file: owner_slug, part, n, split.
+
+    Names with one file are counted already. Only rows of the others are looked at again,
+    and only their owner and id.
+    """
+    whole = files.filter("n_files = 1").groupBy("owner_slug").agg(F.sum("n_rows").alias("n"))
+    split = files.filter("n_files > 1").select(F.col("object_owner").alias("owner"), "owner_slug", "n_files")
+    rows = review.select("object_owner", "access_review_detail_id").join(split, F.col("object_owner").eqNullSafe(F.col("owner")))
+    parts = rows.groupBy("owner_slug", part_of(F.col("n_files")).alias("part")).agg(F.count("*").alias("n"))
+    return whole.select("owner_slug", F.lit(0).alias("part"), "n", F.lit(False).alias("split")).unionByName(
+        parts.withColumn("split", F.lit(True))
+    )
+
+
+def file_tasks(files: DataFrame, rows_per_file: int) -> tuple[DataFrame, int]:
+    """Per file (owner_slug, part): the number of its first row, and the task that writes it; and the number of tasks.
 
     A part of a split name has a task of its own. Names of one file share tasks, which
     are full at half of ``rows_per_file``, so none gets more than 1.5 times that number.
+
+    Sums over all files run in two levels: within buckets of names, and over the buckets,
+    whose totals, `BUCKETS` rows, the driver adds up.
     """
-    files = parted.groupBy("owner_slug", "part").agg(F.count("*").alias("n"), (F.first("n_files") > 1).alias("split"))
-    # One row per file from here on.
+    spark = files.sparkSession
+    bucketed = files.withColumn("bucket", F.pmod(F.xxhash64("owner_slug"), F.lit(BUCKETS)).cast("int"))
+    shared = F.when(F.col("split"), 0).otherwise(F.col("n"))
+    totals = bucketed.groupBy("bucket").agg(F.sum(shared).alias("n"), F.count_if("split").alias("alone")).collect()
+    starts, n_shared, n_alone = [], 0, 0
+    for row in sorted(totals):
+        starts.append((row.bucket, n_shared, n_alone))
+        n_shared, n_alone = n_shared + row.n, n_alone + row.alone
+    before = spark.createDataFrame(starts, "bucket int, shared_before long, alone_before long")
+    in_bucket = W.partitionBy("bucket").orderBy("owner_slug", "part").rowsBetween(W.unboundedPreceding, -1)
     earlier = W.partitionBy("owner_slug").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    packed = W.partitionBy("split").orderBy("owner_slug", "part")
-    start = F.coalesce(F.sum("n").over(packed.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    alone = F.row_number().over(packed) - 1
-    n_alone = F.count_if("split").over(W.partitionBy())
-    task = F.when(F.col("split"), alone).otherwise(n_alone + F.floor(2 * start / rows_per_file))
-    return files.select(
-        "owner_slug",
-        "part",
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"),
-        task.cast("int").alias("task"),
-    )
+
+    def so_far(value, window):
+        return F.coalesce(F.sum(value).over(window), F.lit(0))
+
+    summed = bucketed.select(
+        "*",
+        so_far(F.col("n"), earlier).alias("first"),
+        so_far(shared, in_bucket).alias("shared"),
+        so_far(F.col("split").cast("int"), in_bucket).alias("alone"),
+    ).join(F.broadcast(before), "bucket")
+    packed = n_alone + F.floor(2 * (F.col("shared") + F.col("shared_before")) / rows_per_file)
+    task = F.when(F.col("split"), F.col("alone") + F.col("alone_before")).otherwise(packed)
+    n_tasks = n_alone + 2 * max(0, n_shared - 1) // rows_per_file + 1
+    return summed.select("owner_slug", "part", "first", task.cast("int").alias("task")), n_tasks
 
 
 def export_rows(review: DataFrame, files: DataFrame, rows_per_file: int, staged: Staging) -> DataFrame:
@@ -56,15 +92,13 @@ def export_rows(review: DataFrame, files: DataFrame, rows_per_file: int, staged:
     about that size. Counts per part tell where its numbers start, so they have no
     gaps, and no row is ordered outside of its part.
     """
-    part = F.pmod(F.xxhash64("access_review_detail_id"), F.col("n_files")).cast("int")
+    tasks, n_tasks = file_tasks(staged.stage(part_counts(review, files), "file-rows"), rows_per_file)
     parted = (
         review.join(files.drop("n_rows"), review["object_owner"].eqNullSafe(files["object_owner"]))
         .drop(files["object_owner"])
-        .withColumn("part", part)
+        .withColumn("part", part_of(F.col("n_files")))
     )
-    tasks = staged.stage(file_tasks(parted, rows_per_file), "file-tasks")
-    n_tasks = (tasks.agg(F.max("task")).first()[0] or 0) + 1
-    spread = parted.join(tasks, ["owner_slug", "part"]).repartitionById(n_tasks, "task")
+    spread = parted.join(staged.stage(tasks, "file-tasks"), ["owner_slug", "part"]).repartitionById(n_tasks, "task")
     in_part = W.partitionBy("task", "owner_slug", "part").orderBy("access_review_detail_id")
     number = (F.col("first") + F.row_number().over(in_part) - 1).cast("bigint")
     return spread.select(number.alias("_c0"), *REVIEW_DETAIL.names, "owner_slug")
