@@ -11,6 +11,7 @@ from custodia.functions.names import normalize_columns, normalize_map, slug, sna
 from custodia.functions.scalars import parse_ts
 from custodia.operators import inventory, keys
 from custodia.operators.export import export_review, owner_counts, owner_files
+from custodia.operators.keyed import ensure_keyed_table, upsert_table
 from custodia.operators.sinks import ensure_namespace, publish
 from custodia.plans.privileges import KINDS, all_privileges, branch, privileges_by_owner
 from custodia.plans.refresh import TABLES, VOLUME_TABLE, refresh
@@ -219,7 +220,8 @@ def identity_ids(tb: Testbed) -> DataFrame:
     )
 
 
-def outcomes_upsert(tb: Testbed) -> DataFrame:
+def _outcome_frames(tb: Testbed) -> tuple[DataFrame, DataFrame]:
+    """Outcomes by order, and changed and added ones."""
     orders = tb.table("orders")
     target = orders.select(F.col("o_orderkey").alias("outcome_id"), F.col("o_orderstatus").alias("outcome_value"))
     changed = orders.filter("o_orderstatus = 'F'").select(
@@ -228,7 +230,23 @@ def outcomes_upsert(tb: Testbed) -> DataFrame:
     added = orders.filter("o_orderstatus = 'O'").select(
         (-1 - F.col("o_orderkey")).alias("outcome_id"), F.col("o_orderpriority").alias("outcome_value")
     )
-    return keys.upsert(target, changed.unionByName(added), ["outcome_id"])
+    return target, changed.unionByName(added)
+
+
+def outcomes_upsert(tb: Testbed) -> DataFrame:
+    return keys.upsert(*_outcome_frames(tb), ["outcome_id"])
+
+
+def stored_outcomes_upsert(tb: Testbed) -> DataFrame:
+    """The same by way of two merges into a keyed table."""
+    schema, folder = _schema(tb, "outcomes")
+    ensure_namespace(tb.spark, schema, folder)
+    table = f"{schema}.outcomes"
+    frames = _outcome_frames(tb)
+    ensure_keyed_table(tb.spark, table, frames[0].schema, ["outcome_id"], required=["outcome_value"])
+    for frame in frames:
+        upsert_table(frame, table)
+    return tb.spark.table(table)
 
 
 def union_frames(tb: Testbed) -> DataFrame:
@@ -298,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "published_cluster_privileges": lambda tb: _plain_sources(published(tb, "cluster_privileges")),
     "published_warehouse_privileges": lambda tb: _plain_sources(published(tb, "warehouse_privileges")),
     "published_dashboard_privileges": lambda tb: _plain_sources(published(tb, "dashboard_privileges")),
+    "published_volume_privileges": lambda tb: _plain_sources(published(tb, "volume_privileges")),
     "published_runtime_versions": published_runtime_versions,
     # Support windows.
     "cluster_version_support": lambda tb: cluster_version_support(tb.clusters(), tb.runtime_versions(), AS_OF),
@@ -326,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "csv_import": csv_import,
     "identity_ids": identity_ids,
     "outcomes_upsert": outcomes_upsert,
+    "stored_outcomes_upsert": stored_outcomes_upsert,
     "key_violations": lambda tb: keys.check_key(tb.table("lineitem"), ["l_orderkey", "l_linenumber"]),
     # Names and keys.
     "snake_keys": lambda tb: tb.table("part").select(

@@ -28,6 +28,25 @@ def assign_ids(df: DataFrame, id_col: str, start: int = 1) -> DataFrame:
     return df.select((F.monotonically_increasing_id() + F.lit(start).cast("bigint")).alias(id_col), "*")
 
 
+#: Bits of an id for the position in a partition, and for the partition.
+POSITION_BITS, PARTITION_BITS = 27, 17
+
+
+def numbered_ids(df: DataFrame, id_col: str, run: int) -> DataFrame:
+    """Put a bigint before the other columns that is unique over all runs and ascends over them; gaps are allowed.
+
+    It holds the run's number, the partition and the position in it, so runs need not
+    know of each other. More rows in a partition or more partitions than there are bits
+    for stop the query.
+    """
+    place = F.monotonically_increasing_id()
+    partition, position = F.shiftright(place, 33), place.bitwiseAND(F.lit((1 << 33) - 1))
+    base = F.lit(run << (POSITION_BITS + PARTITION_BITS)).cast("bigint")
+    fits = (position < 1 << POSITION_BITS) & (partition < 1 << PARTITION_BITS)
+    number = base + F.shiftleft(partition, POSITION_BITS) + position
+    return df.select(F.when(fits, number).otherwise(F.raise_error(F.lit("too many rows to number")).cast("bigint")).alias(id_col), "*")
+
+
 def latest_id(df: DataFrame, col: str) -> DataFrame:
     """One row with the highest id; null if there is none."""
     return df.agg(F.max(col).alias(col))

@@ -5,9 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from custodia.operators.keys import upsert
+from custodia.operators.constraints import declaration, key_of, refuse_repeats, without_nulls
+from custodia.operators.partitions import drop_partition_with_rows, schema_of, write_partition
 from custodia.operators.versions import publish_version, read_version
-from custodia.storage import remove_folder
 
 
 def ensure_namespace(spark: SparkSession, schema: str, location: str | None = None) -> None:
@@ -15,83 +15,50 @@ def ensure_namespace(spark: SparkSession, schema: str, location: str | None = No
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{at}")
 
 
-def _settle(spark: SparkSession, table: str) -> None:
-    """Finish or undo a swap that was cut short."""
-    old = f"{table}__old"
-    if spark.catalog.tableExists(old):
-        if spark.catalog.tableExists(table):
-            spark.sql(f"DROP TABLE {old}")
-        else:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
-
-
-def ensure_table(spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str] = ()) -> None:
+def ensure_table(
+    spark: SparkSession,
+    name: str,
+    schema: StructType,
+    partition_by: Sequence[str] = (),
+    key: Sequence[str] = (),
+    required: Sequence[str] = (),
+) -> None:
     """Create an empty parquet table unless it exists.
 
-    Partition columns come last. Keys are not declared; see `check_key` and `assign_ids`.
+    Partition columns come last. The columns of the key and the required ones are
+    checked with every write of this module.
     """
-    _settle(spark, name)
     partitioned = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet{partitioned}")
-
-
-def write_beside(df: DataFrame, table: str) -> None:
-    """Write the full result as ``<table>__new``; the table itself stays as it is."""
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}__new")
-    # A write that failed leaves a folder, but no table.
-    schema, _, name = table.rpartition(".")
-    home = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
-    remove_folder(spark, f"{home}/{name.lower()}__new")
-    df.write.format("parquet").saveAsTable(f"{table}__new")
-
-
-def swap_in(spark: SparkSession, table: str) -> None:
-    """Put what `write_beside` wrote in the table's place.
-
-    A run that dies in between loses no rows: the next one settles what it left.
-    """
-    new, old = f"{table}__new", f"{table}__old"
-    _settle(spark, table)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    declared = declaration(key, required)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet{partitioned}{declared}")
 
 
 def publish(df: DataFrame, table: str) -> DataFrame:
     """Create or replace a published table with the full result; until that is written, the old one stays."""
     spark = df.sparkSession
-    schema, _, name = table.rpartition(".")
-    schema = schema or spark.catalog.currentDatabase()
+    schema, name = schema_of(spark, table)
     publish_version(spark, schema, {name: df})
     return read_version(spark, schema, [name])[name]
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Append rows; columns are matched by name."""
+    """Append rows; columns are matched by name. Nulls that the table does not take stop it."""
     columns = df.sparkSession.table(table).columns
-    df.select(*columns).write.insertInto(table)
+    without_nulls(df.select(*columns), table).write.insertInto(table)
 
 
 def replace_partition(df: DataFrame, table: str, column: str, value: int) -> None:
-    """Write one whole partition, replacing what an earlier attempt left in it."""
-    spark = df.sparkSession
-    columns = [name for name in spark.table(table).columns if name != column]
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = {int(value)}) SELECT * FROM {{rows}}",
-        rows=df.select(*columns),
-    )
-
+    """Write one whole partition, replacing what an earlier attempt left in it.
 
-def upsert_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Merge rows into a table.
-
-    The merged rows are written beside the table and then swapped in, so the
-    table is never overwritten while it is read, and a run that dies at any point
-    loses no rows: the next one settles what it left.
+    Rows that break the table's constraints stop it; then the partition is gone. Only
+    repeats within the partition are looked for, in the written rows' key columns.
     """
-    spark = source.sparkSession
-    _settle(spark, table)
-    write_beside(upsert(spark.table(table), source, keys), table)
-    swap_in(spark, table)
+    spark = df.sparkSession
+    columns = [name for name in spark.table(table).columns if name != column]
+    write_partition(without_nulls(df.select(*columns), table), table, column, value)
+    key = [name for name in key_of(spark, table) if name != column]
+    try:
+        refuse_repeats(spark.table(table).filter(f"{column} = {int(value)}"), table, key)
+    except Exception:
+        drop_partition_with_rows(spark, table, column, value)
+        raise

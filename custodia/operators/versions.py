@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from custodia.operators.partitions import drop_partitions, schema_folder, write_partition
+
 POINTER = "published_versions"
 #: Partition column of the rows of all versions.
 VERSION = "published_version"
@@ -30,10 +32,6 @@ KEPT = 2
 _CLAIM = threading.Lock()
 
 
-def schema_folder(spark: SparkSession, schema: str) -> str:
-    return spark.catalog.getDatabase(schema).locationUri.rstrip("/")
-
-
 def claim(spark: SparkSession, folder: str, first: int) -> int:
     """The lowest number from ``first`` on that no other run has, taken by creating a file that must not exist.
 
@@ -108,22 +106,10 @@ def _prepare(spark: SparkSession, schema: str, table: str, wanted: StructType) -
             raise TypeError(f"column {column} of {schema}.{table} is published as {held[column]}, not {kind}")
 
 
-def _add_partition(df: DataFrame, schema: str, table: str, column: str, value: int) -> None:
-    """Write rows into a partition's own folder, then show them; what another attempt left is replaced.
-
-    Inserts into one table at a time would share a folder for their unfinished files.
-    """
-    spark = df.sparkSession
-    folder = f"{schema_folder(spark, schema)}/{table.lower()}/{column}={value}"
-    df.write.mode("overwrite").parquet(folder)
-    spark.sql(f"ALTER TABLE {schema}.{table} ADD IF NOT EXISTS PARTITION ({column} = {value})")
-    spark.catalog.refreshTable(f"{schema}.{table}")
-
-
 def _write(df: DataFrame, schema: str, table: str, version: int) -> None:
     """All rows of a version."""
     _prepare(df.sparkSession, schema, table, df.schema)
-    _add_partition(df, schema, f"{table}__versions", VERSION, version)
+    write_partition(df, _rows_table(schema, table), VERSION, version)
 
 
 def _show(spark: SparkSession, schema: str, table: str, columns: list[str]) -> None:
@@ -161,7 +147,7 @@ def publish_version(spark: SparkSession, schema: str, frames: dict[str, DataFram
             _show(spark, schema, table, columns[table])
     listed = F.from_json(F.lit(json.dumps(columns)), "map<string, array<string>>").alias("tables")
     row = spark.range(1).select(listed, F.current_timestamp().alias("published_at"))
-    _add_partition(row, schema, POINTER, "version", version)
+    write_partition(row, pointer, "version", version)
     remove_old(spark, schema, kept)
     return version
 
@@ -173,14 +159,6 @@ def remove_old(spark: SparkSession, schema: str, kept: int = KEPT) -> None:
     for table in newest_versions(versions):
         having = sorted((version for version in versions if table in versions[version]), reverse=True)[:kept]
         needed.update(having)
-        name = _rows_table(schema, table)
-        _drop_partitions(spark, name, VERSION, lambda version, oldest=having[-1]: version < oldest)
+        drop_partitions(spark, _rows_table(schema, table), lambda oldest=having[-1], **at: at[VERSION] < oldest)
     # First the rows, then their entry, so nothing is listed without its rows being tried.
-    _drop_partitions(spark, f"{schema}.{POINTER}", "version", lambda version: version not in needed and version < max(needed))
-
-
-def _drop_partitions(spark: SparkSession, table: str, column: str, unwanted) -> None:
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        version = int(row.partition.split("=")[1])
-        if unwanted(version):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = {version})")
+    drop_partitions(spark, f"{schema}.{POINTER}", lambda version: version not in needed and version < max(needed))

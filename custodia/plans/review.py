@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custodia.functions.scalars import stamp
-from custodia.operators.keys import assign_ids, latest_id, latest_review, next_id
-from custodia.operators.sinks import append, ensure_namespace, ensure_table, replace_partition, upsert_table
+from custodia.operators.keyed import ensure_keyed_table, upsert_table
+from custodia.operators.keys import latest_id, next_id, numbered_ids
+from custodia.operators.partitions import schema_folder
+from custodia.operators.sinks import ensure_namespace, ensure_table, replace_partition
+from custodia.operators.versions import claim
 from custodia.schemas import OUTCOMES, PRIVILEGE_COLUMNS, REVIEW_DETAIL, REVIEWS
 from custodia.sources.reviews import DEFAULT_OUTCOME, review_outcomes
 
@@ -48,10 +51,12 @@ def ensure_review_tables(spark: SparkSession, schema: str, location: str | None
     """Create what is missing and bring the outcomes up to date."""
     tables = ReviewTables(schema)
     ensure_namespace(spark, schema, location)
-    ensure_table(spark, tables.outcomes, OUTCOMES)
-    ensure_table(spark, tables.reviews, REVIEWS)
-    ensure_table(spark, tables.detail, REVIEW_DETAIL, partition_by=["access_review_id"])
-    upsert_table(review_outcomes(spark), tables.outcomes, ["outcome_id"])
+    ensure_keyed_table(spark, tables.outcomes, OUTCOMES, ["outcome_id"], required=["outcome_value"], buckets=4)
+    ensure_table(spark, tables.reviews, REVIEWS, partition_by=["access_review_id"], key=["access_review_id"])
+    ensure_table(
+        spark, tables.detail, REVIEW_DETAIL, partition_by=["access_review_id"], key=["access_review_detail_id"]
+    )
+    upsert_table(review_outcomes(spark), tables.outcomes)
     return tables
 
 
@@ -60,20 +65,18 @@ def create_review(
 ) -> int:
     """Snapshot all privileges as a new review and return its id.
 
-    The detail is one partition, written before the header. A review therefore
-    shows up only when it is complete, and a run after a failed one replaces what
-    that left behind. Only one run per schema may create a review at a time.
+    The id is claimed first, so runs side by side create reviews of their own. The
+    detail is one partition, checked and written before the header. A review therefore
+    shows up only when it is complete; what a failed run leaves is never seen. Ids of rows
+    hold the id of their review, so they ascend over reviews and no two are the same.
     """
     spark = privileges.sparkSession
     tables = ensure_review_tables(spark, schema, location)
-    reviews, detail = spark.table(tables.reviews), spark.table(tables.detail)
-    review_id = next_id(reviews, "access_review_id")
-    # Ids ascend over reviews, so the latest one holds the highest.
-    first_row = next_id(latest_review(detail, reviews), "access_review_detail_id")
-    rows = assign_ids(snapshot(privileges, review_id), "access_review_detail_id", first_row)
+    claims = f"{schema_folder(spark, schema)}/_access_reviews"
+    review_id = claim(spark, claims, next_id(spark.table(tables.reviews), "access_review_id"))
+    rows = numbered_ids(snapshot(privileges, review_id), "access_review_detail_id", review_id)
     replace_partition(rows, tables.detail, "access_review_id", review_id)
-    header = spark.range(1).select(F.lit(review_id).cast("bigint").alias("access_review_id"))
-    append(stamp(header, user=by, now=at), tables.reviews)
+    replace_partition(stamp(spark.range(1).drop("id"), user=by, now=at), tables.reviews, "access_review_id", review_id)
     return review_id
 
 

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
 
-from custodia.functions.names import normalize_map, snake_name
+from custodia.functions import names as naming
+from custodia.functions.names import snake_name
 
 # The parser travels with the function, so that executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+for _module in (sys.modules[__name__], naming):
+    cloudpickle.register_pickle_by_value(_module)
 
 # Elements without content; they never open a level. Fixed by the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -133,14 +135,17 @@ def _grid(rows):
 
 
 def _records(html, anchor_id):
-    """(row number, {header: text}) for each body row; empty cells are null."""
+    """(row number, {header in snake case: text}) for each body row; empty cells are null.
+
+    Headers are put into snake case once for a table; of equal ones the last counts.
+    """
     parser = _AnchoredTable(anchor_id)
     parser.feed(html)
     parser.close()
     header, number = None, 0
     for is_heading, texts in _grid([row for row in parser.rows if row[1]]):
         if is_heading and number == 0:
-            header = header or _distinct(texts)
+            header = header or [snake_name(name) for name in _distinct(texts)]
             continue
         names = header or [str(i) for i in range(len(texts))]
         yield number, {name: text or None for name, text in zip(names, texts)}
@@ -186,7 +191,7 @@ def table_cells(pages: DataFrame, anchor_id: str) -> DataFrame:
     """
     kept = [F.col(name) for name in pages.columns if name != "html"]
     rows = pages.lateralJoin(_ReadTable(F.col("html").outer(), F.lit(anchor_id)))
-    return rows.select(*kept, "row_number", normalize_map("cells").alias("cells"))
+    return rows.select(*kept, "row_number", "cells")
 
 
 def cell(name: str) -> Column:

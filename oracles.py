@@ -279,6 +279,14 @@ _RELEASES = """
 
 _ITEM = '\'<li><a href="([^"]*)">([^<]*)</a></li>\''
 
+_UPSERTED = """
+        with source as (
+            select o_orderkey as outcome_id, 'Approved' as outcome_value from orders where o_orderstatus = 'F'
+            union all select -1 - o_orderkey, o_orderpriority from orders where o_orderstatus = 'O')
+        select o_orderkey as outcome_id, o_orderstatus as outcome_value from orders
+        where o_orderkey not in (select outcome_id from source)
+        union all select * from source"""
+
 ORACLES = {
     # Inventory.
     "workspaces": _with("select * from workspaces"),
@@ -316,6 +324,7 @@ ORACLES = {
     "published_cluster_privileges": _published("cluster_privileges", "cluster_id"),
     "published_warehouse_privileges": _published("warehouse_privileges", "warehouse_id"),
     "published_dashboard_privileges": _published("dashboard_privileges", "dashboard_id"),
+    "published_volume_privileges": _published("volume_acl_privileges", "volume_id"),
     "published_runtime_versions": f"select * exclude (page_id, url, row_number) from ({_RELEASES}) "
     "where page_id = (select max(page_id) from pages where html like '%</article>%')",
     # Support windows.
@@ -374,13 +383,8 @@ ORACLES = {
         + ")"
     ),
     "identity_ids": "select count(*) as n_rows, count(*) as n_ids, true as from_start from lineitem",
-    "outcomes_upsert": """
-        with source as (
-            select o_orderkey as outcome_id, 'Approved' as outcome_value from orders where o_orderstatus = 'F'
-            union all select -1 - o_orderkey, o_orderpriority from orders where o_orderstatus = 'O')
-        select o_orderkey as outcome_id, o_orderstatus as outcome_value from orders
-        where o_orderkey not in (select outcome_id from source)
-        union all select * from source""",
+    "outcomes_upsert": _UPSERTED,
+    "stored_outcomes_upsert": _UPSERTED,
     "key_violations": """
         select l_orderkey, l_linenumber, count(*) as n_rows from lineitem
         group by l_orderkey, l_linenumber

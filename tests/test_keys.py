@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from core_helpers import rows
 from custodia.operators import keys
-from custodia.operators.sinks import append, ensure_namespace, ensure_table, publish, replace_partition, upsert_table
+from custodia.operators.sinks import append, ensure_namespace, ensure_table, publish, replace_partition
 from custodia.schemas import OUTCOMES, REVIEW_DETAIL, REVIEWS
 from custodia.sources.reviews import review_outcomes
 
@@ -66,43 +66,6 @@ def test_upsert(spark):
         keys.upsert(target, source.unionByName(source.filter("id = 1")), ["id"])
 
 
-def test_upsert_table_twice(spark, schema):
-    name, folder = schema
-    ensure_namespace(spark, name, folder)
-    table = f"{name}.outcomes"
-    ensure_table(spark, table, OUTCOMES)
-    append(spark.createDataFrame([(1, "wrong"), (9, "own")], OUTCOMES), table)
-    for _ in range(2):
-        upsert_table(review_outcomes(spark), table, ["outcome_id"])
-    assert rows(spark.table(table)) == [
-        (1, "Approved"),
-        (2, "Denied"),
-        (3, "Not reviewed"),
-        (4, "Don't know"),
-        (9, "own"),
-    ]
-    tables = spark.catalog.listTables(name)
-    assert [t.name for t in tables if not t.isTemporary] == ["outcomes"]
-
-
-def test_a_swap_cut_short_is_settled(spark, schema):
-    name, folder = schema
-    ensure_namespace(spark, name, folder)
-    table = f"{name}.outcomes"
-    own = spark.createDataFrame([(9, "own")], OUTCOMES)
-    ensure_table(spark, table, OUTCOMES)
-    append(own, table)
-    # Died between the renames, then before the old table was dropped.
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
-    ensure_table(spark, table, OUTCOMES)
-    upsert_table(review_outcomes(spark), table, ["outcome_id"])
-    assert spark.table(table).count() == 5
-    own.write.saveAsTable(f"{table}__old")
-    upsert_table(review_outcomes(spark), table, ["outcome_id"])
-    assert spark.table(table).count() == 5
-    assert not spark.catalog.tableExists(f"{table}__old")
-
-
 def test_tables(spark, schema):
     name, folder = schema
     ensure_namespace(spark, name, folder)

@@ -44,7 +44,7 @@ def test_each_run_adds_a_complete_review(spark, schema):
     data = privileges(spark)
     assert create_review(data, name, location=folder) == 1
     # What a failed run leaves behind: rows without a header.
-    stray = snapshot(data.limit(2), 2).withColumn("access_review_detail_id", F.lit(5).cast("bigint"))
+    stray = snapshot(data.limit(2), 2).withColumn("access_review_detail_id", F.monotonically_increasing_id())
     replace_partition(stray, tables.detail, "access_review_id", 2)
     assert create_review(data, name, by="me", at="2024-01-01 00:00:00") == 2
     detail = spark.table(tables.detail)
