@@ -13,6 +13,7 @@ from custodia.operators import inventory, keys
 from custodia.operators.export import export_review, owner_counts, owner_files
 from custodia.operators.keyed import ensure_keyed_table, upsert_table
 from custodia.operators.sinks import ensure_namespace, publish
+from custodia.plans.owner_counts import owner_totals, renew_owner_counts
 from custodia.plans.privileges import KINDS, all_privileges, branch, privileges_by_owner
 from custodia.plans.refresh import TABLES, VOLUME_TABLE, refresh
 from custodia.plans.review import ReviewTables, create_review, newest_review_id, snapshot
@@ -171,6 +172,17 @@ def stored_support(tb: Testbed) -> DataFrame:
     return support.drop("days_until_end_of_support")
 
 
+def stored_owner_counts(tb: Testbed) -> DataFrame:
+    """Counts kept per kind, renewed after the grants on one kind were published again."""
+    schema = stored_schema(tb)
+    grants = KINDS["cluster"].grants
+    publish(tb.frame(grants).limit(0), f"{schema}.{grants}")
+    renew_owner_counts(tb.spark, schema, schema, schema)
+    publish(tb.frame(grants), f"{schema}.{grants}")
+    renew_owner_counts(tb.spark, schema, schema, schema)
+    return owner_totals(tb.spark, schema)
+
+
 def created_review(tb: Testbed) -> DataFrame:
     schema, folder = _schema(tb, "reviews")
     create_review(all_privileges(tb.frames()), schema, by="tester", at=AS_OF, location=folder)
@@ -329,6 +341,7 @@ QUERIES: dict[str, Query] = {
     **{f"branch_{kind}": _branch(kind) for kind in KINDS},
     "all_privileges": lambda tb: all_privileges(tb.frames()),
     "privileges_by_owner": lambda tb: privileges_by_owner(tb.frames()),
+    "stored_owner_counts": stored_owner_counts,
     "owners": lambda tb: keys.owners(all_privileges(tb.frames())),
     "owner_rows": lambda tb: keys.rows_of_owner(all_privileges(tb.frames()), "owner_3"),
     "view_counts": view_counts,

@@ -75,9 +75,17 @@ def newest_versions(versions: dict[int, dict[str, list[str]]]) -> dict[str, int]
     return {table: version for version in sorted(versions) for table in versions[version]}
 
 
-def read_version(spark: SparkSession, schema: str, tables: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """Published tables, all as of one look at the pointer; those never published by version are read as they are."""
-    versions = published(spark, schema)
+def read_version(
+    spark: SparkSession,
+    schema: str,
+    tables: Iterable[str] | None = None,
+    versions: dict[int, dict[str, list[str]]] | None = None,
+) -> dict[str, DataFrame]:
+    """Published tables, all as of one look at the pointer; those never published by version are read as they are.
+
+    ``versions`` is what an earlier look, by `published`, has shown.
+    """
+    versions = published(spark, schema) if versions is None else versions
     newest = newest_versions(versions)
     frames = {}
     for table in newest if tables is None else tables:

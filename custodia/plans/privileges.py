@@ -175,20 +175,24 @@ def all_privileges(frames: Frames, without: Sequence[str] = SYSTEM_OWNERS) -> Da
     return exclude_owners(reduce(DataFrame.unionByName, branches), without)
 
 
-def privileges_by_owner(frames: Frames, without: Sequence[str] = SYSTEM_OWNERS) -> DataFrame:
-    """Number of privileges per owner: `all_privileges` counted by owner.
+def counts_of_kind(name: str, grants: DataFrame, objects: DataFrame) -> DataFrame:
+    """Number of privileges per owner on one kind of object.
 
     Grants are counted per object before the join, so the join moves one row per
     object instead of one per grant, also for an object with most of the grants.
     """
+    kind = KINDS[name]
+    counted = grants.groupBy(*kind.keys).agg(F.count("*").alias("n"))
+    joined = counted.alias("p").join(objects.alias("o"), F.expr(_on(kind)))
+    per_object = joined.select(F.expr(kind.owner).alias("object_owner"), F.col("p.n").alias("n"))
+    return per_object.groupBy("object_owner").agg(F.sum("n").alias("n_privileges"))
 
-    def counted(kind: ObjectKind) -> DataFrame:
-        grants = frames[kind.grants].groupBy(*kind.keys).agg(F.count("*").alias("n"))
-        joined = grants.alias("p").join(frames[kind.objects].alias("o"), F.expr(_on(kind)))
-        return joined.select(F.expr(kind.owner).alias("object_owner"), F.col("p.n").alias("n"))
 
-    counts = reduce(DataFrame.unionByName, [counted(kind) for kind in KINDS.values()])
-    return exclude_owners(counts, without).groupBy("object_owner").agg(F.sum("n").alias("n_privileges"))
+def privileges_by_owner(frames: Frames, without: Sequence[str] = SYSTEM_OWNERS) -> DataFrame:
+    """Number of privileges per owner: `all_privileges` counted by owner."""
+    counts = [counts_of_kind(name, frames[kind.grants], frames[kind.objects]) for name, kind in KINDS.items()]
+    every = exclude_owners(reduce(DataFrame.unionByName, counts), without)
+    return every.groupBy("object_owner").agg(F.sum("n_privileges").alias("n_privileges"))
 
 
 def privilege_query(tables: Mapping[str, str], without: Sequence[str] = SYSTEM_OWNERS) -> str:

@@ -347,6 +347,9 @@ ORACLES = {
     "privileges_by_owner": _with(
         "select object_owner, count(*) as n_privileges from all_privileges group by object_owner"
     ),
+    "stored_owner_counts": _with(
+        "select object_owner, count(*) as n_privileges from all_privileges group by object_owner"
+    ),
     "owners": _with("select distinct object_owner from all_privileges"),
     "owner_rows": _with("select * from all_privileges where object_owner = 'owner_3'"),
     "view_counts": _with(
