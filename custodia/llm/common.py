@@ -16,7 +16,7 @@ WHITE_RUN = r"[\x20\x09-\x0D]+"
 #: A word, for Spark's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one set of numpy arrays covers; longer single texts get a set of their own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[list(WHITE.encode())] = True
@@ -69,15 +69,48 @@ def bounds(counts: np.ndarray) -> np.ndarray:
 
 
 def segment_hash(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """64-bit hashes of consecutive, non-empty segments that cover ``values``."""
+    """64-bit hashes of consecutive, non-empty segments of bytes that cover ``values``.
+
+    Eight bytes at a time are mixed with a key of their place and summed up. Different
+    segments may share a hash; see `distinct_segments`.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    powers = np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    place = np.arange(len(values)) - np.repeat(starts, lengths)
-    terms = (values.astype(np.uint64) + np.uint64(1)) * powers[place]
-    return mix(np.add.reduceat(terms, starts) + lengths.astype(np.uint64))
+    n_lanes = (lengths + 7) // 8
+    first = bounds(n_lanes)
+    padded = np.zeros(int(first[-1]) * 8, np.uint8)
+    padded[np.arange(len(values)) + np.repeat(first[:-1] * 8 - starts, lengths)] = values
+    place = np.arange(int(first[-1])) - np.repeat(first[:-1], n_lanes)
+    keys = mix(np.arange(1, int(n_lanes.max()) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    terms = mix(padded.view("<u8") ^ keys[place])
+    return mix(np.add.reduceat(terms, first[:-1]) + lengths.astype(np.uint64))
+
+
+def distinct_segments(values: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of consecutive, non-empty segments are equal: a segment of each kind, and the kind of each segment.
+
+    Equal hashes only propose equal segments; their bytes are compared.
+    """
+    starts, lengths = cuts[:-1], np.diff(cuts)
+    hashes = segment_hash(values, starts, lengths)
+    _, sample, kind = np.unique(hashes, return_index=True, return_inverse=True)
+    if not len(starts):
+        return sample, kind
+    model = sample[kind]
+    at = np.arange(len(values)) + np.repeat(starts[model] - starts, lengths)
+    unequal = values[np.minimum(at, len(values) - 1)] != values
+    odd = np.flatnonzero((lengths[model] != lengths) | np.logical_or.reduceat(unequal, starts))
+    if len(odd):
+        kinds: dict[bytes, int] = {}
+        more = []
+        for i in odd.tolist():
+            segment = values[starts[i] : starts[i] + lengths[i]].tobytes()
+            if segment not in kinds:
+                kinds[segment] = len(sample) + len(more)
+                more.append(i)
+            kind[i] = kinds[segment]
+        sample = np.append(sample, more)
+    return sample, kind
 
 
 class TextArrays:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import TextArrays, bounds, like, mix, text_chunks
+from custodia.llm.common import TextArrays, bounds, distinct_segments, like, mix, text_chunks
 
 #: Labelled rows of each kind that the model is fitted and calibrated on, at most.
 SAMPLE_PER_LABEL = 1500
@@ -34,6 +34,8 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 
 SYMBOLS = b"#*$%&|<>"
 BUCKETS = 1 << 16
+#: Bytes of sample texts that one set of arrays covers.
+RUN_BYTES = 500_000
 STEPS, RATE, RIDGE = 120, 0.3, 1e-4
 
 SCHEMA = pa.schema(
@@ -84,6 +86,30 @@ def probability(model: Model, text: TextArrays) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.slope * raw + model.offset, -50, 50)))
 
 
+def _runs(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts of about `RUN_BYTES`, each with the number of its first text; arrays over all would be large."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > RUN_BYTES:
+            yield start, texts[start:i]
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, texts[start:]
+
+
+def gram_shares(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets, of words and then of bytes, with a text's number and the share of its grams that they hold."""
+    parts: tuple[list, list] = ([], [])
+    for start, some in _runs(texts):
+        for k, (buckets, owners) in enumerate(grams(TextArrays(some))):
+            key, count = np.unique(owners * BUCKETS + buckets, return_counts=True)
+            owner = key // BUCKETS
+            share = count / np.bincount(owner, count, len(some))[owner]
+            parts[k].append(((key % BUCKETS + k * BUCKETS).astype(np.int32), (owner + start).astype(np.int32), share))
+    return tuple(np.concatenate(x) for x in zip(*parts[0], *parts[1], strict=True))
+
+
 def fit(texts: list[bytes], labels: np.ndarray) -> Model:
     """Fit the weights on three quarters of the rows and calibrate on the rest."""
     fresh = np.arange(len(texts)) % 4 == 3
@@ -91,15 +117,7 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Model:
     if len(set(labels[fresh])) < 2 or len(set(labels[~fresh])) < 2:
         return model  # both kinds are needed; all texts are good
     rows = [text for text, out in zip(texts, fresh, strict=True) if not out]
-    by_word, by_byte = grams(TextArrays(rows))
-    parts = []
-    for k, (buckets, owners) in enumerate((by_word, by_byte)):
-        # Each text's share of its grams by bucket.
-        key, count = np.unique(owners * BUCKETS + buckets, return_counts=True)
-        owner = key // BUCKETS
-        share = count / np.bincount(owners, minlength=len(rows))[owner]
-        parts.append((key % BUCKETS + k * BUCKETS, owner, share))
-    feature, owner, share = (np.concatenate(x) for x in zip(*parts, strict=True))
+    feature, owner, share = gram_shares(rows)
     target = labels[~fresh].astype(float)
     balance = np.where(target == 1, 0.5 / target.mean(), 0.5 / (1 - target.mean()))
     weights, bias = np.zeros(2 * BUCKETS + 1), 2 * BUCKETS
@@ -115,7 +133,8 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Model:
         weights -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-12)
     model = Model(weights[:BUCKETS], weights[BUCKETS:bias], 1.0, float(weights[bias]))
     unseen = [text for text, out in zip(texts, fresh, strict=True) if out]
-    p = np.clip(probability(model, TextArrays(unseen)), 1e-12, 1 - 1e-12)
+    p = np.concatenate([probability(model, TextArrays(some)) for _, some in _runs(unseen)])
+    p = np.clip(p, 1e-12, 1 - 1e-12)
     slope, offset = calibrate(np.log(p / (1 - p)), labels[fresh])
     return Model(model.word_weights, model.byte_weights, slope, slope * model.offset + offset)
 
@@ -187,6 +206,11 @@ def assess(texts: list[bytes], model: Model) -> dict[str, np.ndarray]:
         window = mix(window ^ mix(owner[start].astype(np.uint64) + np.uint64(1)))
         _, which, count = np.unique(window, return_inverse=True, return_counts=True)
         again = start[count[which] > 1]
+        # Equal hashes only propose equal windows.
+        _, kind = distinct_segments(text.words, bounds(text.lengths))
+        found = np.column_stack([owner[again], kind[again], kind[again + 1], kind[again + 2]])
+        _, which, count = np.unique(found, axis=0, return_inverse=True, return_counts=True)
+        again = again[count[which.reshape(-1)] > 1]
         for k in range(3):
             repeated[again + k] = True
     n_repeat = np.bincount(owner, repeated, n).astype(np.int64)

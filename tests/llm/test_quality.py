@@ -62,6 +62,17 @@ def test_without_labels(spark, small_docs, labels):
     assert {r.score for r in rule_ensemble.score_documents(small_docs, rules).collect()} == {0.5}
 
 
+def test_windows_that_a_polynomial_cannot_tell_apart(spark, ngram_model):
+    bits = [0]
+    while len(bits) < 1024:
+        bits += [1 - b for b in bits]
+    one, two = ("".join(pair[b] for b in bits) for pair in ("ab", "ba"))
+    texts = [f"x {one} y x {two} y z", f"x {one} y x {one} y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.n_repeat_words for r in assess_documents(docs, ngram_model).collect()}
+    assert found == {i: brute_counts(t)[4] for i, t in enumerate(texts)} == {0: 0, 1: 6}
+
+
 @pytest.fixture(scope="module")
 def larger(spark):
     folder = "/root/testdata/sf0.01"
