@@ -11,7 +11,6 @@ than the id and the text are not read. A piece of any length is encoded whole.
 """
 
 import base64
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -20,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from custodia.llm.common import bounds, like, segment_hash, text_chunks
+from custodia.llm.common import bounds, distinct_segments, like, text_chunks
 
 NO_RANK = np.int32(2**31 - 1)
 
@@ -31,9 +30,9 @@ LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 #: Texts of one set of arrays; pieces are shared within it.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 #: Cells of one matrix.
-MATRIX_CELLS = 2_000_000
+MATRIX_CELLS = 1_000_000
 
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -107,11 +106,11 @@ def _flat(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(strings), np.uint8), bounds(np.fromiter(map(len, strings), np.int64, len(strings)))
 
 
-@functools.cache
-def _classes() -> np.ndarray:
+def character_classes() -> np.ndarray:
     """Class of every code point under the pattern."""
-    points = [chr(c) if not 0xD800 <= c < 0xE000 else "\0" for c in range(0x110000)]
-    every = "".join(points)
+    points = np.arange(0x110000, dtype="<u4")
+    points[0xD800:0xE000] = 0  # surrogates are no characters
+    every = points.tobytes().decode("utf-32-le")
     out = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
         for run in regex.finditer(pattern, every):
@@ -119,7 +118,7 @@ def _classes() -> np.ndarray:
     return out
 
 
-def piece_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
+def piece_starts(points: np.ndarray, first: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Where the pattern's matches start, in characters of concatenated texts that start at ``first``.
 
     A match is a run of one class, with the last space before it if that is a
@@ -128,7 +127,7 @@ def piece_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
     n = len(points)
     if not n:
         return np.zeros(0, np.int64)
-    kind = _classes()[points]
+    kind = classes[points]
     begins = np.zeros(n, bool)
     begins[first[:-1][np.diff(first) > 0]] = True
     run = begins.copy()
@@ -156,9 +155,10 @@ def piece_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary."""
+    """Encoder and decoder of one vocabulary: a few arrays of some 6 MB in all."""
 
     def __init__(self, tokens: list[bytes]):
+        self.classes = character_classes()
         self.pairs = PairTable(tokens)
         self.tokens, self.first_token = _flat(tokens)
         self.numbers, self.first_number = _flat([b"%d " % i for i in range(len(tokens))])
@@ -261,11 +261,9 @@ class Codec:
         first_byte = bounds(np.fromiter(map(len, texts), np.int64, len(texts)))
         lead = np.flatnonzero((data & 0xC0) != 0x80)  # the first byte of each character
         first_char = np.searchsorted(lead, first_byte)
-        starts = piece_starts(points, first_char)
+        starts = piece_starts(points, first_char, self.classes)
         cuts = np.append(lead[starts], len(data))
-        lengths = np.diff(cuts)
-        hashes = segment_hash(data, cuts[:-1], lengths)
-        _, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+        sample, which = distinct_segments(data, cuts)
         pieces, piece_lengths = gather(data, cuts, sample)
         ids, first_id = self.encode_pieces(pieces, bounds(piece_lengths))
         flat, counts = gather(ids, first_id, which)
@@ -287,32 +285,20 @@ class Codec:
         return [blob[a : max(a, b - 1)] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
-_CODECS: dict[str, Codec] = {}
-
-
-def codec_of(tokens) -> Codec:
-    """The codec of a broadcast vocabulary, built once per Python worker."""
-    key = tokens.value[0]
-    if key not in _CODECS:
-        _CODECS[key] = Codec(tokens.value[1])
-    return _CODECS[key]
-
-
-def broadcast_ranks(spark: SparkSession, path: str):
-    """The vocabulary, which the driver reads; its size is fixed (some 50,000 tokens)."""
-    tokens = read_ranks(path)
-    return spark.sparkContext.broadcast((hashlib.sha256(b"\n".join(tokens)).hexdigest(), tokens))
+def broadcast_codec(spark: SparkSession, path: str):
+    """The codec of a vocabulary, which the driver reads; its size is fixed (some 50,000 tokens)."""
+    return spark.sparkContext.broadcast(Codec(read_ranks(path)))
 
 
 def encode_documents(docs: DataFrame, ranks_path: str) -> DataFrame:
     """Per document the number of ids, and digests of the ids and of the bytes decoded from them."""
-    tokens = broadcast_ranks(docs.sparkSession, ranks_path)
+    held = broadcast_codec(docs.sparkSession, ranks_path)
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(tokens)
+        codec = held.value
         for batch, texts in text_chunks(batches, limit=BLOCK_BYTES):
             ids, first = codec.encode(texts)
             yield like(

@@ -16,19 +16,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from custodia.llm.byte_bpe import broadcast_ranks, codec_of
+from custodia.llm.byte_bpe import broadcast_codec
 from custodia.llm.common import like, text_chunks
 
 #: Bytes of a block; a task holds one at a time.
 BLOCK_BYTES = 4_000_000
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with the scheme and host of the file system that Spark takes it for."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    name = store.makeQualified(path).toString()
+    return f"file://{name.removeprefix('file:')}" if name.startswith("file:/") and not name.startswith("file://") else name
+
+
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (pafs.LocalFileSystem(), path)
+    return pafs.FileSystem.from_uri(path)
 
 
 def id_type(largest: int) -> np.dtype:
@@ -42,12 +50,13 @@ def write_token_files(docs: DataFrame, ranks_path: str, separator: int, folder:
     Returns which document is where: file, ordinal in it, doc_id. Write that
     table once before use: its rows name the files of the attempts that count.
     """
-    tokens = broadcast_ranks(docs.sparkSession, ranks_path)
-    kind = id_type(max(separator, len(tokens.value[1])))
+    held = broadcast_codec(docs.sparkSession, ranks_path)
+    kind = id_type(max(separator, len(held.value.first_token)))
+    folder = qualified(docs.sparkSession, folder)
     schema = pa.schema([("file", pa.string()), ("ordinal", pa.int64()), ("doc_id", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(tokens)
+        codec = held.value
         path = f"{folder}/{uuid.uuid4().hex}.tokens"
         out, ordinal = None, 0
         for batch, texts in text_chunks(batches):

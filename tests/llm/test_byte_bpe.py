@@ -52,6 +52,14 @@ def test_long_pieces(codec, peer):
     check(codec, peer, ["ab" * 3000, "", " " * 2000 + "x", "'s" * 50, "!" * 999, "a" * 5000])
 
 
+def test_pieces_that_a_polynomial_cannot_tell_apart(codec, peer):
+    bits = [0]
+    while len(bits) < 1024:
+        bits += [1 - b for b in bits]
+    one, two = ("".join(pair[b] for b in bits) for pair in ("ab", "ba"))
+    check(codec, peer, [one, two])
+
+
 def test_documents(codec, peer, documents):
     check(codec, peer, documents.text.tolist())
 
