@@ -9,11 +9,14 @@ those whose component they have not joined, so a group of near copies costs abou
 one check for each of its classes.
 
 Links make components. Only buckets whose classes are then still in several
-components are looked at again: a class that is not in its centre's component is
-checked against every class of another one, unless their sizes, or how many of
-their shingles any other class in question has at all, rule a link out. So no two
-classes of a bucket that are similar enough end in two components, and no component
-is paired with itself.
+components are looked at again. Their pivots are the classes of a component with the fewest shingles
+that no other class in question has: of a group of near copies, the one most like what
+they were copied from. All classes of the bucket are checked against it. What a class
+shares with the pivot bounds what it can share with others, but for shingles that the
+pivot lacks; so a pair that is still apart is checked only if the pivot's shingles alone
+could make it similar, or if it has enough others in common, by which it is found. So no
+two classes of a bucket that are similar enough end in two components, and no group is
+paired with itself.
 
 Two documents at the threshold share no bucket with a probability of
 (1 - similarity^rows)^bands, below 1 in a million for the defaults.
@@ -21,9 +24,11 @@ Two documents at the threshold share no bucket with a probability of
 Defined results: null and empty texts, and texts without words, have an empty set
 and are linked with nothing; a text with fewer words than a shingle is one shingle;
 rows that share an id are one document; a row without an id is linked with nothing
-and kept; an empty table gives an empty table; only the id and the text are read,
-and `drop_near_copies` passes all columns on. Texts are read whole. Classes are
-told apart by 128-bit digests of 64-bit shingle hashes, links by the words.
+and kept; an empty table gives an empty table; only the id and the text are read. Texts
+are read whole. Classes are told apart by 128-bit digests of the words, links by the
+words themselves. For `drop_near_copies`, which passes all columns on, a document is its
+id and its text: different texts of one id are linked only if they are similar, texts
+without an id like others, after which they come; of rows equal in both, one stays.
 """
 
 import hashlib
@@ -34,9 +39,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import TextArrays, keep_rows, like, mix, text_chunks, text_key
+from custodia.llm.common import TextArrays, mix, text_chunks, text_key
 from custodia.llm.components import connected_components
-from custodia.storage import stage
+from custodia.storage import new_folder, remove_folder, stage
 
 #: Minima per band, and bands.
 ROWS, BANDS = 7, 64
@@ -46,16 +51,6 @@ SEED = 20_240_601
 
 _CELL = 512
 
-SIGNED = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("text_key", pa.int64()),
-        ("n_shingles", pa.int64()),
-        ("digest", pa.binary()),
-        ("bands", pa.list_(pa.int64())),
-    ]
-)
-
 
 def shingle_hashes(text: TextArrays, words: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
@@ -99,43 +94,53 @@ class MinHash:
         return key.view(np.int64)
 
 
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def _batch(columns: list, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
 def sign(docs: DataFrame, words: int, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """Set size, digest of the set, and band keys of every document; no digest without words."""
+    """Set size, digest of the words, and band keys of every document of (node, text); no digest without words."""
     minhash = MinHash(rows, bands)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
             sets = shingle_hashes(TextArrays(texts, lower=True), words)
-            digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            digests = [
+                hashlib.blake2b(b" ".join(text.lower().split()), digest_size=16).digest() if len(s) else None
+                for text, s in zip(texts, sets, strict=True)
+            ]
             known: dict[bytes, np.ndarray] = {}
             for digest, s in zip(digests, sets, strict=True):
                 if digest and digest not in known:
                     known[digest] = minhash.keys(s)
-            yield like(
-                {
-                    "doc_id": batch.column(0),
-                    "text_key": batch.column(1),
-                    "n_shingles": [len(s) for s in sets],
-                    "digest": digests,
-                    "bands": [known[digest] if digest else None for digest in digests],
-                },
-                SIGNED,
-            )
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            keys = pa.array([known[digest] if digest else None for digest in digests], pa.list_(pa.int64()))
+            columns = [batch.column(0), sizes, pa.array(digests, pa.binary()), keys]
+            yield _batch(columns, ["node", "n_shingles", "digest", "bands"])
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
-    return read.mapInArrow(run, "doc_id long, text_key long, n_shingles long, digest binary, bands array<long>")
+    types = f"node {_type(docs, 'node')}, n_shingles long, digest binary, bands array<long>"
+    return docs.select("node", "text").mapInArrow(run, types)
 
 
-def shared_shingles(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """Per document, how many of its shingles other documents of ``ids`` have too, at most: head, shared."""
+def hash_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """The shingle hashes of some documents: head, hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
             sets = [s.view(np.int64) for s in shingle_hashes(TextArrays(texts, lower=True), words)]
             column = pa.array(sets, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), column], ["head", "hashes"])
+            yield _batch([batch.column(0), column], ["head", "hashes"])
 
-    sets = stage(_texts(docs, ids).mapInArrow(run, "head long, hashes array<long>"), "near-sets")
+    texts = _texts(docs, ids)
+    return texts.mapInArrow(run, f"head {_type(texts, 'node')}, hashes array<long>")
+
+
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """Per document, how many of its shingles any other one has too: head, shared."""
     every = sets.select("head", F.explode("hashes").alias("hash"))
     owners = every.groupBy("hash").agg(F.min("head").alias("head"), F.max("head").alias("last"))
     alone = owners.filter("head = last").groupBy("head").agg(F.count("*").alias("alone"))
@@ -169,31 +174,31 @@ def check_pairs(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
                 both.append(n)
                 either.append(len(mine) + len(held) - n)
             columns = [batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "both", "either"])
+            yield _batch(columns, ["a", "b", "both", "either"])
 
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
+    first = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
+    second = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
     joined = pairs.join(first, "a").join(second, "b").select("a", "b", "a_text", "b_text")
-    return joined.mapInArrow(run, "a long, b long, both long, either long")
+    node = _type(texts, "node")
+    return joined.mapInArrow(run, f"a {node}, b {node}, both long, either long")
 
 
 def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Texts of the documents in some columns of ids, written once."""
-    ids = pairs.select(F.explode(F.array(*pairs.columns)).alias("id")).distinct()
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stage(named.join(stage(ids, "near-ids"), F.col("doc_id") == F.col("id"), "left_semi"), "near-texts")
+    """Texts of the documents in some columns of nodes, written once."""
+    nodes = pairs.select(F.explode(F.array(*pairs.columns)).alias("node")).distinct()
+    return stage(docs.select("node", "text").join(stage(nodes, "near-ids"), "node", "left_semi"), "near-texts")
 
 
 def link(docs: DataFrame, words: int, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """Components of near copies: doc_id, text_key, n_shingles, component_id of every document."""
+    """Components of near copies of (node, text): node, n_shingles, component of every row."""
     signed = stage(sign(docs, words, rows, bands), "near-signed")
-    with_id = signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = with_id.groupBy("digest").agg(
-        F.min("doc_id").alias("head"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    with_node = signed.filter("digest IS NOT NULL AND node IS NOT NULL")
+    classes = with_node.groupBy("digest").agg(
+        F.min("node").alias("head"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
     classes = stage(classes, "near-classes")
-    copies = with_id.join(classes.select("digest", "head"), "digest").filter("doc_id <> head")
-    copies = stage(copies.select(F.col("doc_id").alias("u"), F.col("head").alias("v")), "near-copies")
+    copies = with_node.join(classes.select("digest", "head"), "digest").filter("node <> head")
+    copies = stage(copies.select(F.col("node").alias("u"), F.col("head").alias("v")), "near-copies")
 
     # Buckets of two classes or more, each with its centre.
     keyed = classes.select("head", "n", F.explode("bands").alias("bucket"))
@@ -203,78 +208,148 @@ def link(docs: DataFrame, words: int, percent: int = PERCENT, rows: int = ROWS,
     pairs = members.filter("head <> centre").select(F.col("head").alias("a"), F.col("centre").alias("b")).distinct()
     pairs = stage(pairs, "near-pairs")
 
-    # First everything against its lowest centre, then what is still apart.
-    todo = stage(pairs.groupBy("a").agg(F.min("b").alias("b")), "near-todo")
-    checked = stage(check_pairs(todo, _texts(docs, todo), words), "near-checked")
-    links = copies.unionByName(_links(checked, percent))
-    components = stage(connected_components(links), "near-components")
-    todo = stage(_apart(pairs, components).join(checked, ["a", "b"], "left_anti"), "near-todo")
-    if not todo.isEmpty():
-        second = stage(check_pairs(todo, _texts(docs, todo), words), "near-checked")
-        checked = checked.unionByName(second)
-        links = links.unionByName(_links(second, percent))
-        components = stage(connected_components(links), "near-components")
-    rest = _rest(docs, members, checked, components, words, percent)
-    if not rest.isEmpty():
-        third = stage(check_pairs(rest, _texts(docs, rest), words), "near-checked")
-        components = stage(connected_components(links.unionByName(_links(third, percent))), "near-components")
-    label = components.select(F.col("node").alias("id"), "component")
-    return signed.join(label, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", "text_key", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    # First everything against its lowest centre.
+    found = Links(docs, words, percent, copies)
+    found.check(pairs.groupBy("a").agg(F.min("b").alias("b")))
+    inside, sets = _against_pivots(found, members)
+    found.check(_left(found, inside, sets))
+    label = found.components.select("node", "component")
+    return signed.join(label, "node", "left").select(
+        "node", "n_shingles", F.coalesce("component", "node").alias("component")
     )
 
 
-def _links(checked: DataFrame, percent: int) -> DataFrame:
-    """Edges (u, v) of pairs that are similar enough."""
-    near = checked.filter(f"either > 0 AND both * 100 >= either * {percent}")
-    return near.select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-
-def _component_of(rows: DataFrame, node: str, components: DataFrame, name: str) -> DataFrame:
-    """Adds the component of a column of nodes; a node without links is its own."""
-    of = components.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
-    joined = rows.join(of, F.col(node) == F.col("_node"), "left")
-    return joined.withColumn(name, F.coalesce("_component", node)).drop("_node", "_component")
-
-
-def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs (a, b) in different components."""
-    placed = _component_of(_component_of(pairs, "a", components, "x"), "b", components, "y")
-    return placed.filter("x <> y").select("a", "b")
-
-
-def _rest(
-    docs: DataFrame, members: DataFrame, checked: DataFrame, components: DataFrame, words: int, percent: int
-) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components that may yet be similar, and are unchecked."""
-    placed = _component_of(members, "head", components, "component")
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = stage(open_.filter("low <> high").select("bucket"), "near-open")
-    inside = _component_of(placed.join(open_, "bucket", "left_semi"), "centre", components, "central")
-    inside = inside.select("bucket", "head", "n", "component", F.expr("component <> central").alias("outside"))
-    inside = stage(inside, "near-inside")
-    heads = inside.select("head").distinct()
-    inside = inside.join(stage(shared_shingles(docs, heads, words), "near-shared"), "head")
-    one = inside.filter("outside").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("head", "n", "component", "shared")])
-    # An intersection has no more than what either set shares with others at all.
-    most = "least(x_shared, shared)"
-    # Of two classes that are both outside, one meets the other.
-    met = one.join(inside, "bucket").filter(
-        f"component <> x_component AND (NOT outside OR x_head < head) "
-        f"AND {most} * 100 >= (x_n + n - {most}) * {percent}"
+class Links:
+    """Links found so far, and the components that they make."""
+
+    def __init__(self, docs: DataFrame, words: int, percent: int, copies: DataFrame):
+        self.docs, self.words, self.percent = docs, words, percent
+        self.links, self.checked, self.components = copies, None, None
+
+    def check(self, pairs: DataFrame) -> None:
+        """Check pairs (a, b) of classes, those that are new, and join the components of similar ones."""
+        todo = pairs if self.checked is None else pairs.join(self.checked, ["a", "b"], "left_anti")
+        todo = stage(todo, "near-todo")
+        if todo.isEmpty() and self.checked is not None:
+            return
+        new = stage(check_pairs(todo, _texts(self.docs, todo), self.words), "near-checked")
+        self.checked = new if self.checked is None else self.checked.unionByName(new)
+        near = new.filter(f"either > 0 AND both * 100 >= either * {self.percent}")
+        self.links = self.links.unionByName(near.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        self.components = stage(connected_components(self.links), "near-components")
+
+    def component_of(self, rows: DataFrame, node: str, name: str) -> DataFrame:
+        """Adds the component of a column of nodes; a node without links is its own."""
+        of = self.components.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+        joined = rows.join(of, F.col(node) == F.col("_node"), "left")
+        return joined.withColumn(name, F.coalesce("_component", node)).drop("_node", "_component")
+
+
+def _open(found: Links, members: DataFrame) -> DataFrame:
+    """Classes of the buckets that still hold several components, with their components."""
+    placed = found.component_of(members.drop("component"), "head", "component")
+    components = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = stage(components.filter("low <> high").select("bucket"), "near-open")
+    return stage(placed.join(open_, "bucket", "left_semi"), "near-inside")
+
+
+def _against_pivots(found: Links, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Check the classes of every open bucket against its pivot; returns them, and the hash sets of all in question.
+
+    Adds ``shared``, how many of a class's shingles any other one in question has, the
+    pivot, and ``common``, how many of them that has.
+    """
+    inside = _open(found, members)
+    sets = stage(hash_sets(found.docs, inside.select("head").distinct(), found.words), "near-sets")
+    inside = stage(inside.join(stage(shared_shingles(sets), "near-shared"), "head"), "near-inside")
+    score = F.struct(F.col("shared") / F.col("n"), F.xxhash64("head"))
+    central = inside.groupBy("bucket").agg(F.max_by("component", score).alias("central"))
+    best = inside.groupBy(F.col("component").alias("central")).agg(F.max_by("head", score).alias("pivot"))
+    pivots = stage(central.join(best, "central").select("bucket", "pivot"), "near-pivots")
+    inside = inside.join(pivots, "bucket")
+    pair = [F.greatest("head", "pivot").alias("a"), F.least("head", "pivot").alias("b")]
+    found.check(inside.filter("head <> pivot").select(*pair).distinct())
+    both = found.checked.groupBy("a", "b").agg(F.max("both").alias("common"))
+    joined = inside.select("*", *pair).join(stage(both, "near-both"), ["a", "b"], "left").drop("a", "b")
+    # A pivot shares all of its own.
+    return stage(joined.withColumn("common", F.coalesce("common", "n")), "near-inside"), sets
+
+
+def _left(found: Links, members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components that may yet be similar.
+
+    What two classes share is at most what the pivot has of the one with less of it, and
+    what both have beyond the pivot. So a pair either needs nothing beyond, or has some
+    shingle beyond the pivot in common, by which it is found. At least one of the pair is
+    not in the pivot's component.
+    """
+    inside = found.component_of(_open(found, members), "pivot", "central")
+    inside = inside.withColumn("outside", F.col("component") != F.col("central"))
+    per_bucket = inside.groupBy("bucket").agg(F.min("n").alias("least_n"), F.max("shared").alias("most_shared"))
+    held = inside.join(stage(per_bucket, "near-bounds"), "bucket")
+
+    def similar(common: str, n: str) -> str:
+        return f"({common}) * 100 >= ({n} - ({common})) * {found.percent}"
+
+    # A similar class has at least `percent` hundredths of a class's size, and as many as they share.
+    most = "least(shared, most_shared)"
+    smallest = f"greatest(least_n, n * {found.percent} / 100, {most})"
+    held = held.filter(similar(most, f"n + {smallest}"))
+    may = stage(held.select("bucket", "pivot", "head", "n", "component", "common", "outside", "least_n"), "near-may")
+    # Buckets of which all that may be similar to something is in the pivot's component are done.
+    may = may.join(may.filter("outside").select("bucket").distinct(), "bucket", "left_semi")
+    pair = [F.greatest("head", "x_head").alias("a"), F.least("head", "x_head").alias("b")]
+
+    def outer(rows: DataFrame, *key: str) -> DataFrame:
+        renamed = [F.col(c).alias(f"x_{c}") for c in ("head", "n", "component", "common")]
+        return rows.filter("outside").select(*key, *renamed)
+
+    # Those that need nothing beyond the pivot.
+    near = may.filter(similar("common", f"n + greatest(least_n, n * {found.percent} / 100, common)"))
+    met = outer(near, "bucket").join(near, "bucket").filter(
+        f"component <> x_component AND {similar('least(x_common, common)', 'x_n + n')}"
     )
-    found = met.select(F.greatest("x_head", "head").alias("a"), F.least("x_head", "head").alias("b")).distinct()
-    return stage(found.join(checked, ["a", "b"], "left_anti"), "near-rest")
+
+    # Those with shingles in common beyond it.
+    placed = may.select("pivot", "head", "n", "component", "common", "outside").distinct()
+    own = placed.join(sets, "head")
+    pivots = sets.select(F.col("head").alias("pivot"), F.col("hashes").alias("pivot_hashes"))
+    beyond = own.join(pivots, "pivot").select(
+        *placed.columns, F.explode(F.array_except("hashes", "pivot_hashes")).alias("hash")
+    )
+    key, folder = ["pivot", "hash"], new_folder(found.docs.sparkSession, "near-beyond")
+    every = stage(beyond, "near-beyond", folder)
+    several = every.groupBy(*key).agg(F.count("*").alias("n"), F.max("outside").alias("outside"))
+    beyond = stage(every.join(several.filter("n > 1 AND outside").select(*key), key), "near-beyond")
+    remove_folder(found.docs.sparkSession, folder)
+    also = outer(beyond, *key).join(beyond, key).filter("component <> x_component")
+    columns = ["pivot", "x_head", "head", "x_n", "n", "x_common", "common"]
+    counted = also.groupBy(*columns).agg(F.count("*").alias("n_beyond"))
+    counted = counted.filter(similar("least(x_common, common) + n_beyond", "x_n + n"))
+    return met.select(*pair).unionByName(counted.select(*pair)).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and whether the document is the lowest of its component."""
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return link(docs, words, percent).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+    linked = link(docs.select(F.col("doc_id").cast("long").alias("node"), "text"), words, percent)
+    kept = F.coalesce(F.col("node") == F.col("component"), F.lit(True))
+    return linked.select(
+        F.col("node").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept")
+    )
 
 
 def drop_near_copies(docs: DataFrame, words: int, percent: int = PERCENT) -> DataFrame:
     """One document of each component, the lowest, with all its columns."""
-    found = link(docs, words, percent)
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return keep_rows(docs, found.select("doc_id", "text_key", kept.alias("kept"), F.col("component_id").alias("unit")))
+    doc_id = F.col("doc_id").cast("long")
+    node = F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("doc_id"), text_key().alias("text_key"))
+    rows = docs.select(F.struct("*").alias("row"), node.alias("node"), "text")
+    linked = link(rows.select("node", "text"), words, percent)
+    nodes = linked.groupBy("node").agg(F.min("component").alias("component"), F.count("*").alias("n"))
+    decided = stage(nodes.filter("node <> component OR n > 1"), "near-decided")
+    left = rows.join(decided.filter("node <> component").select("node"), "node", "left_anti")
+    again = decided.filter("node = component").select("node")
+    if not again.isEmpty():
+        # Rows that are equal in id and text.
+        one = left.join(again, "node", "left_semi").groupBy("node").agg(F.first("row").alias("row"))
+        left = left.join(again, "node", "left_anti").select("row").unionByName(one.select("row"))
+    return left.select("row.*")

@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
+from custodia.llm import common, near_dedup
 from custodia.llm.common import TextArrays
 from custodia.llm.components import connected_components
 from custodia.llm.near_dedup import drop_near_copies, link, near_duplicates, shingle_hashes, shingle_set
@@ -75,9 +77,9 @@ def test_few_minima(spark, rows):
     order = random.sample(range(1000), len(texts))
     docs = spark.createDataFrame(list(zip(order, texts, strict=True)), "doc_id long, text string").repartition(3)
     rows_ = [(r.doc_id, r.text) for r in docs.collect()]
-    linked = link(docs, 1, rows=rows, bands=20).collect()
+    linked = link(docs.withColumnRenamed("doc_id", "node"), 1, rows=rows, bands=20).collect()
     want = {doc_id: component for doc_id, _, component, _ in brute(rows_, 1)}
-    assert {r.doc_id: r.component_id for r in linked} == want
+    assert {r.node: r.component for r in linked} == want
     assert 1 < len(set(want.values())) < len(want)
 
 
@@ -104,11 +106,69 @@ def test_drop_near_copies(spark, edge_docs, no_docs):
     kept = drop_near_copies(edge_docs, 2)
     assert kept.columns == edge_docs.columns
     ids = sorted((r.doc_id for r in kept.collect()), key=str)
-    # 6 has two copies, one of them its own row again; the row without an id stays.
-    assert ids == sorted([0, 1, 2, 3, 4, 5, 6, 9, 10, 99, None], key=str)
+    # 6 has three copies, one of them its own row again, and one without an id.
+    assert ids == sorted([0, 1, 2, 3, 4, 5, 6, 9, 10, 99], key=str)
     assert drop_near_copies(no_docs, 2).count() == 0
 
 
+def test_different_texts_of_one_id_stay(spark):
+    rows = [(1, "a b c d e f"), (1, "u v w x y z"), (2, "k l m n o p"), (None, "q r s t"), (None, "1 2 3 4"), (None, "1 2 3 4")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, drop_near_copies(docs, 2).collect()), key=str) == sorted(rows[:5], key=str)
+
+
+def mutated(n, share, seed):
+    """Near copies of one text, each with up to ``share`` of its words replaced by words of its own."""
+    random.seed(seed)
+    base = [f"b{k}" for k in range(100)]
+    out = []
+    for i in range(n):
+        text = list(base)
+        for k in random.sample(range(100), random.randrange(int(100 * share))):
+            text[k] = f"own{seed}_{i}_{k}"
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_copies_around_the_threshold(spark, seed, monkeypatch):
+    """Groups that hold copies too far from the centre, which must not meet all others in pairs."""
+    texts = mutated(150, 0.13, seed) + [t.replace("b9", "c9") for t in mutated(60, 0.2, seed + 10)]
+    ids = random.sample(range(5000), len(texts))
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(4)
+    checked = []
+    check_pairs = near_dedup.check_pairs
+    monkeypatch.setattr(near_dedup, "check_pairs", lambda pairs, *rest: checked.append(pairs.count()) or check_pairs(pairs, *rest))
+    check(docs, 1)
+    assert sum(checked) < 10 * len(texts)
+
+
+def thue_morse(n):
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - b for b in bits]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_a_polynomial_cannot_tell_apart(spark):
+    one, two = thue_morse(1024)
+    docs = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    check(docs, 2)
+    assert {r.component_id for r in near_duplicates(docs, 2).collect()} == {1, 2}
+
+
+def test_equal_hashes_only_propose_equal_segments(monkeypatch):
+    """With a hash that is the same for all, segments are told apart by their bytes."""
+    words = [b"a", b"bc", b"a", b"bd", b"bc", b"bcd", b"a"]
+    cuts = np.cumsum([0, *map(len, words)])
+    data = np.frombuffer(b"".join(words), np.uint8)
+    for hash_ in (common.segment_hash, lambda values, starts, lengths: np.zeros(len(starts), np.uint64)):
+        monkeypatch.setattr(common, "segment_hash", hash_)
+        sample, kind = common.distinct_segments(data, cuts)
+        assert [words[sample[k]] for k in kind] == words
+        assert len(sample) == len(set(words))
+
+
 def test_components(spark):
     random.seed(5)
     edges = [(random.randrange(300), random.randrange(300)) for _ in range(200)]
