@@ -1,6 +1,7 @@
 """Helpers shared by the operators: table access, byte-level text arrays, packed columns."""
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one set of numpy arrays covers; longer single texts get a set of their own.
 CHUNK_BYTES = 1_000_000
 
+#: Bytes of a batch of rows that hold several texts each.
+BATCH_BYTES = 4_000_000
+
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[list(WHITE.encode())] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -136,6 +140,21 @@ class TextArrays:
         self.word_hash = segment_hash(self.words, bounds(self.lengths)[:-1], self.lengths)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs run in here pass rows to Python in batches of about ``limit`` bytes; buffers for large ones stay allocated."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def like(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     """A record batch of a schema from sequences by column."""
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

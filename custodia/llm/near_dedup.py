@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import TextArrays, mix, text_chunks, text_key
+from custodia.llm.common import TextArrays, mix, small_batches, text_chunks, text_key
 from custodia.llm.components import connected_components
 from custodia.storage import new_folder, remove_folder, stage
 
@@ -191,6 +191,11 @@ def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def link(docs: DataFrame, words: int, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """Components of near copies of (node, text): node, n_shingles, component of every row."""
+    with small_batches(docs.sparkSession):
+        return _link(docs, words, percent, rows, bands)
+
+
+def _link(docs: DataFrame, words: int, percent: int, rows: int, bands: int) -> DataFrame:
     signed = stage(sign(docs, words, rows, bands), "near-signed")
     with_node = signed.filter("digest IS NOT NULL AND node IS NOT NULL")
     classes = with_node.groupBy("digest").agg(
