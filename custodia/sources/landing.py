@@ -5,6 +5,7 @@ Layout, one JSON object per line::
     <landing>/<entity>/*.json                        workspaces, users, runtime_pages
     <landing>/<entity>/workspace_id=<id>/*.json      everything collected per workspace
 
+Files may be compressed (``*.json.gz``); one is then read by one task.
 All workspaces of an entity are one scan. An access-list line is one entry with
 the id of its object under ``object_id``.
 """

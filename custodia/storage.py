@@ -6,6 +6,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Options of a writer of compressed text files. A higher level takes more time than it saves.
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor reaches: ``spark.checkpoint.dir``, or else one in the warehouse."""

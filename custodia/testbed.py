@@ -16,7 +16,7 @@ from custodia.operators import inventory
 from custodia.schemas import RAW
 from custodia.sources import landing
 from custodia.sources.catalog import INVENTORY_TABLES, METADATA_TABLES
-from custodia.storage import stage
+from custodia.storage import GZIP, stage
 
 AS_OF = "2024-06-01 19:00:00"
 RELEASE_ANCHOR = "supported-releases"
@@ -276,13 +276,14 @@ class Testbed:
         """Write an entity as collectors land it, one directory per workspace.
 
         The rebalance evens out the files: a large workspace is split, small ones
-        are not spread over every task.
+        are not spread over every task. Files are compressed, as names and levels
+        repeat in every line.
         """
         raw, path = self.raw(entity), f"{landing_dir}/{entity}"
         if entity in ("workspaces", "users", "runtime_pages"):
-            raw.write.json(path)
+            raw.write.options(**GZIP).json(path)
         else:
-            raw.hint("rebalance", "workspace_id").write.partitionBy("workspace_id").json(path)
+            raw.hint("rebalance", "workspace_id").write.options(**GZIP).partitionBy("workspace_id").json(path)
 
     # Published entities.
 

@@ -197,3 +197,11 @@ def test_refresh_publishes_all_tables_and_replaces_them(spark, tmp_path, schema)
     assert tables["workspaces"].count() == 1
     assert tables["clusters"].count() == 0
     assert "volume_privileges" in inventory_frames(spark, str(tmp_path / "in"), "rel", volumes=True)
+
+
+def test_landed_files_are_compressed(spark, testbed, tmp_path):
+    for entity in ("workspaces", "clusters"):
+        testbed.land(entity, str(tmp_path))
+        files = [path for path in (tmp_path / entity).rglob("part-*")]
+        assert files and all(path.name.endswith(".json.gz") for path in files)
+        assert read_inventory(spark, str(tmp_path / entity), entity).count() == testbed.raw(entity).count()
