@@ -145,7 +145,7 @@ def _exported(tb: Testbed) -> str:
     rows = snapshot(all_privileges(tb.frames()), newest_review_id(reviews))
     detail = stage(keys.assign_ids(rows, "access_review_detail_id"), "detail")
     folder = new_folder(tb.spark, "export")
-    export_review(detail, reviews, folder)
+    export_review(detail, reviews, folder, compressed=True)
     return folder
 
 

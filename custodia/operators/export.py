@@ -8,7 +8,7 @@ from custodia.functions.names import slug
 from custodia.operators.keys import count_by_owner, latest_review
 from custodia.schemas import REVIEW_DETAIL
 from custodia.sources.reviews import CSV_WRITE
-from custodia.storage import Staging, staging
+from custodia.storage import GZIP, Staging, staging
 
 ROWS_PER_FILE = 1_000_000
 #: Buckets of names, over which the driver adds up.
@@ -110,8 +110,9 @@ def export_review(
     out_dir: str,
     rows_per_file: int = ROWS_PER_FILE,
     allow_unicode: bool = False,
+    compressed: bool = False,
 ) -> DataFrame:
-    """Write the latest review as CSV under ``<out_dir>/owner_slug=<review id>-<owner>/``.
+    """Write the latest review as CSV under ``<out_dir>/owner_slug=<review id>-<owner>/``, compressed if wanted.
 
     An owner of at most ``rows_per_file`` rows gets one file. The owner stays a
     column, so owners that share a slug stay apart. Files of earlier reviews are
@@ -125,7 +126,8 @@ def export_review(
     files = spark.read.parquet(listed)
     with staging(spark) as staged:
         rows = export_rows(review, files, rows_per_file, staged)
-        writer = rows.withColumnRenamed("_c0", "").write.options(**CSV_WRITE).partitionBy("owner_slug")
+        options = CSV_WRITE | (GZIP if compressed else {})
+        writer = rows.withColumnRenamed("_c0", "").write.options(**options).partitionBy("owner_slug")
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").csv(out_dir)
     return files
 

@@ -17,6 +17,9 @@ REVIEW_OUTCOMES = [
 
 DEFAULT_OUTCOME = 3
 
+#: Review files, plain and compressed.
+CSV_FILES = "{*.csv,*.csv.gz}"
+
 #: Columns for a file's name and for the text of a row that cannot be read.
 FILE_NAME, REJECTED = "import_file_name", "rejected"
 
@@ -54,16 +57,18 @@ def review_rows(reader: DataFrameReader | DataStreamReader, path: str) -> DataFr
     blank = StructType([StructField("", REVIEW_CSV[0].dataType), *REVIEW_CSV.fields[1:], StructField(REJECTED, StringType())])
     options = CSV_READ | {"enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
     rows = reader.schema(blank).options(**options).csv(path)
-    named = [F.col("_metadata.file_name").alias(FILE_NAME), *[F.col(f"`{name}`") for name in blank.names]]
+    # Whether a file was compressed is no part of its name.
+    file_name = F.regexp_replace("_metadata.file_name", r"\.csv\.gz$", ".csv")
+    named = [file_name.alias(FILE_NAME), *[F.col(f"`{name}`") for name in blank.names]]
     return rows.select(*named).toDF(FILE_NAME, *REVIEW_CSV.names, REJECTED)
 
 
-def read_reviews_csv(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+def read_reviews_csv(spark: SparkSession, path: str, glob: str = CSV_FILES) -> DataFrame:
     """Readable rows of the review files under a directory whose names fit ``glob``."""
     rows = review_rows(spark.read.option("pathGlobFilter", glob), path)
     return rows.filter(F.col(REJECTED).isNull()).select(*REVIEW_CSV.names, FILE_NAME)
 
 
-def read_rejected_reviews(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+def read_rejected_reviews(spark: SparkSession, path: str, glob: str = CSV_FILES) -> DataFrame:
     """Rows that `read_reviews_csv` leaves out: file name, text, and what could be read."""
     return review_rows(spark.read.option("pathGlobFilter", glob), path).filter(F.col(REJECTED).isNotNull())

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from custodia.sources.reviews import FILE_NAME, REJECTED, review_rows
+from custodia.sources.reviews import CSV_FILES, FILE_NAME, REJECTED, review_rows
 
 #: Partition column of imported rows.
 READABLE = "readable"
@@ -12,7 +12,7 @@ READABLE = "readable"
 
 def read_review_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Rows of new CSV files under a directory; a backlog is worked off in batches of bounded size."""
-    reader = spark.readStream.option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.option("pathGlobFilter", CSV_FILES).option("maxFilesPerTrigger", files_per_batch)
     return review_rows(reader, path)
 
 

@@ -357,3 +357,16 @@ def test_nothing_to_pack(spark):
     files = many_files(spark, 0)
     tasks, n_tasks = file_tasks(files, 10)
     assert (tasks.count(), n_tasks) == (0, 1)
+
+
+def test_compressed_files_are_read_and_imported_like_plain_ones(spark, review, schema, tmp_path):
+    detail, reviews = review
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    export_review(detail, reviews, plain)
+    export_review(detail, reviews, packed, compressed=True)
+    assert len(list(Path(packed).glob("*/*.csv.gz"))) == 5 and not list(Path(packed).glob("*/*.csv"))
+    names = REVIEW_DETAIL.names
+    assert rows(read_reviews_csv(spark, packed).select(names)) == rows(read_reviews_csv(spark, plain).select(names))
+    imported = import_reviews(spark, packed, f"{schema[0]}.access_review_import", str(tmp_path / "checkpoint"))
+    assert rows(imported.select(names)) == rows(read_reviews_csv(spark, plain).select(names))
+    assert imported.filter("import_file_name NOT LIKE '%.csv'").isEmpty()
