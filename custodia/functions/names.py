@@ -3,7 +3,6 @@
 import re
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
@@ -90,19 +89,22 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_name(name) for name in df.columns])
 
 
-@F.pandas_udf(StringType())
-def _to_ascii(values: pd.Series) -> pd.Series:
-    def fold(value):
-        if value.isascii():
-            return value
-        return unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode("ascii")
+# Plain functions take rows by the hundred. Arrow's batches of thousands of long texts fill a worker's memory.
+@F.udf(StringType(), useArrow=False)
+def _to_ascii(value):
+    return value and unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode("ascii")
 
-    return values.map(fold, na_action="ignore")
 
+@F.udf(StringType(), useArrow=False)
+def _to_composed(value):
+    return value and unicodedata.normalize("NFKC", value)
 
-@F.pandas_udf(StringType())
-def _to_composed(values: pd.Series) -> pd.Series:
-    return values.map(lambda value: unicodedata.normalize("NFKC", value), na_action="ignore")
+
+def _unless_ascii(col, normal_form) -> Column:
+    """A normal form of a text; ASCII texts have it already and are not passed to Python."""
+    col = F.col(col) if isinstance(col, str) else col
+    is_ascii = F.octet_length(col) == F.char_length(col)
+    return F.when(is_ascii, col).otherwise(normal_form(F.when(~is_ascii, col)))
 
 
 def slug(col, allow_unicode: bool = False) -> Column:
@@ -112,8 +114,8 @@ def slug(col, allow_unicode: bool = False) -> Column:
     it distinct values where a column repeats them.
     """
     if allow_unicode:
-        text, flag, word = _to_composed(col), "(?U)", r"\p{L}\p{N}_"
+        text, flag, word = _unless_ascii(col, _to_composed), "(?U)", r"\p{L}\p{N}_"
     else:
-        text, flag, word = _to_ascii(col), "", "a-z0-9_"
+        text, flag, word = _unless_ascii(col, _to_ascii), "", "a-z0-9_"
     text = F.regexp_replace(F.lower(text), rf"{flag}[^{word}{_SPACE}-]+", "")
     return F.btrim(F.regexp_replace(text, rf"{flag}[-{_SPACE}]+", "-"), F.lit("-_"))

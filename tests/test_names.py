@@ -139,3 +139,12 @@ def test_names_without_dashes_stay(spark):
 def test_unicode_slugs_replace_compatibility_forms(spark):
     df = spark.createDataFrame([("ﬁle ①",)], "t string")
     assert rows(df.select(slug("t", True), slug("t"))) == [("file-1", "file-1")]
+
+
+@pytest.mark.parametrize("allow_unicode", [False, True])
+def test_slugs_pass_texts_to_python_in_small_batches_and_only_those_that_need_it(spark, allow_unicode):
+    df = spark.createDataFrame([("plain Text",), ("Ünï ﬁ",), ("",), (None,)], "t string")
+    slugged = df.select(slug("t", allow_unicode).alias("s"))
+    plan = slugged._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan and "octet_length" in plan
+    assert [r.s for r in slugged.collect()] == ["plain-text", "ünï-fi" if allow_unicode else "uni-fi", "", None]
