@@ -45,8 +45,12 @@ def without_nulls(df: DataFrame, table: str) -> DataFrame:
 
 
 def refuse_repeats(rows: DataFrame, table: str, key: Sequence[str]) -> None:
-    """Stop if several rows share a value of the key; one such value is named."""
-    wrong = check_key(rows.select(*key), key).first() if key else None
+    """Stop if several rows share a value of the key; one such value is named.
+
+    Keys hardly repeat, so counting them before they are shuffled would only hold all keys
+    of a file in memory: they are dealt by their values first.
+    """
+    wrong = check_key(rows.select(*key).repartition(*key), key).first() if key else None
     if wrong:
         value = ", ".join(str(wrong[name]) for name in key)
         raise DuplicateKeyError(f"{table}: {wrong.n_rows} rows with {', '.join(key)} = {value}")

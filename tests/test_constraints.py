@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from core_helpers import rows
-from custodia.operators import keyed
+from custodia.operators import constraints, keyed
 from custodia.operators.keyed import ensure_keyed_table, newest_buckets, upsert_table
 from custodia.operators.keys import DuplicateKeyError, numbered_ids
 from custodia.operators.sinks import append, ensure_namespace, ensure_table, replace_partition
@@ -187,3 +187,18 @@ def test_ids_of_runs(spark):
     second = [r.i for r in numbered_ids(spark.range(9).repartition(4), "i", 2).collect()]
     assert len(set(first + second)) == 18
     assert max(first) < min(second)
+
+
+def test_keys_are_dealt_before_they_are_counted(spark, monkeypatch):
+    """Counts before a shuffle would hold all keys of a file in memory."""
+    plans, count = [], constraints.check_key
+
+    def watched(rows, key):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return count(rows, key)
+
+    monkeypatch.setattr(constraints, "check_key", watched)
+    constraints.refuse_repeats(spark.range(20), "t", ["id"])
+    with pytest.raises(DuplicateKeyError, match="t: 2 rows with id = 7"):
+        constraints.refuse_repeats(spark.range(20).union(spark.range(7, 8)), "t", ["id"])
+    assert len(plans) == 2 and all(plan.startswith("RepartitionByExpression [id") for plan in plans)
