@@ -13,6 +13,7 @@ from custodia.operators import inventory, keys
 from custodia.operators.export import export_review, owner_counts, owner_files
 from custodia.operators.keyed import ensure_keyed_table, upsert_table
 from custodia.operators.sinks import ensure_namespace, publish
+from custodia.operators.versions import publish_version
 from custodia.plans.owner_counts import owner_totals, renew_owner_counts
 from custodia.plans.privileges import KINDS, all_privileges, branch, privileges_by_owner
 from custodia.plans.refresh import TABLES, VOLUME_TABLE, refresh
@@ -160,8 +161,7 @@ def stored_schema(tb: Testbed) -> str:
     """A schema with all tables and both views."""
     schema, folder = _schema(tb, "views")
     ensure_namespace(tb.spark, schema, folder)
-    for name, df in (tb.frames() | {"runtime_versions": tb.runtime_versions()}).items():
-        publish(df, f"{schema}.{name}")
+    publish_version(tb.spark, schema, tb.frames() | {"runtime_versions": tb.runtime_versions()})
     create_views(tb.spark, schema, schema, schema)
     return schema
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import stored_schema
 from core_helpers import rows
 from custodia.operators.sinks import ensure_namespace, publish
 from custodia.operators.versions import published, publish_version
@@ -70,3 +71,11 @@ def test_plain_tables_are_counted_every_time(spark, schema, testbed):
         assert renew_owner_counts(spark, name, name, name) == list(KINDS)
     want = all_privileges(frames).groupBy("object_owner").count()
     assert rows(owner_totals(spark, name)) == rows(want)
+
+
+def test_tables_of_the_stored_schema_are_published_side_by_side(spark, testbed):
+    name = stored_schema(testbed)
+    versions = published(spark, name)
+    assert list(versions) == [1]
+    assert set(versions[1]) == {"runtime_versions", *INVENTORY_TABLES, *METADATA_TABLES}
+    spark.sql(f"DROP SCHEMA {name} CASCADE")
