@@ -3,7 +3,7 @@
 A document is its set of distinct shingles of lower-cased words. Universal hash
 minima are cut into bands, and documents that agree in a band share a bucket.
 Equal sets are one class, which only its lowest document stands for. In every
-bucket the lowest class is the centre. Classes are checked on the full sets
+bucket one class, that with the lowest number, is the centre. Classes are checked on the full sets
 against the centres of their buckets, first against the lowest one, then against
 those whose component they have not joined, so a group of near copies costs about
 one check for each of its classes.
@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 
 from custodia.llm.common import TextArrays, mix, small_batches, text_chunks, text_key
 from custodia.llm.components import connected_components
-from custodia.storage import new_folder, remove_folder, stage
+from custodia.operators.keys import assign_ids
+from custodia.storage import Staging, new_folder, remove_folder, stage, staging
 
 #: Minima per band, and bands.
 ROWS, BANDS = 7, 64
@@ -135,8 +136,9 @@ def hash_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             column = pa.array(sets, pa.list_(pa.int64()))
             yield _batch([batch.column(0), column], ["head", "hashes"])
 
-    texts = _texts(docs, ids)
-    return texts.mapInArrow(run, f"head {_type(texts, 'node')}, hashes array<long>")
+    with staging(docs.sparkSession) as staged:
+        texts = _texts(docs, ids, staged)
+        return stage(texts.mapInArrow(run, f"head {_type(texts, 'node')}, hashes array<long>"), "near-sets")
 
 
 def shared_shingles(sets: DataFrame) -> DataFrame:
@@ -183,39 +185,46 @@ def check_pairs(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return joined.mapInArrow(run, f"a {node}, b {node}, both long, either long")
 
 
-def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, pairs: DataFrame, staged: Staging) -> DataFrame:
     """Texts of the documents in some columns of nodes, written once."""
     nodes = pairs.select(F.explode(F.array(*pairs.columns)).alias("node")).distinct()
-    return stage(docs.select("node", "text").join(stage(nodes, "near-ids"), "node", "left_semi"), "near-texts")
+    nodes = staged.stage(nodes, "near-ids")
+    return staged.stage(docs.select("node", "text").join(nodes, "node", "left_semi"), "near-texts")
 
 
 def link(docs: DataFrame, words: int, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """Components of near copies of (node, text): node, n_shingles, component of every row."""
-    with small_batches(docs.sparkSession):
-        return _link(docs, words, percent, rows, bands)
+    with small_batches(docs.sparkSession), staging(docs.sparkSession) as staged:
+        return _link(docs, words, percent, rows, bands, staged)
 
 
-def _link(docs: DataFrame, words: int, percent: int, rows: int, bands: int) -> DataFrame:
+def _link(docs: DataFrame, words: int, percent: int, rows: int, bands: int, staged: Staging) -> DataFrame:
     signed = stage(sign(docs, words, rows, bands), "near-signed")
     with_node = signed.filter("digest IS NOT NULL AND node IS NOT NULL")
     classes = with_node.groupBy("digest").agg(
         F.min("node").alias("head"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
-    classes = stage(classes, "near-classes")
+    classes = stage(assign_ids(classes, "class_id"), "near-classes")
+    heads = classes.select("class_id", "head", "n")
     copies = with_node.join(classes.select("digest", "head"), "digest").filter("node <> head")
     copies = stage(copies.select(F.col("node").alias("u"), F.col("head").alias("v")), "near-copies")
 
-    # Buckets of two classes or more, each with its centre.
-    keyed = classes.select("head", "n", F.explode("bands").alias("bucket"))
-    centres = keyed.groupBy("bucket").agg(F.min("head").alias("centre"), F.count("*").alias("n_classes"))
+    # Buckets of two classes or more, each with its centre. There is a row for every band, so rows are numbers only.
+    keyed = classes.select("class_id", F.explode("bands").alias("bucket"))
+    centres = keyed.groupBy("bucket").agg(F.min("class_id").alias("centre"), F.count("*").alias("n_classes"))
     centres = stage(centres.filter("n_classes > 1").drop("n_classes"), "near-centres")
-    members = stage(keyed.join(centres, "bucket"), "near-members")
-    pairs = members.filter("head <> centre").select(F.col("head").alias("a"), F.col("centre").alias("b")).distinct()
-    pairs = stage(pairs, "near-pairs")
+    numbered = stage(keyed.join(centres, "bucket"), "near-numbered")
+    members = stage(numbered.join(heads, "class_id").select("bucket", "head", "n"), "near-members")
+    # Most texts share no bucket, and only the others are looked at from here on.
+    docs = _texts(docs, members.select("head"), staged)
 
     # First everything against its lowest centre.
     found = Links(docs, words, percent, copies)
-    found.check(pairs.groupBy("a").agg(F.min("b").alias("b")))
+    lowest = numbered.filter("class_id <> centre").groupBy("class_id").agg(F.min("centre").alias("centre"))
+    centre_heads = heads.select(F.col("class_id").alias("centre"), F.col("head").alias("centre_head"))
+    pairs = lowest.join(heads, "class_id").join(centre_heads, "centre").filter("head <> centre_head")
+    pair = [F.greatest("head", "centre_head").alias("a"), F.least("head", "centre_head").alias("b")]
+    found.check(pairs.select(*pair).distinct())
     inside, sets = _against_pivots(found, members)
     found.check(_left(found, inside, sets))
     label = found.components.select("node", "component")
@@ -237,7 +246,8 @@ class Links:
         todo = stage(todo, "near-todo")
         if todo.isEmpty() and self.checked is not None:
             return
-        new = stage(check_pairs(todo, _texts(self.docs, todo), self.words), "near-checked")
+        with staging(todo.sparkSession) as staged:
+            new = stage(check_pairs(todo, _texts(self.docs, todo, staged), self.words), "near-checked")
         self.checked = new if self.checked is None else self.checked.unionByName(new)
         near = new.filter(f"either > 0 AND both * 100 >= either * {self.percent}")
         self.links = self.links.unionByName(near.select(F.col("a").alias("u"), F.col("b").alias("v")))
@@ -265,7 +275,7 @@ def _against_pivots(found: Links, members: DataFrame) -> tuple[DataFrame, DataFr
     pivot, and ``common``, how many of them that has.
     """
     inside = _open(found, members)
-    sets = stage(hash_sets(found.docs, inside.select("head").distinct(), found.words), "near-sets")
+    sets = hash_sets(found.docs, inside.select("head").distinct(), found.words)
     inside = stage(inside.join(stage(shared_shingles(sets), "near-shared"), "head"), "near-inside")
     score = F.struct(F.col("shared") / F.col("n"), F.xxhash64("head"))
     central = inside.groupBy("bucket").agg(F.max_by("component", score).alias("central"))

@@ -185,3 +185,19 @@ def test_components(spark):
         if not changed:
             break
     assert found == lowest
+
+
+def test_only_texts_that_share_a_bucket_are_looked_at_again(spark, monkeypatch):
+    """Texts move to the checks once, and those that are like no other do not move at all."""
+    looked_at, links = [], near_dedup.Links
+
+    def counted(docs, *args):
+        looked_at.append(docs.count())
+        return links(docs, *args)
+
+    monkeypatch.setattr(near_dedup, "Links", counted)
+    alone = [(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(40)]
+    alike = [(100 + i, " ".join(f"v{k}" for k in range(50 + i))) for i in range(3)]
+    docs = spark.createDataFrame(alone + alike, "doc_id long, text string")
+    check(docs, 2)
+    assert looked_at and max(looked_at) <= 3
