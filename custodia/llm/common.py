@@ -1,6 +1,6 @@
 """Helpers shared by the operators: table access, byte-level text arrays, packed columns."""
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
@@ -22,6 +22,9 @@ CHUNK_BYTES = 1_000_000
 #: Bytes of a batch of rows that hold several texts each.
 BATCH_BYTES = 4_000_000
 
+#: Bits for each key of a bitmap of keys, bits of all at most (8 MB), and bits of a page of it.
+KEY_BITS, MOST_KEY_BITS, PAGE_BITS = 16, 1 << 26, 1 << 15
+
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[list(WHITE.encode())] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -165,6 +168,39 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def mark_listed(
+    rows: DataFrame, column: str, keys: DataFrame, put: Callable[[DataFrame, str], DataFrame] = stage
+) -> DataFrame:
+    """Adds ``listed``, which is false only for rows whose key is not among the keys, a written table of one column.
+
+    A bitmap of hashed keys goes to every task, so that of wide rows only those with a
+    listed key, and a few others, need to move to be joined with the keys. More keys than
+    the bitmap has bits for let more rows pass. Both columns need the same type; ``put``
+    writes the bitmap.
+    """
+    n_bits = min(MOST_KEY_BITS, max(PAGE_BITS, KEY_BITS * keys.count()))
+
+    def place(key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(n_bits).cast("long"))
+
+    spots = keys.select(place(keys.columns[0]).alias("_at"))
+    spots = spots.select(F.expr(f"_at div {PAGE_BITS}").alias("_page"), F.expr(f"_at % {PAGE_BITS}").alias("_bit"))
+    # Keys move rather than a page of each task.
+    pages = spots.repartition("_page").groupBy("_page").agg(F.expr("bitmap_construct_agg(_bit)").alias("_bits"))
+    pages = F.broadcast(put(pages, "listed"))
+    placed = rows.withColumn("_at", place(column)).withColumn("_page", F.expr(f"_at div {PAGE_BITS}"))
+    byte = f"conv(hex(substring(_bits, int(_at % {PAGE_BITS} div 8) + 1, 1)), 16, 10)"
+    listed = F.expr(f"coalesce(int({byte}) & shiftleft(1, int(_at % 8)), 0) <> 0")
+    return placed.join(pages, "_page", "left").select(*(rows[c] for c in rows.columns), listed.alias("listed"))
+
+
+def only_listed(
+    rows: DataFrame, column: str, keys: DataFrame, put: Callable[[DataFrame, str], DataFrame] = stage
+) -> DataFrame:
+    """The rows whose key may be among the keys; see `mark_listed`."""
+    return mark_listed(rows, column, keys, put).filter("listed").drop("listed")
+
+
 def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The rows of a table that a decision keeps, with all columns.
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import TextArrays, mix, small_batches, text_chunks, text_key
+from custodia.llm.common import TextArrays, mark_listed, mix, only_listed, small_batches, text_chunks, text_key
 from custodia.llm.components import connected_components
 from custodia.operators.keys import assign_ids
 from custodia.storage import Staging, new_folder, remove_folder, stage, staging
@@ -128,26 +128,29 @@ def sign(docs: DataFrame, words: int, rows: int = ROWS, bands: int = BANDS) -> D
 
 
 def hash_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """The shingle hashes of some documents: head, hashes."""
+    """The shingle hashes of some documents: head, the number of its set, hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
             sets = [s.view(np.int64) for s in shingle_hashes(TextArrays(texts, lower=True), words)]
             column = pa.array(sets, pa.list_(pa.int64()))
-            yield _batch([batch.column(0), column], ["head", "hashes"])
+            yield _batch([batch.column(0), batch.column(1), column], ["head", "set_id", "hashes"])
 
     with staging(docs.sparkSession) as staged:
-        texts = _texts(docs, ids, staged)
-        return stage(texts.mapInArrow(run, f"head {_type(texts, 'node')}, hashes array<long>"), "near-sets")
+        numbered = staged.stage(assign_ids(ids.toDF("node").distinct(), "set_id"), "near-ids")
+        rows = only_listed(docs.select("node", "text"), "node", numbered.select("node"), staged.stage)
+        texts = rows.join(numbered, "node").select("node", "set_id", "text")
+        types = f"head {_type(texts, 'node')}, set_id long, hashes array<long>"
+        return stage(texts.mapInArrow(run, types), "near-sets")
 
 
 def shared_shingles(sets: DataFrame) -> DataFrame:
     """Per document, how many of its shingles any other one has too: head, shared."""
-    every = sets.select("head", F.explode("hashes").alias("hash"))
-    owners = every.groupBy("hash").agg(F.min("head").alias("head"), F.max("head").alias("last"))
-    alone = owners.filter("head = last").groupBy("head").agg(F.count("*").alias("alone"))
-    sizes = sets.groupBy("head").agg(F.sum(F.size("hashes")).alias("n"))
-    joined = sizes.join(alone, "head", "left")
+    every = sets.select("set_id", F.explode("hashes").alias("hash"))
+    owners = every.groupBy("hash").agg(F.min("set_id").alias("set_id"), F.max("set_id").alias("last"))
+    alone = owners.filter("set_id = last").groupBy("set_id").agg(F.count("*").alias("alone"))
+    sizes = sets.groupBy("set_id", "head").agg(F.sum(F.size("hashes")).alias("n"))
+    joined = sizes.join(alone, "set_id", "left")
     return joined.select("head", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
@@ -186,10 +189,10 @@ def check_pairs(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, pairs: DataFrame, staged: Staging) -> DataFrame:
-    """Texts of the documents in some columns of nodes, written once."""
+    """Texts of the documents in some columns of nodes, and of a few others."""
     nodes = pairs.select(F.explode(F.array(*pairs.columns)).alias("node")).distinct()
     nodes = staged.stage(nodes, "near-ids")
-    return staged.stage(docs.select("node", "text").join(nodes, "node", "left_semi"), "near-texts")
+    return only_listed(docs.select("node", "text"), "node", nodes, staged.stage)
 
 
 def link(docs: DataFrame, words: int, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
@@ -199,34 +202,42 @@ def link(docs: DataFrame, words: int, percent: int = PERCENT, rows: int = ROWS,
 
 
 def _link(docs: DataFrame, words: int, percent: int, rows: int, bands: int, staged: Staging) -> DataFrame:
-    signed = stage(sign(docs, words, rows, bands), "near-signed")
+    signed = stage(assign_ids(sign(docs, words, rows, bands), "row_id"), "near-signed")
     with_node = signed.filter("digest IS NOT NULL AND node IS NOT NULL")
-    classes = with_node.groupBy("digest").agg(
-        F.min("node").alias("head"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    # A class has the number of its head's row.
+    first = with_node.groupBy("digest").agg(
+        F.min(F.struct("node", "row_id")).alias("first"), F.first("n_shingles").alias("n")
     )
-    classes = stage(assign_ids(classes, "class_id"), "near-classes")
+    classes = first.select("digest", F.col("first.row_id").alias("class_id"), F.col("first.node").alias("head"), "n")
+    classes = stage(classes, "near-classes")
     heads = classes.select("class_id", "head", "n")
-    copies = with_node.join(classes.select("digest", "head"), "digest").filter("node <> head")
-    copies = stage(copies.select(F.col("node").alias("u"), F.col("head").alias("v")), "near-copies")
+    copies = with_node.select("digest", "row_id", "node").join(classes.drop("n"), "digest").filter("row_id <> class_id")
+    copies = stage(copies.select("row_id", F.col("node").alias("u"), F.col("head").alias("v")), "near-copies")
 
     # Buckets of two classes or more, each with its centre. There is a row for every band, so rows are numbers only.
-    keyed = classes.select("class_id", F.explode("bands").alias("bucket"))
+    others = copies.select("row_id")
+    marked = mark_listed(with_node.select("row_id", "bands"), "row_id", others, staged.stage)
+    apart = marked.filter("NOT listed").unionByName(marked.filter("listed").join(others, "row_id", "left_anti"))
+    keyed = apart.select(F.col("row_id").alias("class_id"), F.explode("bands").alias("bucket"))
     centres = keyed.groupBy("bucket").agg(F.min("class_id").alias("centre"), F.count("*").alias("n_classes"))
     centres = stage(centres.filter("n_classes > 1").drop("n_classes"), "near-centres")
-    numbered = stage(keyed.join(centres, "bucket"), "near-numbered")
+    shared = only_listed(keyed, "bucket", centres.select("bucket"), staged.stage)
+    numbered = stage(shared.join(centres, "bucket"), "near-numbered")
     members = stage(numbered.join(heads, "class_id").select("bucket", "head", "n"), "near-members")
     # Most texts share no bucket, and only the others are looked at from here on.
-    docs = _texts(docs, members.select("head"), staged)
+    nodes = staged.stage(members.select(F.col("head").alias("node")).distinct(), "near-ids")
+    texts = only_listed(docs.select("node", "text"), "node", nodes, staged.stage)
+    docs = staged.stage(texts.join(nodes, "node", "left_semi"), "near-texts")
 
     # First everything against its lowest centre.
-    found = Links(docs, words, percent, copies)
+    found = Links(docs, words, percent, copies.select("u", "v"))
     lowest = numbered.filter("class_id <> centre").groupBy("class_id").agg(F.min("centre").alias("centre"))
     centre_heads = heads.select(F.col("class_id").alias("centre"), F.col("head").alias("centre_head"))
     pairs = lowest.join(heads, "class_id").join(centre_heads, "centre").filter("head <> centre_head")
     pair = [F.greatest("head", "centre_head").alias("a"), F.least("head", "centre_head").alias("b")]
     found.check(pairs.select(*pair).distinct())
     inside, sets = _against_pivots(found, members)
-    found.check(_left(found, inside, sets))
+    found.check(_left(found, inside, sets, staged))
     label = found.components.select("node", "component")
     return signed.join(label, "node", "left").select(
         "node", "n_shingles", F.coalesce("component", "node").alias("component")
@@ -290,7 +301,7 @@ def _against_pivots(found: Links, members: DataFrame) -> tuple[DataFrame, DataFr
     return stage(joined.withColumn("common", F.coalesce("common", "n")), "near-inside"), sets
 
 
-def _left(found: Links, members: DataFrame, sets: DataFrame) -> DataFrame:
+def _left(found: Links, members: DataFrame, sets: DataFrame, staged: Staging) -> DataFrame:
     """Pairs (a, b) of a bucket in different components that may yet be similar.
 
     What two classes share is at most what the pivot has of the one with less of it, and
@@ -327,8 +338,10 @@ def _left(found: Links, members: DataFrame, sets: DataFrame) -> DataFrame:
 
     # Those with shingles in common beyond it.
     placed = may.select("pivot", "head", "n", "component", "common", "outside").distinct()
-    own = placed.join(sets, "head")
-    pivots = sets.select(F.col("head").alias("pivot"), F.col("hashes").alias("pivot_hashes"))
+    heads, centres = (staged.stage(may.select(c).distinct(), "near-ids") for c in ("head", "pivot"))
+    own = placed.join(only_listed(sets, "head", heads, staged.stage), "head")
+    pivots = only_listed(sets, "head", centres, staged.stage)
+    pivots = pivots.select(F.col("head").alias("pivot"), F.col("hashes").alias("pivot_hashes"))
     beyond = own.join(pivots, "pivot").select(
         *placed.columns, F.explode(F.array_except("hashes", "pivot_hashes")).alias("hash")
     )
@@ -361,10 +374,12 @@ def drop_near_copies(docs: DataFrame, words: int, percent: int = PERCENT) -> Dat
     linked = link(rows.select("node", "text"), words, percent)
     nodes = linked.groupBy("node").agg(F.min("component").alias("component"), F.count("*").alias("n"))
     decided = stage(nodes.filter("node <> component OR n > 1"), "near-decided")
-    left = rows.join(decided.filter("node <> component").select("node"), "node", "left_anti")
+    # Rows that nothing was decided about stay where they are.
+    marked = mark_listed(rows.select("row", "node"), "node", decided.select("node"))
+    left = marked.filter("listed").join(decided.filter("node <> component").select("node"), "node", "left_anti")
     again = decided.filter("node = component").select("node")
     if not again.isEmpty():
         # Rows that are equal in id and text.
         one = left.join(again, "node", "left_semi").groupBy("node").agg(F.first("row").alias("row"))
         left = left.join(again, "node", "left_anti").select("row").unionByName(one.select("row"))
-    return left.select("row.*")
+    return marked.filter("NOT listed").select("row.*").unionByName(left.select("row.*"))

@@ -201,3 +201,60 @@ def test_only_texts_that_share_a_bucket_are_looked_at_again(spark, monkeypatch):
     docs = spark.createDataFrame(alone + alike, "doc_id long, text string")
     check(docs, 2)
     assert looked_at and max(looked_at) <= 3
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    """As with large tables: nothing is sent to every task but what asks for it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("bits", [common.MOST_KEY_BITS, 1 << 12])
+def test_mark_listed(spark, monkeypatch, bits, no_broadcasts):
+    """No listed key is missed, few others pass, and a bitmap with fewer bits than keys still misses none."""
+    monkeypatch.setattr(common, "MOST_KEY_BITS", bits)
+    keys = spark.range(0, 60_000, 3).repartition(3)
+    rows = spark.range(60_000).selectExpr("IF(id = 7, NULL, id) AS key", "'t' AS text")
+    marked = common.mark_listed(rows, "key", keys)
+    assert marked.columns == ["key", "text", "listed"]
+    found = {r.key: r.listed for r in marked.collect()}
+    assert len(found) == 60_000
+    assert all(found[k] for k in range(0, 60_000, 3))
+    if bits > 60_000:
+        assert sum(found.values()) < 20_000 + 0.1 * 40_000
+    none = common.mark_listed(rows, "key", keys.filter("id < 0"))
+    assert none.count() == none.filter("NOT listed").count() == 60_000
+
+
+def test_only_texts_in_question_move(spark, monkeypatch, no_broadcasts):
+    """Rows that share no bucket are neither dealt out to find texts nor to drop copies."""
+    moved = []
+
+    def counted(mark):
+        def run(rows, column, *args):
+            out = mark(rows, column, *args)
+            if column == "node":
+                moved.append((rows.count(), out.filter("listed").count() if "listed" in out.columns else out.count()))
+            return out
+
+        return run
+
+    monkeypatch.setattr(near_dedup, "only_listed", counted(near_dedup.only_listed))
+    monkeypatch.setattr(near_dedup, "mark_listed", counted(near_dedup.mark_listed))
+    alone = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(300)]
+    alike = [(1000 - i, " ".join(f"v{k}" for k in range(50 + i))) for i in range(3)]
+    docs = spark.createDataFrame(alone + alike, "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in drop_near_copies(docs, 2).collect()} == {*range(300), 998}
+    whole = [passed for total, passed in moved if total == 303]
+    assert len(whole) >= 2 and max(whole) < 10
+
+
+def test_copies_before_their_lowest(spark, no_broadcasts):
+    """Equal and near texts, some rows of one id, in any order of ids."""
+    text = [" ".join(f"{c}{k}" for k in range(40)) for c in "abc"]
+    rows = [(9, text[0]), (3, text[0]), (5, f"{text[0]} end"), (9, text[0]), (8, text[1]), (2, text[1]), (2, text[1])]
+    rows += [(2, text[2]), (11, text[2]), (None, text[0]), (4, text[0].upper())]
+    for parts in (1, 4):
+        check(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), 2)
