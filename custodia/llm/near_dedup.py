@@ -309,10 +309,15 @@ def _left(found: Links, members: DataFrame, sets: DataFrame, staged: Staging) ->
     shingle beyond the pivot in common, by which it is found. At least one of the pair is
     not in the pivot's component.
     """
-    inside = found.component_of(_open(found, members), "pivot", "central")
-    inside = inside.withColumn("outside", F.col("component") != F.col("central"))
-    per_bucket = inside.groupBy("bucket").agg(F.min("n").alias("least_n"), F.max("shared").alias("most_shared"))
-    held = inside.join(stage(per_bucket, "near-bounds"), "bucket")
+    placed = found.component_of(members.drop("component"), "head", "component")
+    placed = found.component_of(placed, "pivot", "central")
+    inside = placed.withColumn("outside", F.col("component") != F.col("central"))
+    per_bucket = inside.groupBy("bucket").agg(
+        F.min("n").alias("least_n"), F.max("shared").alias("most_shared"), F.max("outside").alias("open")
+    )
+    # A bucket has a class of its pivot's component, so it is open if any class is outside of that.
+    bounds = staged.stage(per_bucket.filter("open").drop("open"), "near-bounds")
+    held = inside.join(bounds, "bucket")
 
     def similar(common: str, n: str) -> str:
         return f"({common}) * 100 >= ({n} - ({common})) * {found.percent}"
@@ -321,9 +326,11 @@ def _left(found: Links, members: DataFrame, sets: DataFrame, staged: Staging) ->
     most = "least(shared, most_shared)"
     smallest = f"greatest(least_n, n * {found.percent} / 100, {most})"
     held = held.filter(similar(most, f"n + {smallest}"))
-    may = stage(held.select("bucket", "pivot", "head", "n", "component", "common", "outside", "least_n"), "near-may")
-    # Buckets of which all that may be similar to something is in the pivot's component are done.
-    may = may.join(may.filter("outside").select("bucket").distinct(), "bucket", "left_semi")
+    columns = ["bucket", "pivot", "head", "n", "component", "common", "outside", "least_n"]
+    may = staged.stage(held.select(*columns), "near-may")
+    # Buckets of which all that may be similar to something is in the pivot's component are done. The others are read often.
+    left = staged.stage(may.filter("outside").select("bucket").distinct(), "near-left")
+    may = staged.stage(may.join(left, "bucket", "left_semi"), "near-may")
     pair = [F.greatest("head", "x_head").alias("a"), F.least("head", "x_head").alias("b")]
 
     def outer(rows: DataFrame, *key: str) -> DataFrame:

@@ -143,6 +143,27 @@ def test_copies_around_the_threshold(spark, seed, monkeypatch):
     assert sum(checked) < 10 * len(texts)
 
 
+def test_bucket_rows_are_narrowed_down_once(spark, monkeypatch):
+    """What is left of open buckets is written, not joined anew for all that is derived from it."""
+    plans, left = [], near_dedup._left
+
+    def planned(*args):
+        pairs = left(*args)
+        plans.append((pairs.count(), pairs._jdf.queryExecution().optimizedPlan().toString()))
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_left", planned)
+    texts = [*ladder(12, 6), *[f"{t} more words here" for t in ladder(5, 17)], *ladder(6, 40)]
+    random.seed(9)
+    rows = list(zip(random.sample(range(1000), len(texts)), texts, strict=True))
+    docs = spark.createDataFrame(rows, "node long, text string").repartition(3)
+    linked = {r.node: r.component for r in link(docs, 1, rows=1, bands=20).collect()}
+    assert linked == {doc_id: component for doc_id, _, component, _ in brute(rows, 1)}
+    ((n_pairs, plan),) = plans
+    assert n_pairs > 0
+    assert "LeftSemi" not in plan
+
+
 def thue_morse(n):
     bits = [0]
     while len(bits) < n:
