@@ -13,7 +13,8 @@ components are looked at again. Their pivots are the classes of a component with
 that no other class in question has: of a group of near copies, the one most like what
 they were copied from. All classes of the bucket are checked against it. What a class
 shares with the pivot bounds what it can share with others, but for shingles that the
-pivot lacks; so a pair that is still apart is checked only if the pivot's shingles alone
+pivot lacks; those that most of its classes have count as if the pivot had them. So a pair
+that is still apart is checked only if these shingles alone
 could make it similar, or if it has enough others in common, by which it is found. So no
 two classes of a bucket that are similar enough end in two components, and no group is
 paired with itself.
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from custodia.llm.common import TextArrays, mark_listed, mix, only_listed, small_batches, text_chunks, text_key
 from custodia.llm.components import connected_components
 from custodia.operators.keys import assign_ids
-from custodia.storage import Staging, new_folder, remove_folder, stage, staging
+from custodia.storage import Staging, stage, staging
 
 #: Minima per band, and bands.
 ROWS, BANDS = 7, 64
@@ -306,8 +307,9 @@ def _left(found: Links, members: DataFrame, sets: DataFrame, staged: Staging) ->
 
     What two classes share is at most what the pivot has of the one with less of it, and
     what both have beyond the pivot. So a pair either needs nothing beyond, or has some
-    shingle beyond the pivot in common, by which it is found. At least one of the pair is
-    not in the pivot's component.
+    shingle beyond the pivot in common, by which it is found. This holds for any set of
+    shingles, so the pivot gets those that most of its classes have. At least one of the
+    pair is not in the pivot's component.
     """
     placed = found.component_of(members.drop("component"), "head", "component")
     placed = found.component_of(placed, "pivot", "central")
@@ -337,13 +339,7 @@ def _left(found: Links, members: DataFrame, sets: DataFrame, staged: Staging) ->
         renamed = [F.col(c).alias(f"x_{c}") for c in ("head", "n", "component", "common")]
         return rows.filter("outside").select(*key, *renamed)
 
-    # Those that need nothing beyond the pivot.
-    near = may.filter(similar("common", f"n + greatest(least_n, n * {found.percent} / 100, common)"))
-    met = outer(near, "bucket").join(near, "bucket").filter(
-        f"component <> x_component AND {similar('least(x_common, common)', 'x_n + n')}"
-    )
-
-    # Those with shingles in common beyond it.
+    # Shingles beyond the pivot.
     placed = may.select("pivot", "head", "n", "component", "common", "outside").distinct()
     heads, centres = (staged.stage(may.select(c).distinct(), "near-ids") for c in ("head", "pivot"))
     own = placed.join(only_listed(sets, "head", heads, staged.stage), "head")
@@ -352,11 +348,29 @@ def _left(found: Links, members: DataFrame, sets: DataFrame, staged: Staging) ->
     beyond = own.join(pivots, "pivot").select(
         *placed.columns, F.explode(F.array_except("hashes", "pivot_hashes")).alias("hash")
     )
-    key, folder = ["pivot", "hash"], new_folder(found.docs.sparkSession, "near-beyond")
-    every = stage(beyond, "near-beyond", folder)
-    several = every.groupBy(*key).agg(F.count("*").alias("n"), F.max("outside").alias("outside"))
-    beyond = stage(every.join(several.filter("n > 1 AND outside").select(*key), key), "near-beyond")
-    remove_folder(found.docs.sparkSession, folder)
+    every = staged.stage(beyond, "near-beyond")
+    # Those of most of its classes are what the pivot itself lost, and count as if it had them.
+    key = ["pivot", "hash"]
+    several = every.groupBy(*key).agg(F.count("*").alias("n_with"), F.max("outside").alias("outside"))
+    of_pivot = staged.stage(placed.groupBy("pivot").agg(F.count("*").alias("n_all")), "near-sizes")
+    several = several.filter("n_with > 1 AND outside").drop("outside").join(of_pivot, "pivot")
+    several = staged.stage(several.select(*key, F.expr("n_with * 2 > n_all").alias("lost")), "near-several")
+    beyond = staged.stage(every.join(several, key), "near-beyond")
+    more = staged.stage(beyond.filter("lost").groupBy("pivot", "head").agg(F.count("*").alias("more")), "near-more")
+
+    def with_more(rows: DataFrame) -> DataFrame:
+        joined = rows.join(more, ["pivot", "head"], "left")
+        return joined.withColumn("common", F.col("common") + F.coalesce("more", F.lit(0))).drop("more")
+
+    # Pairs that need nothing beyond that.
+    near = with_more(may).filter(similar("common", f"n + greatest(least_n, n * {found.percent} / 100, common)"))
+    near = staged.stage(near, "near-enough")
+    met = outer(near, "bucket").join(near, "bucket").filter(
+        f"component <> x_component AND {similar('least(x_common, common)', 'x_n + n')}"
+    )
+
+    # Pairs with shingles in common beyond it.
+    beyond = staged.stage(with_more(beyond.filter("NOT lost").drop("lost")), "near-beyond")
     also = outer(beyond, *key).join(beyond, key).filter("component <> x_component")
     columns = ["pivot", "x_head", "head", "x_n", "n", "x_common", "common"]
     counted = also.groupBy(*columns).agg(F.count("*").alias("n_beyond"))

@@ -2,7 +2,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from custodia import storage
 from custodia.llm import common, near_dedup
 from custodia.llm.common import TextArrays
 from custodia.llm.components import connected_components
@@ -164,6 +166,33 @@ def test_bucket_rows_are_narrowed_down_once(spark, monkeypatch):
     assert "LeftSemi" not in plan
 
 
+def test_what_only_the_pivot_lacks_pairs_no_group(spark, monkeypatch):
+    """Shingles that most of a group have, but not its pivot, must not make its classes meet in pairs."""
+    met, write = [], storage.stage
+
+    def counted(df, name, *args):
+        out = write(df, name, *args)
+        if name == "near-beyond":
+            by_hash = out.groupBy("pivot", "hash").agg(F.expr("count_if(outside) * count(*) AS pairs"))
+            met.append(by_hash.agg(F.sum("pairs")).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(storage, "stage", counted)
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    random.seed(6)
+    base = [f"b{k}" for k in range(100)]
+    texts = [" ".join(base[4:])]
+    for i in range(80):
+        text = list(base)
+        for k in random.sample(range(4, 100), 6 if i < 60 else 12):
+            text[k] = f"own{i}_{k}"
+        texts.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    check(docs, 1)
+    assert len(met) > 1 and met[0] > 20 * len(texts)
+    assert met[-1] < len(texts)
+
+
 def thue_morse(n):
     bits = [0]
     while len(bits) < n:
